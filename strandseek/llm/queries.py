@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strandseek.llm import language, pieces, quality, secret_scan
 from strandseek.llm.tokens import token_counts
 
 
@@ -21,5 +22,22 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts,)}
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trips(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op6_secret_scan, op7_sentencepiece, op9_quality_rules, op10_language_id)}
 SQL: dict[str, str] = {}
