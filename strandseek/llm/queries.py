@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandseek.llm import decontam, language, pieces, quality, secret_scan
+from strandseek.llm import decontam, language, pieces, quality, secret_scan, substring
 from strandseek.llm.tokens import token_counts
 
 
@@ -22,6 +22,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,5 +47,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.learn(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op3_decontaminate, op6_secret_scan, op7_sentencepiece, op9_quality_rules, op10_language_id)}
-SQL: dict[str, str] = {"op3_decontaminate": decontam.DECONTAMINATE_SQL}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op6_secret_scan, op7_sentencepiece, op9_quality_rules, op10_language_id)}
+SQL: dict[str, str] = {"op2_substring_dedup": substring.DEDUP_SQL, "op3_decontaminate": decontam.DECONTAMINATE_SQL}
