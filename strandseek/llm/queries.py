@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandseek.llm import decontam, language, pieces, quality, secret_scan, substring, suffixes
+from strandseek.llm import decontam, language, near_dup, pieces, quality, secret_scan, substring, suffixes
 from strandseek.llm.tokens import token_counts
 
 
@@ -42,6 +42,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trips(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -51,5 +55,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.learn(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op4_suffix_dedup, op6_secret_scan, op7_sentencepiece, op9_quality_rules, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op4_suffix_dedup, op6_secret_scan, op7_sentencepiece, op8_near_dup, op9_quality_rules, op10_language_id)}
 SQL: dict[str, str] = {"op2_substring_dedup": substring.DEDUP_SQL, "op3_decontaminate": decontam.DECONTAMINATE_SQL}
