@@ -1,13 +1,63 @@
-"""The training-data pipeline: stages over documents, each written as Parquet and read again as the next one's input."""
+"""The training-data pipeline: stages over documents, each written as Parquet and read again as the next one's input.
+
+1. language ID learns from the labelled rows and drops documents without a language (null or no letters);
+2. near-dedup keeps, of each class of exact and near copies, the row of the least doc_id;
+3. decontamination drops documents contaminated by the benchmark;
+4. the secret scan replaces secrets in texts by a mark, and renews n_chars; no document goes;
+5. SentencePiece encoding gives each document's piece ids.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from strandseek.llm import decontam, language, near_dup, pieces, secret_scan
+from strandseek.llm.queries import table, tokenizer
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.keep_known(docs, language.learn(docs))
+
+
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dup.keep_one(docs)
+
 
-STAGES: list = []
-#: The stages past language ID need iteration or tokenizers, which SQL can't express; tests use a brute-force version.
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secret_scan.redact(docs, size="n_chars")
+
+
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(docs, tokenizer("piece_bpe_32k.model")).withColumn("n_pieces", F.size("pieces"))
+
+
+STAGES = [
+    ("language_id", language_stage),
+    ("minhash_near_dedup", near_dup_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("secret_scan", secret_stage),
+    ("sentencepiece", pieces_stage),
+]
+#: Learned profiles, near-duplicate classes and pieces aren't SQL; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; the warehouse where none is set, as in tests."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Applies the stages to documents."""
+    docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    for k, (name, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}-{name}")
+        docs = spark.read.parquet(f"{folder}/{k}-{name}")
+    return docs

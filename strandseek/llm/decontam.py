@@ -82,8 +82,8 @@ def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> Dat
     return rows.select("length", "item", said.alias("said")).groupBy("length", "said").agg(F.collect_set("item").alias("items"))
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
+def judged(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, item_text: str, window: int, gram: int) -> DataFrame:
+    """The result of ``decontaminate`` with ``row``, a hash of the text."""
     base = docs.select(column(key).cast("long").alias("doc_id"), column(text).cast("string").alias("text"))
     base = base.withColumn("row", F.xxhash64("text"))
     spaced = base.select("doc_id", "row", words_of(F.col("text")).alias("words"))
@@ -119,6 +119,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     n_hit, listed = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("listed", F.array().cast("array<string>"))
     return rows.select(
         "doc_id",
+        "row",
         "n_words",
         n_hit.alias("n_hit"),
         F.size(listed).cast("long").alias("n_items"),
@@ -127,6 +128,17 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     )
 
 
+def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated of every document."""
+    return judged(docs, items, key, text, item, item_text, window, gram).drop("row")
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """The rows of docs, with all columns, that aren't contaminated."""
+    bad = judged(docs, items, key, text, item, item_text, window, gram).where("contaminated").select(F.col("doc_id").alias("__key"), F.col("row").alias("__row")).distinct()
+    return docs.join(bad, column(key).cast("long").eqNullSafe(F.col("__key")) & (F.xxhash64(column(text).cast("string")) == F.col("__row")), "left_anti")
+
+
 #: The same in SQL.
 DECONTAMINATE_SQL = r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r,

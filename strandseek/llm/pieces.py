@@ -58,11 +58,16 @@ class Model:
         special = [p.is_control(k) or p.is_unknown(k) or p.is_unused(k) or p.is_byte(k) for k in range(len(self.text_of))]
         self.ids = {x: k for k, x in enumerate(self.text_of) if not special[k]}
         self.score = [p.get_score(k) for k in range(len(self.text_of))]
-        self.byte_of = {k: int(x[3:5], 16) for k, x in enumerate(self.text_of) if p.is_byte(k)}
-        self.of_byte = {b: k for k, b in self.byte_of.items()}
+        self.of_byte = {int(x[3:5], 16): k for k, x in enumerate(self.text_of) if p.is_byte(k)}
         self.unknown = p.unk_id()
-        self.silent = {k for k in range(len(self.text_of)) if p.is_control(k)}
-        self.longest = max(map(len, self.ids), default=1)
+        #: The pieces as a trie from their last characters; "" marks a piece's beginning.
+        self.backward: dict = {}
+        for x in self.ids:
+            level = self.backward
+            for c in reversed(x):
+                level = level.setdefault(c, {})
+            level[""] = True
+        self.spelling = [b"" if p.is_control(k) else " ⁇ ".encode() if p.is_unknown(k) else bytes([int(x[3:5], 16)]) if p.is_byte(k) else x.encode() for k, x in enumerate(self.text_of)]
         if any(MARK in x.lstrip(MARK) for x in self.ids):
             raise ValueError("a piece has a mark inside it")
         self.stable: dict[tuple[str, str], bool] = {}
@@ -105,18 +110,28 @@ class Model:
             have = self.stable[left, right] = self.merged(left + right) == [left, right]
         return have
 
+    def endings(self, word: str, end: int) -> list[int]:
+        """The starts of pieces that end there, the longest first; a last character alone always counts."""
+        out, level = [], self.backward
+        for start in range(end - 1, -1, -1):
+            level = level.get(word[start])
+            if level is None:
+                break
+            if "" in level:
+                out.append(start)
+        if not out or out[0] != end - 1:
+            out.insert(0, end - 1)
+        return out[::-1]
+
     def extend(self, word: str, end: int, states: list) -> None:
         """Adds the forward state of word[:end]: (start of the last piece, score so far)."""
-        for start in range(max(0, end - self.longest), end):
-            piece = word[start:end]
-            if piece in self.ids or start == end - 1:
-                if start == 0 and (end == 1 or self.whole(piece)):
-                    states.append((0, 0.0))
-                    return
-                if start and self.pair(word[states[start][0] : start], piece):
-                    states.append((start, 0.0))
-                    return
-        states.append((end - 1, 0.0))
+        for start in self.endings(word, end):
+            if start == 0:
+                if end == 1 or self.whole(word[:end]):
+                    break
+            elif self.pair(word[states[start][0] : start], word[start:end]):
+                break
+        states.append((start, 0.0))
 
     @lru_cache(maxsize=100_000)  # noqa: B019  a model lives as long as its worker
     def whole(self, piece: str) -> bool:
@@ -124,10 +139,8 @@ class Model:
 
     def extend_unigram(self, word: str, end: int, states: list) -> None:
         best = None
-        for start in range(max(0, end - self.longest), end):
+        for start in self.endings(word, end):
             k = self.ids.get(word[start:end])
-            if k is None and start < end - 1:
-                continue
             score = states[start][1] + (self.score[k] if k is not None else self.floor)
             if best is None or score > best[1]:
                 best = (start, score)
@@ -187,15 +200,7 @@ class Model:
     def decode(self, ids: list[int] | None) -> str | None:
         if ids is None:
             return None
-        out = bytearray()
-        for k in ids:
-            if (b := self.byte_of.get(k)) is not None:
-                out.append(b)
-            elif k == self.unknown:
-                out += " ⁇ ".encode()
-            elif k not in self.silent:
-                out += self.text_of[k].encode()
-        text = out.decode(errors="replace").replace(MARK, " ")
+        text = b"".join(map(self.spelling.__getitem__, ids)).decode(errors="replace").replace(MARK, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -240,7 +245,7 @@ def decode_pieces(pieces: Column, path: str) -> Column:
 
 
 def round_trips(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_pieces, pieces_sha256 (of the ids, comma-joined), round_trip (decoding gives the text back).
+    """doc_id, n_pieces, pieces_sha256 (of the ids as 32-bit little-endian integers), round_trip (decoding gives the text back).
 
     The mark itself is written as a space when it is decoded, and counts as one here.
     """
@@ -249,10 +254,10 @@ def round_trips(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
         m, out = model(path), {"doc_id": keys, "n_pieces": [], "pieces_sha256": [], "round_trip": []}
         for part in blocks(texts):
             for x, ids in zip(part, m.encode(part), strict=True):
-                listed = [] if ids is None else ids.tolist()
-                out["n_pieces"].append(len(listed))
-                out["pieces_sha256"].append(hashlib.sha256(",".join(map(str, listed)).encode()).hexdigest())
-                out["round_trip"].append(m.decode(listed) == (x or "").replace(MARK, " "))
+                ids = np.zeros(0, np.int32) if ids is None else ids
+                out["n_pieces"].append(len(ids))
+                out["pieces_sha256"].append(hashlib.sha256(ids.tobytes()).hexdigest())
+                out["round_trip"].append(m.decode(ids.tolist()) == (x or "").replace(MARK, " "))
         return out
 
     return map_texts(picked(docs, key, text), run, "doc_id long, n_pieces long, pieces_sha256 string, round_trip boolean")
