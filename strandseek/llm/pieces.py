@@ -34,8 +34,8 @@ from strandseek.llm._text import map_texts, picked
 
 MARK = "▁"
 CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Pairs whose stability a worker remembers, and words; beyond that the tables start anew.
-REMEMBERED = 500_000
+#: Words and pairs of pieces that a worker remembers; beyond that the tables start anew.
+REMEMBERED, REMEMBERED_PAIRS = 500_000, 1_000_000
 UNIGRAM, BPE = 1, 2
 
 
@@ -60,17 +60,17 @@ class Model:
         self.score = [p.get_score(k) for k in range(len(self.text_of))]
         self.of_byte = {int(x[3:5], 16): k for k, x in enumerate(self.text_of) if p.is_byte(k)}
         self.unknown = p.unk_id()
-        #: The pieces as a trie from their last characters; "" marks a piece's beginning.
+        #: The pieces as a trie from their last characters; "" leads to the id.
         self.backward: dict = {}
         for x in self.ids:
             level = self.backward
             for c in reversed(x):
                 level = level.setdefault(c, {})
-            level[""] = True
+            level[""] = self.ids[x]
         self.spelling = [b"" if p.is_control(k) else " ⁇ ".encode() if p.is_unknown(k) else bytes([int(x[3:5], 16)]) if p.is_byte(k) else x.encode() for k, x in enumerate(self.text_of)]
         if any(MARK in x.lstrip(MARK) for x in self.ids):
             raise ValueError("a piece has a mark inside it")
-        self.stable: dict[tuple[str, str], bool] = {}
+        self.stable: dict[int, bool] = {}
         #: marked word -> its ids as bytes of int32
         self.words: dict[str, bytes] = {}
 
@@ -101,47 +101,51 @@ class Model:
             push(k, after[k])
         return [x for x in part if x]
 
-    def pair(self, left: str, right: str) -> bool:
-        """Whether the two pieces stay as they are when merged together."""
-        have = self.stable.get((left, right))
-        if have is None:
-            if len(self.stable) >= REMEMBERED:
-                self.stable.clear()
-            have = self.stable[left, right] = self.merged(left + right) == [left, right]
+    def pair(self, left: int, right: int) -> bool:
+        """Whether the two pieces stay as they are when merged together; works it out and remembers it."""
+        if len(self.stable) >= REMEMBERED_PAIRS:
+            self.stable.clear()
+        x, y = self.text_of[left], self.text_of[right]
+        have = self.stable[left << 24 | right] = self.merged(x + y) == [x, y]
         return have
 
-    def endings(self, word: str, end: int) -> list[int]:
-        """The starts of pieces that end there, the longest first; a last character alone always counts."""
+    def endings(self, word: str, end: int) -> list[tuple[int, int]]:
+        """(start, id) of pieces that end there, the shortest first; an unknown last character has -1."""
         out, level = [], self.backward
         for start in range(end - 1, -1, -1):
             level = level.get(word[start])
             if level is None:
                 break
-            if "" in level:
-                out.append(start)
-        if not out or out[0] != end - 1:
-            out.insert(0, end - 1)
-        return out[::-1]
+            if (k := level.get("")) is not None:
+                out.append((start, k))
+        if not out or out[0][0] != end - 1:
+            out.insert(0, (end - 1, -1))
+        return out
 
     def extend(self, word: str, end: int, states: list) -> None:
-        """Adds the forward state of word[:end]: (start of the last piece, score so far)."""
-        for start in self.endings(word, end):
+        """Adds the forward state of word[:end]: (start of the last piece, its id). An unknown character joins nothing."""
+        found, stable = self.endings(word, end), self.stable
+        for start, k in reversed(found):
             if start == 0:
-                if end == 1 or self.whole(word[:end]):
+                if k < 0 or self.whole(k):
                     break
-            elif self.pair(word[states[start][0] : start], word[start:end]):
+                continue
+            left = states[start][1]
+            if left < 0 or k < 0:
+                break
+            ok = stable.get(left << 24 | k)
+            if self.pair(left, k) if ok is None else ok:
                 break
-        states.append((start, 0.0))
+        states.append((start, k))
 
     @lru_cache(maxsize=100_000)  # noqa: B019  a model lives as long as its worker
-    def whole(self, piece: str) -> bool:
-        return self.merged(piece) == [piece]
+    def whole(self, k: int) -> bool:
+        return self.merged(self.text_of[k]) == [self.text_of[k]]
 
     def extend_unigram(self, word: str, end: int, states: list) -> None:
         best = None
-        for start in self.endings(word, end):
-            k = self.ids.get(word[start:end])
-            score = states[start][1] + (self.score[k] if k is not None else self.floor)
+        for start, k in reversed(self.endings(word, end)):
+            score = states[start][1] + (self.score[k] if k >= 0 else self.floor)
             if best is None or score > best[1]:
                 best = (start, score)
         states.append(best)
@@ -165,7 +169,7 @@ class Model:
     def learn_words(self, words: list[str]) -> dict[str, bytes]:
         """Encodes sorted distinct words, each from the states of its common prefix with the one before."""
         out, extend = {}, self.extend if self.kind == BPE else self.extend_unigram
-        last, states = "", [(0, 0.0)]
+        last, states = "", [(0, -1 if self.kind == BPE else 0.0)]
         for word in words:
             if self.kind == BPE and word.startswith(MARK * 2):
                 out[word] = self.spelt(self.merged(word))
