@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandseek.llm import decontam, language, near_dup, pieces, secret_scan
-from strandseek.llm.queries import table, tokenizer
+from strandseek.llm.queries import shared_folder, table, tokenizer
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,11 +49,6 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; the warehouse where none is set, as in tests."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to documents."""
     docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"

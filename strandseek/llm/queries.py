@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-from strandseek.llm import decontam, language, near_dup, pieces, quality, secret_scan, substring, suffixes
+from strandseek.llm import decontam, language, near_dup, pieces, quality, secret_scan, substring, suffixes, warc
 from strandseek.llm.tokens import token_counts
 
 
@@ -34,6 +36,16 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; the warehouse where none is set, as in tests."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_archives(table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
+    return warc.read_archives(spark, files, payloads=False)
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -55,5 +67,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.learn(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op4_suffix_dedup, op6_secret_scan, op7_sentencepiece, op8_near_dup, op9_quality_rules, op10_language_id)}
-SQL: dict[str, str] = {"op2_substring_dedup": substring.DEDUP_SQL, "op3_decontaminate": decontam.DECONTAMINATE_SQL}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op4_suffix_dedup, op5_warc, op6_secret_scan, op7_sentencepiece, op8_near_dup, op9_quality_rules, op10_language_id)}
+SQL: dict[str, str] = {"op5_warc": warc.WARC_SQL, "op2_substring_dedup": substring.DEDUP_SQL, "op3_decontaminate": decontam.DECONTAMINATE_SQL}
