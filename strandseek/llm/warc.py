@@ -81,7 +81,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
                 if sink is None:
                     system, at = opened(path)
                     system.create_dir(at.rsplit("/", 1)[0], recursive=True)
-                    sink = system.open_output_stream(at)
+                    sink = system.open_output_stream(at, compression=None)  # not by the name: members are compressed already
                 data = record(page, url, html.encode(), digest, refers, refers is not None and refers != page)
                 sink.write(data)
                 size += len(data)
