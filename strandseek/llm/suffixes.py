@@ -51,24 +51,30 @@ class Block:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         self.ends = np.cumsum(sizes + 1) - 1
         self.begins = self.ends - sizes
-        n = len(self.buf)
-        self.prefix = []
-        for lane in (0, 1):
-            h = np.zeros(n + 1, U)
-            np.cumsum(BYTE_VALUES[lane][self.buf] * powers(lane, n), out=h[1:])
-            self.prefix.append(h)
+        self.prefix: dict[int, np.ndarray] = {}
         count = np.maximum(sizes - length + 1, 0)
         self.text = np.repeat(np.arange(len(texts)), count)
         #: The starts of all strings, and the anchor of each.
         self.start = np.arange(len(self.text)) + np.repeat(self.begins - np.concatenate(([0], np.cumsum(count)[:-1])), count)
         self.anchor = self.anchors()
 
+    def prefixes(self, lane: int) -> np.ndarray:
+        """Hashes of all prefixes, made when they are first asked for."""
+        if (h := self.prefix.get(lane)) is None:
+            n = len(self.buf)
+            h = self.prefix[lane] = np.zeros(n + 1, U)
+            np.cumsum(BYTE_VALUES[lane][self.buf] * powers(lane, n), out=h[1:])
+        return h
+
     def raw(self, at: np.ndarray, size: np.ndarray | int, lane: int = 0) -> np.ndarray:
         """Polynomial hashes of the strings of the given places and sizes."""
-        h = self.prefix[lane]
+        h = self.prefixes(lane)
         return (h[at + size] - h[at]) * powers(lane, len(self.buf), True)[at]
 
     def digest(self, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """96 bits of each string; of grams, which only sift, 64."""
+        if size == GRAM:
+            return mix(self.raw(at, size)), np.zeros(len(at), np.uint32)
         return mix(self.raw(at, size)), (mix(self.raw(at, size, 1)) >> U(32)).astype(np.uint32)
 
     def anchors(self) -> np.ndarray:
@@ -78,14 +84,16 @@ class Block:
         n = len(self.buf) - GRAM + 1
         w = self.length - GRAM + 1
         low = U((1 << n.bit_length()) - 1)
-        key = mix(self.raw(np.arange(n), GRAM)) & ~low
-        key |= low - np.arange(n).astype(U)
+        h = self.prefixes(0)
+        key = mix((h[GRAM:] - h[:-GRAM]) * powers(0, len(self.buf), True)[:n]) & ~low
+        key |= np.arange(int(low), int(low) - n, -1, dtype=U)
         pad = np.full(-(-n // w) * w + w, np.iinfo(U).max, U)
         pad[:n] = key
         grid = pad.reshape(-1, w)
         before = np.minimum.accumulate(grid, axis=1).reshape(-1)
         behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-        return (low - (np.minimum(behind[self.start], before[self.start + w - 1]) & low)).astype(np.int64)
+        least = np.minimum(behind[: n - w + 1], before[w - 1 : n])
+        return (low - (least & low)).astype(np.int64)[self.start]
 
     def common(self, p: np.ndarray, q: np.ndarray, limit: int) -> np.ndarray:
         """How far the suffixes at p and q agree, up to the limit, by binary search; they agree over HEAD."""
@@ -107,13 +115,18 @@ class Block:
     def sort(self, places: np.ndarray, limit: int) -> np.ndarray:
         """The places in the order of their suffixes' first ``limit`` bytes.
 
-        Runs of equal heads are made by one sort of numbers; inside them a bottom-up mergesort goes on,
-        all pairs of runs at once: each suffix finds its rank in the other run of its pair.
+        One sort of numbers makes runs of equal heads and, inside them, of equal hashes, of which one
+        suffix each goes on into a bottom-up mergesort, all pairs of runs at once: each suffix finds its
+        rank in the other run of its pair.
         """
         head = np.ascontiguousarray(sliding_window_view(self.buf, HEAD)[places]).view(">u8").astype(U)
-        order = np.lexsort((head[:, 1], head[:, 0]))
-        places, head = places[order], head[order]
+        whole = self.raw(places, limit)
+        order = np.lexsort((whole, head[:, 1], head[:, 0]))
+        sorted_, head, whole = places[order], head[order], whole[order]
         new = np.concatenate(([True], (head[1:] != head[:-1]).any(axis=1)))
+        one = np.flatnonzero(new | np.concatenate(([True], whole[1:] != whole[:-1])))
+        runs = np.diff(np.append(one, len(sorted_)))
+        places, new = sorted_[one], new[one]
         bounds = np.append(np.flatnonzero(new), len(places))
         size = np.diff(bounds)
         todo = np.flatnonzero(np.repeat(size, size) > 1)
@@ -136,13 +149,16 @@ class Block:
             at = begin + (run >> 1) * 2 * width + (at - begin) % width + (low - other)
             places[at] = held
             width *= 2
-        return places
+        run_at = np.arange(len(runs))
+        run_at[at] = todo
+        first, runs = one[run_at], runs[run_at]
+        return sorted_[np.arange(len(sorted_)) + np.repeat(first - (np.cumsum(runs) - runs), runs)]
 
     def classes(self, places: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(a place of each class of equal strings, how many places it has, the class of each given place)."""
         if not len(places):
             return places, places, places
-        order = self.sort(places.copy(), limit)
+        order = self.sort(places, limit)
         a, b = order[:-1], order[1:]
         same = self.raw(a, limit) == self.raw(b, limit)
         view = sliding_window_view(self.buf, limit)
@@ -234,7 +250,7 @@ class Search:
         length = self.length
         have = list(self.each())
         each = [b for _, b in have]
-        anchors = [np.unique(b.anchor) for b in each]
+        anchors = [b.anchor[np.concatenate(([True], b.anchor[1:] != b.anchor[:-1]))] for b in each]  # they grow with the start
         single = [(x, np.ones(len(x), np.int64), np.arange(len(x))) for x in anchors]
         asked = self.gather(each, single, GRAM)
         if last == ANCHOR:
