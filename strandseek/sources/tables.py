@@ -18,7 +18,8 @@ VECTOR_PREFIXES = ("emb", "gin", "feat_")
 
 
 def delimiter(path: str) -> str:
-    return "\t" if path.rsplit(".", 1)[-1].lower() in ("tsv", "txt") else ","
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    return "\t" if "." not in name or name.rsplit(".", 1)[-1].lower() in ("tsv", "txt") else ","
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -55,7 +56,9 @@ def nodes_of(df: DataFrame, id_column: str = "transcript_id", index_column: str
 
 
 def read_nodes(spark: SparkSession, path: str, **names: str) -> DataFrame:
-    df = spark.read.parquet(path) if path.rstrip("/").endswith(".parquet") else read_table(spark, path)
+    """Nodes from Parquet or text; a folder without a suffix is taken for tab-separated parts."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    df = spark.read.parquet(path) if name.endswith(".parquet") else read_table(spark, path)
     return nodes_of(df, **names)
 
 
