@@ -180,18 +180,21 @@ def merge_chunks(spark, sf_dir):
     return merged.agg(F.count("*").alias("nodes"), F.sum("label").alias("labels"))
 
 
-HIT_COLUMNS = ["query_transcript", "query_window_start", "target_transcript", "target_window_start", "rank", R6("similarity").alias("similarity")]
+def hit_columns() -> list:
+    return ["query_transcript", "query_window_start", "target_transcript", "target_window_start", "rank", R6("similarity").alias("similarity")]
+
+
 HIT_SELECT = "SELECT qt AS query_transcript, qs AS query_window_start, tt AS target_transcript, ts AS target_window_start, CAST(rk AS INTEGER) AS rank, round(sim, 6) AS similarity FROM h"
 
 
 @query(f"WITH {HITS_SQL} {HIT_SELECT}")
 def knn_ip(spark, sf_dir):
-    return hits_of(spark, sf_dir).select(HIT_COLUMNS)
+    return hits_of(spark, sf_dir).select(hit_columns())
 
 
 @query(f"WITH {HITS_SQL} {HIT_SELECT}")
 def knn_ip_expressions(spark, sf_dir):
-    return knn.neighbours_sql(*sides(spark, sf_dir), P.k).select(HIT_COLUMNS)
+    return knn.neighbours_sql(*sides(spark, sf_dir), P.k).select(hit_columns())
 
 
 L2_SQL = HITS_SQL.replace("round(list_dot_product(a.v, b.v), 12) AS sc", "-round(list_dot_product(a.v, a.v) + list_dot_product(b.v, b.v) - 2 * list_dot_product(a.v, b.v), 12) AS sc").replace(
@@ -201,7 +204,7 @@ L2_SQL = HITS_SQL.replace("round(list_dot_product(a.v, b.v), 12) AS sc", "-round
 
 @query(f"WITH {L2_SQL} {HIT_SELECT}")
 def knn_l2(spark, sf_dir):
-    return hits_of(spark, sf_dir, SearchParams(k=20, index_type="flat_l2", metric="l2")).select(HIT_COLUMNS)
+    return hits_of(spark, sf_dir, SearchParams(k=20, index_type="flat_l2", metric="l2")).select(hit_columns())
 
 
 @query("SELECT a.vec_id AS a, b.vec_id AS b, round(greatest(-1, least(1, 1 - list_sum(list_transform(list_zip(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) / 2)), 6) AS cosine FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
@@ -230,7 +233,7 @@ SELF_SQL = HITS_SQL.replace("WHERE a.t IN ('T0', 'T1') AND b.t NOT IN ('T0', 'T1
 def self_hit_exclusion(spark, sf_dir):
     rows = windows.windows(nodes_of(spark, sf_dir), 3)
     q, _ = windows.split_queries(rows, asked(spark))
-    return seed_ops.without_self(knn.neighbours(q, rows, P)).select(HIT_COLUMNS)
+    return seed_ops.without_self(knn.neighbours(q, rows, P)).select(hit_columns())
 
 
 @query(
@@ -423,7 +426,7 @@ def safe_filename(spark, sf_dir):
 def approximate(kind: str, **more):
     def run(spark, sf_dir):
         p = SearchParams(k=20, index_type=kind, nlist=16, nprobe=8, pq_m=16, pq_bits=5, **more)
-        return hits_of(spark, sf_dir, p).select(HIT_COLUMNS)
+        return hits_of(spark, sf_dir, p).select(hit_columns())
 
     run.__name__ = f"knn_{kind}"
     QUERIES[run.__name__] = run
