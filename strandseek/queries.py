@@ -14,6 +14,7 @@ from strandseek.operators import alignment, cluster, diagnostics, knn, report, s
 from strandseek.operators import seeds as seed_ops
 from strandseek.params import SearchParams
 from strandseek.plans.search import search
+from strandseek.sources import tables
 from strandseek.sources.tables import driver_nodes, first_of_each, meta_projection, missing_ids, query_ids
 
 P = SearchParams(window_size=3, k=20, threshold=0.15, top_n=10, background_samples=2000, evd_samples=60)
@@ -130,6 +131,66 @@ def missing_id_list(spark, sf_dir):
     return missing_ids(nodes_of(spark, sf_dir), spark.range(7, 13).select(F.concat(F.lit("T"), F.col("id").cast("string")).alias("id")))
 
 
+def shown_nodes(rows: DataFrame) -> DataFrame:
+    return rows.select("transcript_id", "node_index", F.size("embedding").cast("long").alias("dimension"), F.round(vectors.norm("embedding"), 4).alias("norm"))
+
+
+SHOWN_NODES = "SELECT t AS transcript_id, i AS node_index, len(e) AS dimension, round(sqrt(list_sum(list_transform(e, lambda v: v * v))), 4) AS norm FROM n"
+
+
+@query(f"WITH {NODES} {SHOWN_NODES}")
+def nodes_from_text(spark, sf_dir):
+    n = nodes_of(spark, sf_dir).withColumn("embedding_vector", F.array_join(F.col("embedding").cast("array<string>"), ","))
+    return shown_nodes(tables.nodes_of(n))
+
+
+@query(f"WITH {NODES} {SHOWN_NODES}")
+def nodes_from_lists(spark, sf_dir):
+    n = nodes_of(spark, sf_dir).groupBy("transcript_id").agg(F.sort_array(F.collect_list(F.struct("node_index", "embedding"))).alias("a"))
+    return shown_nodes(tables.normalise_nested(n.select("transcript_id", F.to_json("a.embedding").alias("node_embeddings")), "transcript_id"))
+
+
+@query(f"WITH {NODES.replace('CAST(embedding AS DOUBLE[])', 'CAST(embedding[1:4] AS DOUBLE[])')} {SHOWN_NODES}")
+def nodes_from_columns(spark, sf_dir):
+    n = nodes_of(spark, sf_dir)
+    wide = n.select("transcript_id", F.col("node_index").alias("position"), *[F.get("embedding", F.lit(k)).alias(f"emb_{k}") for k in range(4)], F.lit("x").alias("note"))
+    return shown_nodes(tables.normalise_wide(wide, "transcript_id"))
+
+
+@query(f"WITH {NODES} SELECT t AS transcript_id, count(*) AS nodes FROM n WHERE t IN ('T0', 'T1') GROUP BY t")
+def nodes_of_ids(spark, sf_dir):
+    return tables.only_ids(nodes_of(spark, sf_dir), asked(spark)).groupBy("transcript_id").agg(F.count("*").alias("nodes"))
+
+
+@query(
+    f"WITH {NODES}, {META_SQL}, {windows_sql(4)} SELECT w.t AS transcript_id, CAST(row_number() OVER (PARTITION BY w.t ORDER BY s) - 1 AS INTEGER) AS window_index, s AS window_start FROM w JOIN m USING (t) "
+    "WHERE t IN ('T0', 'T1') AND (s + 4 > length(st) OR length(regexp_replace(substr(st, s + 1, 4), '[^.]', '', 'g')) / 4.0 < 0.5)"
+)
+def renumbered_query_windows(spark, sf_dir):
+    n = nodes_of(spark, sf_dir)
+    q, _ = windows.split_queries(windows.windows(n, 4, meta=meta_of(n), max_unpaired=0.5), asked(spark))
+    return windows.renumbered(q).select("transcript_id", "window_index", "window_start")
+
+
+@query(f"WITH {NODES}, {windows_sql(3)} SELECT 'flat_ip' AS index_type, 'ip' AS metric, count(*) AS vectors, max(len(v)) AS dimension FROM w WHERE t NOT IN ('T0', 'T1')")
+def index_stats(spark, sf_dir):
+    return knn.index_stats(sides(spark, sf_dir)[1], P).withColumn("dimension", F.col("dimension").cast("long"))
+
+
+@query("SELECT count(*) AS windows, CAST(sum(label) AS BIGINT) AS filtered_windows, 2 AS queries FROM embeddings")
+def merge_stats(spark, sf_dir):
+    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    part = lambda k: v.where(F.col("vec_id") % 3 == k).agg(F.count("*").alias("windows"), F.sum("label").alias("filtered_windows"), F.lit(2).alias("queries"))
+    return windows.merge_stats([part(k) for k in range(3)])
+
+
+@query(f"WITH {NODES}, {META_SQL} SELECT t AS transcript_id, 2 AS start, 9 AS end, st AS structure, replace(sq, 'T', 'U') AS sequence, length(sq) = length(st) AS valid FROM m")
+def drawing_rows(spark, sf_dir):
+    m = meta_of(nodes_of(spark, sf_dir))
+    one = m.select(F.col("transcript_id").alias("query_id"), F.col("transcript_id").alias("target_id"), *[F.lit(v).alias(f"{s}_{e}") for s in ("query", "target") for e, v in (("start", 2), ("end", 9))])
+    return report.drawing_rows(one, m)
+
+
 WINDOW_COLUMNS = "SELECT t AS transcript_id, x AS window_index, s AS window_start, s + {0} AS window_end, {0} AS window_size, CAST(l AS INTEGER) AS transcript_length, round(v[1], 5) AS first, round(v[-1], 5) AS last, round(sqrt(list_sum(list_transform(v, lambda y: y * y))), 5) AS norm FROM w"
 
 
@@ -417,6 +478,14 @@ def label_dispersion(spark, sf_dir):
     return diagnostics.label_dispersion(vector_rows(spark, sf_dir)).withColumn("dispersion", R6("dispersion"))
 
 
+@query(
+    f"WITH {UNIT_ROWS}, k AS (SELECT label, i, avg(e[i]) AS x FROM u, range(1, 65) r(i) GROUP BY label, i), c AS (SELECT label, list(x ORDER BY i) AS c FROM k GROUP BY label) "
+    "SELECT label, count(*) AS count, round(1 - avg(list_dot_product(e, c) / sqrt(list_dot_product(c, c))), 6) AS dispersion FROM u JOIN c USING (label) GROUP BY label HAVING count(*) >= 2 ORDER BY 3, 2 DESC, 1 LIMIT 3"
+)
+def tightest_labels(spark, sf_dir):
+    return diagnostics.tightest(diagnostics.label_dispersion(vector_rows(spark, sf_dir)), 3).withColumn("dispersion", R6("dispersion"))
+
+
 @query("SELECT c_custkey AS id, regexp_replace(c_name || '.' || c_custkey || '/x y', '[^A-Za-z0-9_-]', '_', 'g') AS name FROM customer")
 def safe_filename(spark, sf_dir):
     c = spark.read.parquet(f"{sf_dir}/customer.parquet")
