@@ -140,6 +140,16 @@ def test_near_dup(spark):
     assert near_dup.near_classes(docs.limit(0)).count() == 0
 
 
+def test_labels_of_repeats():
+    """A near copy of which only one side repeats a phrase shares labels and entries with the other."""
+    rng = random.Random(1)
+    words = [f"t{rng.randrange(5000)}" for _ in range(300)]
+    a, b = near_dup.shingles_of([" ".join(words).encode(), " ".join(words + words[:7]).encode()])
+    assert near_dup.similar(a, b)
+    assert set(near_dup.labelled(a).tolist()) <= set(near_dup.labelled(b).tolist())
+    assert (near_dup.order_min_hash(a) == near_dup.order_min_hash(b)).sum() >= 12
+
+
 def test_alignment():
     import numpy as np
 
