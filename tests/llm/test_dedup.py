@@ -150,6 +150,37 @@ def test_labels_of_repeats():
     assert (near_dup.order_min_hash(a) == near_dup.order_min_hash(b)).sum() >= 12
 
 
+def star(seed, n, changes=4):
+    """An original of 200 words and its copies with up to so many changed words: one class, through the original."""
+    rng = random.Random(seed)
+    base = [f"t{rng.randrange(10**6)}" for _ in range(200)]
+    rows = [(n, " ".join(base))]
+    for k in range(n):
+        copy = list(base)
+        for i in rng.sample(range(200), rng.randrange(changes + 1)):
+            copy[i] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    return rows
+
+
+def test_near_dup_star(spark):
+    """Failed members meet passed ones: no link is lost because a leader that isn't the original took its copies."""
+    rows = star(1, 1000)
+    sets = {k: shingles(t) for k, t in rows}
+    assert all(len(sets[k] & sets[1000]) >= 0.8 * len(sets[k] | sets[1000]) for k in range(1000))
+    assert {r["class_id"] for r in near_dup.near_classes(frame(spark, rows)).collect()} == {0}
+
+
+def test_components(spark, monkeypatch):
+    """The driver's components are those of the cluster's rounds."""
+    edges = spark.createDataFrame([(5, 9), (9, 2), (2, 5), (-3, 7), (11, 12), (12, 13), (13, 14)], "a long, b long")
+    near_dup.ensure_checkpoints(edges)
+    few = sorted(near_dup.components(edges).collect())
+    monkeypatch.setattr(near_dup, "DRIVER_EDGES", 0)
+    assert few == sorted(near_dup.components(edges).collect())
+    assert dict(few) == {2: 2, 5: 2, 9: 2, -3: -3, 7: -3, 11: 11, 12: 11, 13: 11, 14: 11}
+
+
 def test_alignment():
     import numpy as np
 
