@@ -16,8 +16,8 @@ SAMPLE, PAIR_ROWS, BINS = 50_000, 2000, 60
 
 
 def sample(rows: DataFrame, key: str, most: int = SAMPLE, seed: int = 7) -> DataFrame:
-    """At most so many rows, those of the least hashes of their key."""
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(most)
+    """At most so many rows, those of the least hashes of their key: a random draw without replacement that any engine can repeat."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(most)
 
 
 def norm_stats(rows: DataFrame) -> DataFrame:
@@ -26,8 +26,8 @@ def norm_stats(rows: DataFrame) -> DataFrame:
 
 
 def pair_cosines(rows: DataFrame, key: str, most: int = PAIR_ROWS) -> DataFrame:
-    """cosine of each unordered pair of at most ``most`` rows (those of least keys), whose vectors are held in memory."""
-    held = rows.select(key, unit("vector").alias("vector")).orderBy(key).limit(most)
+    """cosine of each unordered pair of at most ``most`` rows, drawn as in ``sample``, whose vectors are held in memory."""
+    held = sample(rows, key, most).select(key, unit("vector").alias("vector")).orderBy(key)
     got = held.collect()
     keys, x = [r[0] for r in got], np.array([r[1] for r in got], np.float64).reshape(len(got), -1)
     place = {k: i for i, k in enumerate(keys)}

@@ -299,7 +299,7 @@ def self_hit_exclusion(spark, sf_dir):
 
 @query(
     f"WITH {HITS_SQL}, a AS (SELECT t, count(*) AS windows FROM w WHERE t IN ('T0', 'T1') GROUP BY t), b AS (SELECT qt, count(*) AS k FROM s GROUP BY qt) "
-    "SELECT a.t AS query_transcript, windows, coalesce(k, 0) AS seeds_kept, 20 AS top_k, 0.15 AS threshold, false AS rescored FROM a LEFT JOIN b ON a.t = b.qt"
+    "SELECT a.t AS query_transcript, windows, coalesce(k, 0) AS seeds_kept, 20 AS top_k, CAST(0.15 AS DOUBLE) AS threshold, false AS rescored FROM a LEFT JOIN b ON a.t = b.qt"
 )
 def seed_stats(spark, sf_dir):
     return seed_ops.seed_stats(seeds_of(spark, sf_dir), sides(spark, sf_dir)[0], P.k, P.threshold, P.rescored)
@@ -454,7 +454,7 @@ def norm_stats(spark, sf_dir):
 
 
 COSINES_SQL = (
-    f"WITH {UNIT_ROWS}, l AS (SELECT vec_id, sqrt(list_sum(list_transform(e, lambda v: v * v))) AS n, e FROM u ORDER BY vec_id LIMIT 2000), "
+    f"WITH {UNIT_ROWS}, l AS (SELECT vec_id, sqrt(list_sum(list_transform(e, lambda v: v * v))) AS n, e FROM u ORDER BY md5('7:' || vec_id), vec_id LIMIT 2000), "
     "f AS (SELECT vec_id, CAST(list_transform(e, lambda v: CAST(v / n AS FLOAT)) AS DOUBLE[]) AS e FROM l), c AS (SELECT list_dot_product(a.e, b.e) AS c FROM f a JOIN f b ON a.vec_id < b.vec_id)"
 )
 

@@ -197,12 +197,17 @@ def test_queries_against_sql(spark):
     for t in ("embeddings", "orders", "customer"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     said = lambda v: "-" if v is None or v != v else f"{v:.5f}" if isinstance(v, float) else str(v)
+    differ = {}
     for name, sql in queries.SQL.items():
         ours, theirs = queries.QUERIES[name](spark, sf), con.sql(sql)
-        assert sorted(ours.columns) == sorted(theirs.columns), name
         cols = sorted(ours.columns)
+        if cols != sorted(theirs.columns):
+            differ[name] = cols
+            continue
         a = sorted(tuple(said(r[c]) for c in cols) for r in ours.collect())
         at = [theirs.columns.index(c) for c in cols]
         b = sorted(tuple(said(r[k]) for k in at) for r in theirs.fetchall())
-        assert a == b, name
+        if a != b:
+            differ[name] = next((x for x in zip(a, b, strict=False) if x[0] != x[1]), (len(a), len(b)))
+    assert not differ
     assert __spark_entry__.entry(spark).count() > 0
