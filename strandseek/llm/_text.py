@@ -10,7 +10,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U = np.uint64
@@ -124,13 +125,34 @@ def encode(texts: list[str | None]) -> list[bytes]:
     return [b"" if x is None else x.encode() for x in texts]
 
 
+def ranges(texts: pa.Array, limit: int) -> Iterator[tuple[int, int]]:
+    """Ranges of an Arrow column of about limit bytes, found without converting it; a longer text is alone."""
+    at, used = 0, 0
+    for k, n in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if used and used + n > limit:
+            yield at, k
+            at, used = k, 0
+        used += n
+    if at < len(texts):
+        yield at, len(texts)
+
+
+def utf8(texts: pa.Array) -> list[bytes]:
+    """UTF-8 of each text of an Arrow column, of a null none."""
+    return [x or b"" for x in texts.cast(pa.binary()).to_pylist()]
+
+
 def picked(df: DataFrame, key: str, text: str) -> DataFrame:
     """Only the key and the text, as (doc_id long, text string); other columns can't clash."""
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return df.select(column(key).cast("long").alias("doc_id"), column(text).cast("string").alias("text"))
+
+
+#: Texts of about so many bytes are converted and worked on at a time; a batch from Spark may hold far more.
+PART = 4 << 20
 
 
 def map_texts(df: DataFrame, f: Callable[[list, list], dict[str, list]], schema: str) -> DataFrame:
-    """Applies f(keys, texts) -> columns to each Arrow batch of a frame from ``picked``."""
+    """Applies f(keys, texts) -> columns to a frame from ``picked``, part by part of its Arrow batches."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
@@ -138,13 +160,45 @@ def map_texts(df: DataFrame, f: Callable[[list, list], dict[str, list]], schema:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                out = f(b.column(0).to_pylist(), b.column(1).to_pylist())
+            for i, j in ranges(b.column(1), PART):
+                out = f(b.column(0).slice(i, j - i).to_pylist(), b.column(1).slice(i, j - i).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(out[x.name], x.type) for x in arrow], schema=arrow)
 
     return df.mapInArrow(run, schema)
 
 
+def text_udf(f: Callable[[list[str | None]], list], kind: str, arrow: pa.DataType) -> Callable[[Column], Column]:
+    """A column function of texts that works part by part of its Arrow batches."""
+
+    @F.arrow_udf(kind)
+    def run(texts: pa.Array) -> pa.Array:
+        parts = [pa.array(f(texts.slice(i, j - i).to_pylist()), arrow) for i, j in ranges(texts, PART)]
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow)
+
+    return run
+
+
+def fresh(*frames: DataFrame, names: tuple[str, ...]) -> list[str]:
+    """Column names that no frame has, in any case."""
+    taken, out = {c.lower() for df in frames for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share. Only a session on one machine, as in tests, may leave it unset: it gets the warehouse."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+
+
 def column(name: str) -> Column:
     """The column of exactly this name, dots included."""
     return F.col(f"`{name.replace('`', '``')}`")

@@ -2,13 +2,16 @@
 
 Learning counts the letter n-grams of labelled texts and keeps each language's most frequent ones
 in order. It may use a bounded sample of the labelled rows: each row is taken or not by a hash of
-its key, with a rate that makes ``sample`` rows expected; everything else covers all rows. A text
+its key and text, with a rate that makes ``sample`` rows expected (rows that repeat one key and text
+are in or out together); everything else covers all rows. A text
 is compared by its own most frequent n-grams: each adds the difference of its two ranks, or the
 profile's length where the profile lacks it; the nearest profile wins, ties by name.
 
-Defined cases: a null text, or one without letters, is ``und`` with score 0; without any profile
-every text is ``und``; a null key stays null and is held out of nothing; repeated rows give
-repeated rows; an empty table gives an empty table of the same columns.
+Defined cases: a null text, or one without letters, is ``und`` with score 0, and teaches nothing if it
+is labelled; without any profile every text is ``und``; a null key stays null and is held out of
+nothing; n-grams of equal counts rank in code point order; repeated rows give repeated rows, and count
+each when learning; a very long text is counted whole, alone in its block; an empty table gives an
+empty table of the same columns; other columns, whatever their names, are never looked at.
 """
 
 from __future__ import annotations
@@ -17,14 +20,15 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import chunks, map_texts, picked
+from strandseek.llm._text import chunks, column, map_texts, picked, ranges, text_udf
 
 PROFILE, SAMPLE = 400, 20_000
+#: So many labels at most are taken for languages: what learning brings to the driver is bounded by it.
+LANGUAGES = 1000
 UNKNOWN = "und"
 #: Texts of about so many bytes are counted at once.
 BLOCK = 1 << 20
@@ -97,31 +101,33 @@ class Grams:
 
 
 def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", size: int = PROFILE, sample: int = SAMPLE) -> dict[str, list[str]]:
-    """Each language's n-grams in order of frequency, from rows that aren't held out and have a label.
+    """Each language's n-grams in order of frequency, from rows that aren't held out and have a label and a text.
 
-    What reaches the driver is ``size`` n-grams a language.
+    What reaches the driver is ``size`` n-grams a language, of at most ``LANGUAGES``.
     """
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    known = F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
-    n = rows.select("doc_id", "lang").where(known).count()
+    rows = docs.select(column(key).cast("long").alias("doc_id"), column(text).cast("string").alias("text"), column(lang).cast("string").alias("lang"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    n = rows.select("doc_id").count()
     if n > sample:
-        rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample / n) + 1))
+        rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample / n) + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter = Counter()
         for b in batches:
-            langs, texts = b.column(1).dictionary_encode(), b.column(0).to_pylist()
+            langs, texts = b.column(1).dictionary_encode(), b.column(0)
             names, owner = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-            for i, j in chunks(texts, BLOCK):
-                g = Grams(texts[i:j], owner[i:j])
+            for i, j in ranges(texts, BLOCK):
+                g = Grams(texts.slice(i, j - i).to_pylist(), owner[i:j])
                 for k, gram, n in zip(g.owner.tolist(), g.written(g.gram), g.count.tolist(), strict=True):
                     total[names[k], gram] += n
         out = [(lang, g, n) for (lang, g), n in total.items()]
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "gram", "n"])
 
-    counts = rows.where(known).select("text", "lang").mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = rows.select("text", "lang").mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    best = counts.withColumn("place", place).where(F.col("place") <= size).collect()
+    best = counts.withColumn("place", place).where(F.col("place") <= size).limit(size * LANGUAGES + 1).collect()
+    if len(best) > size * LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} labels: these aren't languages")
     profiles: dict[str, list] = {}
     for row in sorted(best, key=lambda r: (r["lang"], r["place"])):
         profiles.setdefault(row["lang"], []).append(row["gram"])
@@ -172,8 +178,10 @@ class Judge:
 def predict(docs: DataFrame, profiles: dict[str, list[str]], key: str = "doc_id", text: str = "text", size: int = PROFILE) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row, from its text alone."""
 
+    judge = Judge(profiles, size)
+
     def run(keys: list, texts: list) -> dict[str, list]:
-        said = Judge(profiles, size)(texts)
+        said = judge(texts)
         return {"doc_id": keys, "lang_pred": [x[0] for x in said], "score": [min(1.0, max(0.0, x[1])) for x in said]}
 
     out = map_texts(picked(docs, key, text), run, "doc_id long, lang_pred string, score double")
@@ -182,8 +190,6 @@ def predict(docs: DataFrame, profiles: dict[str, list[str]], key: str = "doc_id"
 
 def keep_known(docs: DataFrame, profiles: dict[str, list[str]], text: str = "text", size: int = PROFILE) -> DataFrame:
     """The rows whose text has some language, with all their columns; only ``und`` goes."""
-    @F.pandas_udf("string")
-    def judged(texts: pd.Series) -> pd.Series:
-        return pd.Series([x for x, _ in Judge(profiles, size)(list(texts))], dtype=object)
-
-    return docs.where(judged(F.col(text)) != UNKNOWN)
+    judge = Judge(profiles, size)
+    known = text_udf(lambda texts: [x != UNKNOWN for x, _ in judge(texts)], "boolean", pa.bool_())
+    return docs.where(known(column(text).cast("string")))

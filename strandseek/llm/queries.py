@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from strandseek.llm import decontam, language, near_dup, pieces, quality, secret_scan, substring, suffixes, warc
+from strandseek.llm._text import shared_folder
 from strandseek.llm.tokens import token_counts
 
 
@@ -36,11 +37,6 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.dedup(table(spark, sf_dir, "documents")).drop("kept")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; the warehouse where none is set, as in tests."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-
-
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write_archives(table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
     return warc.read_archives(spark, files, payloads=False)

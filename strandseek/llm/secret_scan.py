@@ -21,11 +21,11 @@ import re
 from math import erfc, exp, log, sqrt
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import map_texts, picked
+from strandseek.llm._text import column, map_texts, picked, text_udf
 
 KINDS = ("assign", "access", "hex", "random")
 #: The base patterns; letters of the names in either case, ASCII only.
@@ -152,9 +152,9 @@ def without_spans(text: str, mark: str) -> str:
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", size: str | None = None) -> DataFrame:
     """The same rows and columns, each secret span of the text replaced by a mark (``size``: a column of the text's length to renew)."""
 
-    @F.pandas_udf("string")
-    def hidden(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: without_spans(x, mark), na_action="ignore")
-
-    out = docs.withColumn(text, hidden(F.col(text)))
-    return out if size is None else out.withColumn(size, F.length(text).cast(dict(docs.dtypes)[size]))
+    hidden = text_udf(lambda texts: [None if x is None else without_spans(x, mark) for x in texts], "string", pa.string())
+    now = {text: hidden(column(text).cast("string")).alias(text)}
+    rows = docs.select(*[now.get(c, column(c)) for c in docs.columns])
+    if size is None:
+        return rows
+    return rows.select(*[F.length(column(text)).cast(dict(docs.dtypes)[size]).alias(c) if c == size else column(c) for c in docs.columns])
