@@ -172,11 +172,11 @@ def test_near_dup_star(spark):
 
 
 def test_components(spark, monkeypatch):
-    """The driver's components are those of the cluster's rounds."""
+    """The components that one task finds are those of the cluster's rounds."""
     edges = spark.createDataFrame([(5, 9), (9, 2), (2, 5), (-3, 7), (11, 12), (12, 13), (13, 14)], "a long, b long")
     near_dup.ensure_checkpoints(edges)
     few = sorted(near_dup.components(edges).collect())
-    monkeypatch.setattr(near_dup, "DRIVER_EDGES", 0)
+    monkeypatch.setattr(near_dup, "TASK_EDGES", 0)
     assert few == sorted(near_dup.components(edges).collect())
     assert dict(few) == {2: 2, 5: 2, 9: 2, -3: -3, 7: -3, 11: 11, 12: 11, 13: 11, 14: 11}
 
