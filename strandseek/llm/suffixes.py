@@ -1,11 +1,12 @@
 """Operator 4, suffix-array dedup: removes every byte inside a 400-byte string that occurs twice.
 
 Within a block of texts, suffixes are put in order by a mergesort that compares two of them in
-logarithmic time: prefix polynomial hashes tell whether two extensions are equal, and a binary
-search finds the longest; neighbours that come out equal over the whole length are then compared
-byte by byte, so a collision can't join them. That yields the classes of equal strings of a block.
-Classes of different blocks meet by 96 bits of hash (see ``_exchange``), a class counting as
-repeated if all blocks together hold two places of it.
+logarithmic time: prefix polynomial hashes tell whether two extensions are equal (that over the whole
+length is asked first), and a binary search finds the longest. Equal strings are a class because the
+sort has made them neighbours with a common extension of the whole length; all neighbours taken as
+equal are then compared byte by byte, so a collision can't join them. Classes of different blocks
+meet by 96 bits of hash (see ``_exchange``), a class counting as repeated if all blocks together hold
+two places of it; n different strings of the corpus hold a false pair with odds n^2 / 2^97.
 
 Sorting every suffix of a corpus is not needed. Each 400-byte string has an anchor, the place of
 its least 32-byte hash; equal strings have equal anchors at equal offsets. So: (1) strings whose
@@ -16,7 +17,8 @@ the other cells, called open, none is where the 369 bytes common to its strings
 have their common bytes from an open one elsewhere. No step loses or adds anything.
 
 Defined cases: a null or empty text has no bytes; texts of under 400 bytes lose nothing; a null key
-stays null; every row is a text of its own, repeated rows too; an empty table gives an empty table.
+stays null; every row is a text of its own, repeated rows too; a text longer than a block is a block;
+other columns may have any names; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -96,43 +98,47 @@ class Block:
         return (low - (least & low)).astype(np.int64)[self.start]
 
     def common(self, p: np.ndarray, q: np.ndarray, limit: int) -> np.ndarray:
-        """How far the suffixes at p and q agree, up to the limit, by binary search; they agree over HEAD."""
-        low, high = np.full(len(p), HEAD), np.full(len(p), limit)
-        for _ in range(int(limit - HEAD).bit_length()):
+        """How far the suffixes at p and q agree, below the limit, by binary search; they agree over HEAD."""
+        low, high = np.full(len(p), HEAD), np.full(len(p), limit - 1)
+        for _ in range(int(limit - 1 - HEAD).bit_length()):
             mid = (low + high + 1) >> 1
             same = self.raw(p, mid) == self.raw(q, mid)
             low = np.where(same, mid, low)
             high = np.where(same, high, np.maximum(mid - 1, low))
         return low
 
-    def before(self, p: np.ndarray, q: np.ndarray, limit: int, ties: np.ndarray) -> np.ndarray:
-        """Whether the suffix at p comes before that at q; of equal ones, what ``ties`` says."""
+    def before(self, p: np.ndarray, q: np.ndarray, limit: int, whole: np.ndarray, ties: np.ndarray | bool) -> np.ndarray:
+        """Whether the suffix at p comes before that at q; of equal ones, what ``ties`` says. ``whole``: hashes over the limit, by place."""
+        out = np.zeros(len(p), bool) | ties
+        at = np.flatnonzero(whole[p] != whole[q])
+        p, q = p[at], q[at]
         n = self.common(p, q, limit)
-        at = np.minimum(n, limit - 1)
-        a, b = self.buf[p + at], self.buf[q + at]
-        return np.where((n >= limit) | (a == b), ties, a < b)
+        out[at] = self.buf[p + n] < self.buf[q + n]
+        return out
 
-    def sort(self, places: np.ndarray, limit: int) -> np.ndarray:
+    def sort(self, places: np.ndarray, limit: int, whole: np.ndarray) -> np.ndarray:
         """The places in the order of their suffixes' first ``limit`` bytes.
 
-        One sort of numbers makes runs of equal heads and, inside them, of equal hashes, of which one
-        suffix each goes on into a bottom-up mergesort, all pairs of runs at once: each suffix finds its
-        rank in the other run of its pair.
+        One sort of numbers makes runs of equal heads. Those already in order stay; the others go through
+        a bottom-up mergesort, all pairs of runs at once: each suffix finds its rank in the other run of
+        its pair.
         """
         head = np.ascontiguousarray(sliding_window_view(self.buf, HEAD)[places]).view(">u8").astype(U)
-        whole = self.raw(places, limit)
-        order = np.lexsort((whole, head[:, 1], head[:, 0]))
-        sorted_, head, whole = places[order], head[order], whole[order]
+        order = np.lexsort((head[:, 1], head[:, 0]))
+        places, head = places[order], head[order]
         new = np.concatenate(([True], (head[1:] != head[:-1]).any(axis=1)))
-        one = np.flatnonzero(new | np.concatenate(([True], whole[1:] != whole[:-1])))
-        runs = np.diff(np.append(one, len(sorted_)))
-        places, new = sorted_[one], new[one]
+        inside = np.flatnonzero(~new)
+        wrong = inside[self.before(places[inside], places[inside - 1], limit, whole, False)]
         bounds = np.append(np.flatnonzero(new), len(places))
         size = np.diff(bounds)
-        todo = np.flatnonzero(np.repeat(size, size) > 1)
+        open_ = np.zeros(len(size), bool)
+        open_[np.cumsum(new)[wrong] - 1] = True
+        if not open_.any():
+            return places
+        todo = np.flatnonzero(np.repeat(open_, size))
         begin = np.repeat(bounds[:-1], size)[todo]
         end = np.repeat(bounds[1:], size)[todo]
-        at, width, most = todo.copy(), 1, int(size.max())
+        at, width, most = todo.copy(), 1, int(size[open_].max())
         held = places[todo]  # the suffix that each entry stands for; ``at`` is its place in the order
         while width < most:
             run = (at - begin) // width
@@ -142,25 +148,24 @@ class Block:
             live = np.flatnonzero(low < high)
             while len(live):
                 mid = (low[live] + high[live]) >> 1
-                goes = self.before(places[mid], held[live], limit, right[live])
+                goes = self.before(places[mid], held[live], limit, whole, right[live])
                 low[live] = np.where(goes, mid + 1, low[live])
                 high[live] = np.where(goes, high[live], mid)
                 live = live[low[live] < high[live]]
             at = begin + (run >> 1) * 2 * width + (at - begin) % width + (low - other)
             places[at] = held
             width *= 2
-        run_at = np.arange(len(runs))
-        run_at[at] = todo
-        first, runs = one[run_at], runs[run_at]
-        return sorted_[np.arange(len(sorted_)) + np.repeat(first - (np.cumsum(runs) - runs), runs)]
+        return places
 
     def classes(self, places: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(a place of each class of equal strings, how many places it has, the class of each given place)."""
         if not len(places):
             return places, places, places
-        order = self.sort(places, limit)
+        whole = np.empty(len(self.buf), U)
+        whole[places] = self.raw(places, limit)
+        order = self.sort(places, limit, whole)
         a, b = order[:-1], order[1:]
-        same = self.raw(a, limit) == self.raw(b, limit)
+        same = whole[a] == whole[b]  # the common extension of neighbours reaches the limit
         view = sliding_window_view(self.buf, limit)
         for k in range(0, len(a), 4096):  # the collision check
             part = np.flatnonzero(same[k : k + 4096]) + k

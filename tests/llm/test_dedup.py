@@ -4,6 +4,8 @@ import collections
 import hashlib
 import random
 
+import numpy as np
+
 from strandseek.llm import near_dup, substring, suffixes
 
 SCHEMA = "doc_id long, text string, class string, n_words long"
@@ -84,6 +86,37 @@ def test_suffixes(spark, monkeypatch):
     assert suffixes.dedup(frame(spark, rows).limit(0)).count() == 0
 
 
+def places_of(texts, n):
+    block = suffixes.Block([x.encode() for x in texts], n)
+    return block, block.start
+
+
+def test_sorted_suffixes(monkeypatch):
+    """The mergesort gives the order of the strings, and the classes hang on it: wrong comparisons lose them."""
+    rng = random.Random(9)
+    stem = "".join(rng.choice("abc") for _ in range(90))
+    texts = [stem + "".join(rng.choice("xy") for _ in range(rng.randrange(1, 40))) for _ in range(60)]
+    block, places = places_of(texts, 64)
+    order = block.sort(places, 64, (whole := np.zeros(len(block.buf), np.uint64)))
+    assert sorted(order) == sorted(places)
+    whole[places] = block.raw(places, 64)
+    strings = [block.data[p : p + 64] for p in block.sort(places, 64, whole)]
+    assert strings == sorted(strings)
+    at, n, of = block.classes(places, 64)
+    count = collections.Counter(block.data[p : p + 64] for p in places)
+    assert {block.data[p : p + 64]: k for p, k in zip(at.tolist(), n.tolist(), strict=True)} == count and len(of) == len(places)
+    monkeypatch.setattr(suffixes.Block, "before", lambda self, p, q, limit, whole, ties: np.zeros(len(p), bool) | ties)
+    assert len(block.classes(places, 64)[0]) > len(count)
+
+
+def test_equal_hashes_are_not_enough(monkeypatch):
+    """Of neighbours whose hashes agree only those of equal bytes share a class."""
+    block, places = places_of(["a" * 80, "b" * 80, "a" * 80], 64)
+    monkeypatch.setattr(suffixes.Block, "raw", lambda self, at, size, lane=0: np.zeros(len(at), np.uint64))
+    at, n, _ = block.classes(places, 64)
+    assert {block.data[p : p + 64] for p in at.tolist()} == {b"a" * 64, b"b" * 64} and n.sum() == len(places)
+
+
 def near_corpus(seed):
     rng = random.Random(seed)
     new = lambda n: [f"t{rng.randrange(5000)}" for _ in range(n)]
@@ -182,8 +215,6 @@ def test_components(spark, monkeypatch):
 
 
 def test_alignment():
-    import numpy as np
-
     a = np.arange(100, dtype=np.uint64)
     assert near_dup.similar(a, a) and not near_dup.similar(a, a[::-1].copy())
     assert near_dup.similar(a, np.delete(a, [3, 50])) and not near_dup.similar(a, a[:70])
