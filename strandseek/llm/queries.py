@@ -64,4 +64,4 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op4_suffix_dedup, op5_warc, op6_secret_scan, op7_sentencepiece, op8_near_dup, op9_quality_rules, op10_language_id)}
-SQL: dict[str, str] = {"op5_warc": warc.WARC_SQL, "op2_substring_dedup": substring.DEDUP_SQL, "op3_decontaminate": decontam.DECONTAMINATE_SQL}
+SQL: dict[str, str] = {"op5_warc": warc.WARC_SQL, "op2_substring_dedup": substring.DEDUP_SQL, "op3_decontaminate": decontam.DECONTAMINATE_SQL, "op9_quality_rules": quality.quality_sql()}

@@ -4,28 +4,40 @@ Base matches come from three patterns. Beside them, every run of token character
 digits is read in the encoding that its characters imply (hex, base32, base62 or base64). Three
 tests ask whether its symbols look uniform and independent: chi-squared of the symbols over the
 alphabet, runs about the alphabet's middle, and serial correlation; Fisher's method combines them.
+A run that fits no alphabet, or fails, is tried again by its parts between signs (a key in a path).
+
 A token passes if the battery doesn't reject it AND ordinary text of its length would hardly look
-so even: under the skewed symbol frequencies of prose the chi-squared value is noncentral, with a
-noncentrality that grows with the length, and the lower tail of that distribution is its p-value.
-Over the tokens of a text those p-values go through Benjamini and Hochberg's procedure, so longer
-tokens pass more easily than short ones and the share of false ones is controlled.
+so. That has a p-value of its own, by Fisher's method from two tests: under the skewed symbol
+frequencies of prose the chi-squared value is noncentral, with a noncentrality that grows with the
+length, so a random token lies in its lower tail; and ordinary tokens seldom change between letters
+and digits or from lower to upper case, so a random token has more runs of these classes than the
+binomial of its length allows. False discoveries are controlled over the whole corpus, for each range
+of lengths by itself (``LENGTHS``): a first pass counts the p-values of all tokens in eighths of a
+decade, and Benjamini and Hochberg's procedure on the counts says how small one must be. So what
+``scan`` and ``redact`` find depends on all texts of the frame; a lone text is held against
+``FALSE_SHARE`` itself.
 
 Defined cases: a null text counts as empty (no spans); a null key stays null; repeated rows give
-repeated rows; an empty table gives an empty table of the same columns.
+repeated rows, and count each in the control; a very long text is scanned whole; an empty table gives
+an empty table of the same columns; other columns may have any names. Where a base span and a random
+one would overlap the base span stays alone.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from math import erfc, exp, log, sqrt
+from collections import Counter
+from collections.abc import Iterator
+from math import comb, erfc, exp, log, log10, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import column, map_texts, picked, text_udf
+from strandseek.llm._text import PART as TEXTS
+from strandseek.llm._text import column, map_texts, picked, ranges, text_udf
 
 KINDS = ("assign", "access", "hex", "random")
 #: The base patterns; letters of the names in either case, ASCII only.
@@ -45,6 +57,12 @@ ALPHABETS = (
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", 0.055),
 )
 REJECT, FALSE_SHARE = 0.001, 0.01
+#: How often neighbours in ordinary tokens differ in class, in one case and in both.
+CHANGES = {1: 0.1, 2: 0.2}
+LEAST = 20
+PART = re.compile(f"[A-Za-z0-9]{{{LEAST},}}")
+#: Where each range of token lengths begins, the bins of p-values in a decade, and the last bin.
+LENGTHS, BINS, LAST_BIN = (LEAST, 24, 32, 40, 64), 8, 160
 
 
 def normal_tail(z: float) -> float:
@@ -66,6 +84,19 @@ def fisher(ps: list[float]) -> float:
     return min(1.0, exp(-half) * total)
 
 
+def binomial_tail(k: int, n: int, p: float) -> float:
+    """The probability of at least k of n; of many by the normal approximation."""
+    if n > 500:
+        return normal_tail((k - 0.5 - n * p) / sqrt(n * p * (1 - p)))
+    return min(1.0, sum(comb(n, j) * p**j * (1 - p) ** (n - j) for j in range(k, n + 1)))
+
+
+def changes(token: str) -> int:
+    """Neighbours that differ in class; a capital before a small letter begins a word and is none."""
+    kinds = "".join("d" if c.isdigit() else "a" if c.islower() else "A" if c.isupper() else "" for c in token)
+    return sum(x != y and x + y != "Aa" for x, y in zip(kinds, kinds[1:], strict=False))
+
+
 def battery(token: str) -> tuple[str, float, float] | None:
     """The encoding inferred, the battery's p-value (small: not random), and the p-value of ordinary text (small: not text)."""
     for name, alphabet, squares in ALPHABETS:
@@ -89,60 +120,119 @@ def battery(token: str) -> tuple[str, float, float] | None:
     spread = float((y * y).sum())
     serial = erfc(abs(float((y[1:] * y[:-1]).sum()) / spread * n + 1) / sqrt(2 * n)) if spread else 0.0
     beyond = n * (a * squares - 1)
-    text = normal_tail(-(chi - (a - 1) - beyond) / sqrt(2 * (a - 1 + 2 * beyond)))
-    return name, fisher([uniform, runs, serial]), text
+    even = normal_tail(-(chi - (a - 1) - beyond) / sqrt(2 * (a - 1 + 2 * beyond)))
+    mixed = binomial_tail(changes(token), n - 1, CHANGES[2 if a > 32 else 1])
+    return name, fisher([uniform, runs, serial]), fisher([even, mixed])
+
 
+def tested(text: str, taken: list[tuple[int, int]], reject: float = REJECT) -> list[tuple[float, int, int]]:
+    """(p-value of ordinary text, start, end) of the tokens outside the taken spans that the battery doesn't reject."""
+    out = []
+
+    def passes(a: int, token: str) -> bool:
+        b = a + len(token)
+        if len(token) < LEAST or not (DIGIT(token) and LETTER(token)) or any(s < b and a < e for s, e in taken):
+            return False
+        if not (found := battery(token)) or found[1] < reject:
+            return False
+        out.append((found[2], a, b))
+        return True
 
-def random_spans(text: str, taken: list[tuple[int, int]], reject: float = REJECT, false_share: float = FALSE_SHARE) -> list[tuple[int, int]]:
-    """Tokens outside the taken spans that pass the battery and the false-discovery control."""
-    found = []
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
         token = m[0].strip("-_/+")
-        a += m[0].find(token) if token else 0
-        b = a + len(token)
-        if len(token) < 20 or not (DIGIT(token) and LETTER(token)) or any(s < b and a < e for s, e in taken):
-            continue
-        if (tested := battery(token)) and tested[1] >= reject:
-            found.append((tested[2], a, b))
-    found.sort()
-    passed = max((k for k, x in enumerate(found, 1) if x[0] <= false_share * k / len(found)), default=0)
-    return sorted((a, b) for _, a, b in found[:passed])
+        at = m.start() + m[0].find(token) if token else 0
+        if not passes(at, token) and not token.isalnum():
+            for part in PART.finditer(token):
+                passes(at + part.start(), part[0])
+    return out
 
 
-def secret_spans(text: str | None) -> list[tuple[int, str, int]]:
-    """(start, kind, end) in code points, by start and then by kind as listed."""
-    if not text:
-        return []
+def bin_of(p: float) -> int:
+    return min(LAST_BIN, int(-BINS * log10(max(p, 1e-30))))
+
+
+def range_of(length: int) -> int:
+    return sum(length >= x for x in LENGTHS) - 1
+
+
+#: What a lone text is held against.
+ALONE = tuple(-int(BINS * log10(FALSE_SHARE)) for _ in LENGTHS)
+
+
+def random_spans(text: str, taken: list[tuple[int, int]], limits: tuple[int, ...] = ALONE, reject: float = REJECT) -> list[tuple[int, int]]:
+    """Tokens outside the taken spans that pass the battery and whose p-values reach the bin that their length asks for."""
+    return sorted((a, b) for p, a, b in tested(text, taken, reject) if bin_of(p) >= limits[range_of(b - a)])
+
+
+def base_spans(text: str) -> list[tuple[int, int, int]]:
+    """(start, number of the kind, end) of the fixed patterns."""
     spans, low = [], text.lower()
     if any(x in low for x in NAMES):
         spans += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[1]) >= 12]
     if "AKIA" in text:
         spans += [(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 18]
-    spans += [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
-    spans += [(a, 3, b) for a, b in random_spans(text, [(a, b) for a, _, b in spans])]
+    return spans + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
+
+
+def secret_spans(text: str | None, limits: tuple[int, ...] = ALONE) -> list[tuple[int, str, int]]:
+    """(start, kind, end) in code points, by start and then by kind as listed."""
+    if not text:
+        return []
+    spans = base_spans(text)
+    spans += [(a, 3, b) for a, b in random_spans(text, [(a, b) for a, _, b in spans], limits)]
     return [(a, KINDS[k], b) for a, k, b in sorted(spans)]
 
 
+def limits_of(texts: DataFrame, false_share: float = FALSE_SHARE) -> tuple[int, ...]:
+    """For each range of lengths the least bin whose tokens are discoveries, over all texts of a frame of one column.
+
+    What reaches the driver is a count for each range and bin.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count: Counter = Counter()
+        for b in batches:
+            for i, j in ranges(b.column(0), TEXTS):
+                for x in b.column(0).slice(i, j - i).to_pylist():
+                    if x and CANDIDATE.search(x):
+                        count.update((range_of(e - s), bin_of(p)) for p, s, e in tested(x, [(s, e) for s, _, e in base_spans(x)]))
+        rows = sorted(count.items())
+        yield pa.RecordBatch.from_arrays([pa.array([x[0][0] for x in rows], pa.int32()), pa.array([x[0][1] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.int64())], names=["range", "bin", "n"])
+
+    counts = texts.mapInArrow(run, "range int, bin int, n long").groupBy("range", "bin").agg(F.sum("n").alias("n")).collect()
+    out = []
+    for k in range(len(LENGTHS)):
+        mine = {r["bin"]: r["n"] for r in counts if r["range"] == k}
+        total, least, up = sum(mine.values()), LAST_BIN + 1, 0
+        for b in sorted(mine, reverse=True):
+            up += mine[b]
+            if 10 ** (-b / BINS) <= false_share * up / total:
+                least = b
+        out.append(least)
+    return tuple(out)
+
+
 def said(spans: list[tuple[int, str, int]]) -> str:
     return ",".join(f"{k}:{a}:{b}" for a, k, b in spans)
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256 (of the base spans as text) and spans (all of them as text)."""
+    rows = picked(docs, key, text)
+    limits = limits_of(rows.select("text"))
 
     def run(keys: list, texts: list) -> dict[str, list]:
-        every = [secret_spans(x) for x in texts]
+        every = [secret_spans(x, limits) for x in texts]
         base = [[x for x in spans if x[1] != "random"] for spans in every]
         out = {f"n_{k}": [sum(x[1] == k for x in spans) for spans in base] for k in KINDS[:3]}
         return {"doc_id": keys, **out, "base_sha256": [hashlib.sha256(said(x).encode()).hexdigest() for x in base], "spans": [said(x) for x in every]}
 
-    return map_texts(picked(docs, key, text), run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+    return map_texts(rows, run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
 
 
-def without_spans(text: str, mark: str) -> str:
+def without_spans(text: str, mark: str, limits: tuple[int, ...] = ALONE) -> str:
     out, at = [], 0
-    for a, _, b in secret_spans(text):
+    for a, _, b in secret_spans(text, limits):
         if a >= at:
             out += [text[at:a], mark]
         at = max(at, b)
@@ -152,7 +242,8 @@ def without_spans(text: str, mark: str) -> str:
 def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]", size: str | None = None) -> DataFrame:
     """The same rows and columns, each secret span of the text replaced by a mark (``size``: a column of the text's length to renew)."""
 
-    hidden = text_udf(lambda texts: [None if x is None else without_spans(x, mark) for x in texts], "string", pa.string())
+    limits = limits_of(docs.select(column(text).cast("string").alias("text")))
+    hidden = text_udf(lambda texts: [None if x is None else without_spans(x, mark, limits) for x in texts], "string", pa.string())
     now = {text: hidden(column(text).cast("string")).alias(text)}
     rows = docs.select(*[now.get(c, column(c)) for c in docs.columns])
     if size is None:

@@ -117,7 +117,27 @@ def test_secrets(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
     draws = ["".join(rng.choice(alphabet) for _ in range(n)) for alphabet in ("0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for n in (40, 64) for _ in range(50)]
     found = sum(bool(secret_scan.random_spans(f"x {t} y", [])) for t in draws)
-    assert found > 0.7 * len(draws)
+    assert found > 0.9 * len(draws)
+    assert secret_scan.random_spans(f"go to /api-v2/user_data/{token} now", []) == [(24, 24 + len(token))]
+
+
+def test_false_discoveries(spark):
+    """What a token must reach depends on all texts of the frame: chance findings among many ordinary tokens don't pass."""
+    rng = random.Random(3)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secrets = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(5)]
+    words = ["get", "User", "Name", "from", "Request", "2", "data", "Base", "7", "the", "Index", "40"]
+    plain = ["".join(rng.choice(words) for _ in range(9)) for _ in range(3000)]
+    docs = spark.createDataFrame(list(enumerate([*plain, *secrets])), "doc_id long, text string")
+    found = {r["doc_id"] for r in secret_scan.scan(docs).where("spans <> ''").collect()}
+    assert {3000 + k for k in range(5)} <= found and len(found) <= 6
+    assert all(x >= y for x, y in zip(secret_scan.limits_of(docs.select("text")), secret_scan.ALONE, strict=True))
+
+
+def test_binomial():
+    assert secret_scan.binomial_tail(0, 10, 0.2) == 1 and abs(secret_scan.binomial_tail(10, 10, 0.5) - 2**-10) < 1e-12
+    assert abs(secret_scan.binomial_tail(110, 501, 0.2) - secret_scan.binomial_tail(110, 500, 0.2)) < 0.01
+    assert secret_scan.changes("getName2") == 2 and secret_scan.changes("aB1c") == 3 and secret_scan.changes("Word") == 0
 
 
 def test_quality(spark):
@@ -136,10 +156,49 @@ def test_quality(spark):
         assert r["base_failed"] == (len(w) < 50 or 100 * len(mark) > 50 * len(w)) and (not r["kept"] or not r["base_failed"])
 
 
+def test_quality_verdict():
+    """The coverage alone rejects a text that the base rules keep."""
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"p{i}" for i in range(40))
+    text = " ".join(f"u{x}" for x in rng.permutation(200)) + " " + passage + "\n" + passage
+    m = quality.measure([text.encode(), " ".join(f"u{i}" for i in range(100)).encode()])
+    failed, kept = quality.verdict(m)
+    assert failed.tolist() == [False, False] and kept.tolist() == [False, True]
+    share = 80 / 280
+    assert m["dup_10_chars"][0] / m["word_chars"][0] == pytest.approx(share, abs=0.08) and m["n_repeat_words"][0] == 80
+
+
+def out_of_place(text, profiles, size):
+    """The language by a plain ranking of n-grams."""
+    marked = "_" + "".join(c if c.isalpha() else "_" for c in text.lower()) + "_"
+    while "__" in marked:
+        marked = marked.replace("__", "_")
+    count = collections.Counter()
+    for n in (1, 2, 3):
+        for k in range(len(marked) - n + 1):
+            g = marked[k : k + n]
+            if g != "_" and "_" not in g[1:-1]:
+                count[g] += 1
+    top = sorted(count, key=lambda g: (-count[g], [ord(c) if c != "_" else 0 for c in g]))[:size]
+    far = {lang: sum(abs(p.index(g) - k) if g in p else size for k, g in enumerate(top)) for lang, p in profiles.items()}
+    return min(far, key=lambda lang: (far[lang], lang))
+
+
+def test_out_of_place(spark):
+    """Learned profiles and predictions are those of a plain count and ranking."""
+    rng = random.Random(11)
+    syllables = {"aa": ["ka", "to", "mi", "re", "Éla"], "bb": ["sch", "ein", "der", "to", "mi"], "cc": ["ou", "la", "que", "re", "ß"]}
+    rows = [(i, " ".join("".join(rng.choice(syllables[lang]) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(1, 30))) + rng.choice([".", "", " 12!"]), lang) for i in range(150) for lang in [rng.choice(list(syllables))]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    profiles = language.learn(docs, size=30)
+    for r in language.predict(docs, profiles, size=30).collect():
+        assert r["lang_pred"] == out_of_place(rows[r["doc_id"]][1], profiles, 30), rows[r["doc_id"]]
+
+
 def test_language(spark):
     samples = {"en": "the quick brown fox and the lazy dog were there with them", "de": "der schnelle braune fuchs und der faule hund waren nicht dort", "fr": "le renard brun et le chien paresseux étaient dans la maison"}
     rows = [(i, " ".join(np.random.default_rng(i).permutation(samples[lang].split())), lang) for i in range(90) for lang in [list(samples)[i % 3]]]
-    rows += [(200, None, "en"), (201, "12 34!", "en"), (202, "the dog", None), (None, "le chien", "fr")]
+    rows += [(200, None, "en"), (201, "12 34!", "en"), (208, None, "de"), (209, None, "de"), (210, "", "fr"), (202, "the dog", None), (None, "le chien", "fr")]
     docs = spark.createDataFrame([(k, t, lang, 0.5) for k, t, lang in rows], "doc_id long, text string, lang string, score double")
     profiles = language.learn(docs)
     assert set(profiles) == set(samples)
@@ -147,6 +206,7 @@ def test_language(spark):
     by = {r["doc_id"]: r for r in got}
     assert all(by[k]["held_out"] == (zlib.crc32(str(k).encode()) % 3 == 1) for k, *_ in rows if k is not None)
     assert all(by[k]["lang_pred"] == lang for k, _, lang in rows[:90]) and by[200]["lang_pred"] == by[201]["lang_pred"] == "und"
+    assert not (by[208]["held_out"] and by[209]["held_out"])  # a row without text that isn't held out teaches nothing
     assert all(0 <= r["score"] <= 1 for r in got) and by[None]["lang_pred"] == "fr" and not by[None]["held_out"]
     assert sorted(r["doc_id"] or 0 for r in language.keep_known(docs, profiles).collect()) == sorted([*range(90), 202, 0])
     assert language.predict(docs, {}).where("lang_pred <> 'und'").count() == 0
