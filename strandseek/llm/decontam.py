@@ -1,31 +1,40 @@
 """Operator 3, benchmark decontamination by winnowing, in DataFrame operations only.
 
-A document keeps for each run of 13 words the least hash of its 5-word grams; the benchmark's
-13-word windows keep theirs. A shared span of 13 words has the same least hash on both sides, so
-joining those fingerprints misses nothing; each hit is then extended to its whole window, whose
-words must be equal. Items of fewer words are one window, found by the hash of all its words.
+Of every 13 words in a row the least hash of their 5-word grams is kept, at its leftmost place, and
+each place once however many windows keep it: about a fifth of all places, in documents and in the
+benchmark alike. A shared span of 13 words has the same least gram on both sides, so joining the
+fingerprints misses nothing. A hit is then extended: the words before and behind the gram, as many
+as a window around it can hold, are compared one by one in both directions, and where the common
+stretch is a whole window long all of it is hit. An item of under 13 words is one window; documents
+are winnowed for each length that occurs, all in one pass.
+
+Each fingerprint carries only the words around it, never the document. A document's fingerprint is
+joined with one row of the benchmark, which lists the contexts of its gram, so a gram that many items
+share doesn't multiply rows.
 
 Defined cases: a null or empty text has no words, no hits and isn't contaminated; an item without
 words has no windows; a null item id is written as an empty string; items of one id are one item;
 rows are told apart by key and text, so repeated rows give repeated rows, and a null key stays
-null; an empty benchmark hits nothing; an empty table gives an empty table of the same columns.
+null; a very long text is worked on whole, in time and memory proportional to its words; of equal
+least grams in a window the leftmost is kept, on both sides; an empty benchmark hits nothing; an
+empty table gives an empty table of the same columns; other columns may have any names.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import column
+from strandseek.llm._text import column, fresh
 
 WINDOW, GRAM = 13, 5
 #: What ends a word, once A-Z are lower case.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: The benchmark's windows are broadcast up to so many of them, or so many bytes of their words; beyond, joins shuffle.
-BROADCAST_WINDOWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+#: The benchmark's fingerprints are broadcast up to so many of them, and so many words and ids around them; beyond, joins shuffle.
+BROADCAST_PRINTS, BROADCAST_STRINGS = 200_000, 4_000_000
 
 
 def lower_ascii(text: Column) -> Column:
@@ -47,39 +56,79 @@ def least_of(source: str, times: int, step: int) -> Column:
     return F.transform(numbers(F.size(source), (times - 1) * step + 1), lambda i: F.least(*[F.get(source, i + k * step) for k in range(times)]))
 
 
-def fingerprints(rows: DataFrame, length: int, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Adds ``fp`` to rows with ``words``: for each run of ``length`` words its fingerprint.
+def grams_of(length: int, gram: int) -> int:
+    """How many words a gram has in windows of so many."""
+    return min(gram, length)
 
-    Each step is a projection of its own whose result is used more than once, so that the optimiser
-    doesn't write one step into the next one's lambda and repeat it for every element. For the same
-    reason callers use outer explodes: from others it infers a filter on the array's size and pushes
-    that, with all steps written out, to the scan.
+
+def selected(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """Adds ``kept`` to rows with ``h``, the words' hashes: what winnowing keeps of windows of ``length`` words.
+
+    An element holds half of a gram's hash above its place, so the least of a window is the leftmost of
+    its least grams; halves of different grams that agree cost a comparison, no result. Each step is a
+    projection of its own whose result is used more than once, so that the optimiser doesn't write one
+    step into the next one's lambda and repeat it for every element. For the same reason callers use
+    outer explodes: from others it infers a filter on the array's size and pushes that, with all steps
+    written out, to the scan.
     """
-    if length < window:
-        gram = length
-    rows = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
-    rows = rows.withColumn("g", F.transform(numbers(F.size("h"), gram), lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(gram)])))
-    left, spread = length - gram + 1, 1  # how many grams, of which so many are already joined
-    at = 0
+    k = grams_of(length, gram)
+    hashed = lambda i: F.xxhash64(*[F.get("h", i + j) for j in range(k)])
+    rows = rows.withColumn("m0", F.transform(numbers(F.size("h"), k), lambda i: hashed(i).bitwiseAND(F.lit(-1 << 32)).bitwiseOR(i.cast("long"))))
+    left, spread, at = length - k + 1, 1, 0  # how many grams, of which so many are already joined
     while spread < left:
         times = 3 if spread * 3 <= left else 2
         step = spread if spread * times <= left else left - spread
-        source = "g" if at == 0 else f"m{at - 1}"
-        rows = rows.withColumn(f"m{at}", least_of(source, times, step))
+        rows = rows.withColumn(f"m{at + 1}", least_of(f"m{at}", times, step))
         spread = spread + (times - 1) * step
         at += 1
-    return rows.withColumnRenamed(f"m{at - 1}" if at else "g", "fp").drop("h", *(["g"] if at else []), *(f"m{k}" for k in range(at - 1)))
+    kept = F.col(f"m{at}")
+    # the place that windows keep grows with them, so equal ones are neighbours
+    once = F.filter(kept, lambda x, i: (i == 0) | (x != F.get(kept, i - 1)))
+    return rows.withColumn("kept", once).drop(*(f"m{j}" for j in range(at + 1)))
+
+
+def around(length: int, k: int, kept: Column) -> Column:
+    """A kept place with the words around it that a window could hold; ``before`` goes from the gram to the left."""
+    at, reach = kept.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"), length - k
+    return F.struct(
+        F.lit(length).alias("length"),
+        F.shiftright(kept, 32).cast("int").alias("print"),
+        at.alias("at"),
+        F.reverse(F.slice("words", F.greatest(at - reach, F.lit(0)) + 1, F.least(at, F.lit(reach)))).alias("before"),
+        F.slice("words", at + 1, k).alias("words_of_gram"),
+        F.slice("words", at + k + 1, reach).alias("behind"),
+    )
+
+
+def prints_of(rows: DataFrame, lengths: list[int], window: int, gram: int) -> DataFrame:
+    """Of rows with ``words`` a row a fingerprint, with what ``around`` gives; other columns go along."""
+    carried = [column(c) for c in rows.columns if c != "words"]
+    rows = rows.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
+    parts = []
+    for length in lengths:
+        k = grams_of(length, gram)
+        rows = selected(rows, length, gram).withColumnRenamed("kept", f"kept{length}")
+        parts.append(F.transform(f"kept{length}", partial(around, length, k)))
+    return rows.select(*carried, F.explode_outer(F.concat(*parts)).alias("f")).where(F.col("f").isNotNull()).select(*carried, "f.*")
+
+
+def agreeing(a: Column, b: Column) -> Column:
+    """With how many elements both arrays begin alike."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), F.lit(False)).cast("int")
+    return F.when(differ == 0, F.size(a)).otherwise(differ - 1)
 
 
-def benchmark_windows(items: DataFrame, key: str, text: str, window: int) -> DataFrame:
-    """length, fp, said (the words) and items (the ids, as strings) of each distinct window."""
+def known_prints(items: DataFrame, key: str, text: str, window: int, gram: int) -> tuple[DataFrame, list[int]]:
+    """length, print and contexts (before, words_of_gram, behind and the ids of the items that have it) of the benchmark, and its lengths."""
     rows = items.select(F.coalesce(column(key).cast("string"), F.lit("")).alias("item"), words_of(column(text).cast("string")).alias("words"))
-    rows = rows.where(F.size("words") > 0).withColumn("length", F.least(F.size("words"), F.lit(window)))
-    starts = numbers(F.size("words"), 1)
-    rows = rows.withColumn("at", F.explode_outer(F.filter(starts, lambda i: i <= F.size("words") - F.col("length"))))
-    said = F.array_join(F.slice("words", F.col("at") + 1, F.col("length")), " ")
-    rows = rows.where(F.col("at").isNotNull())
-    return rows.select("length", "item", said.alias("said")).groupBy("length", "said").agg(F.collect_set("item").alias("items"))
+    rows = rows.where(F.size("words") > 0).withColumn("of", F.least(F.size("words"), F.lit(window)))
+    lengths = sorted(r["of"] for r in rows.select("of").distinct().collect())  # at most ``window``
+    found = prints_of(rows, lengths, window, gram).where("length = of") if lengths else None
+    if found is None:
+        return rows.sparkSession.createDataFrame([], "length int, print int, contexts array<struct<before:array<string>,words_of_gram:array<string>,behind:array<string>,items:array<string>>>"), []
+    context = ["before", "words_of_gram", "behind"]
+    found = found.groupBy("length", "print", *context).agg(F.collect_set("item").alias("items"))
+    return found.groupBy("length", "print").agg(F.collect_list(F.struct(*context, "items")).alias("contexts")), lengths
 
 
 def judged(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, item_text: str, window: int, gram: int) -> DataFrame:
@@ -87,24 +136,23 @@ def judged(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, it
     base = docs.select(column(key).cast("long").alias("doc_id"), column(text).cast("string").alias("text"))
     base = base.withColumn("row", F.xxhash64("text"))
     spaced = base.select("doc_id", "row", words_of(F.col("text")).alias("words"))
-    known = benchmark_windows(items, item, item_text, window)
-    sizes = known.groupBy("length").agg(F.count("*").alias("n"), F.sum(F.length("said") + 8 * F.size("items")).alias("bytes")).collect()
-    small = sum(r["n"] for r in sizes) <= BROADCAST_WINDOWS and sum(r["bytes"] for r in sizes) <= BROADCAST_BYTES
-    held = F.broadcast if small else (lambda x: x)
-    hits = []
-    for length in sorted(r["length"] for r in sizes):
-        windows = known.where(F.col("length") == length)
-        prints = fingerprints(windows.select(F.split("said", " ").alias("words")), length, window, gram).select(F.explode_outer("fp").alias("print")).distinct()
-        found = fingerprints(spaced, length, window, gram).select("doc_id", "row", "words", F.posexplode_outer("fp").alias("at", "print"))
-        found = found.join(held(prints), "print", "left_semi")
-        # never null, or the join below would check that before the one above, for every window
-        found = found.select("doc_id", "row", "at", F.coalesce(F.array_join(F.slice("words", F.col("at") + 1, length), " "), F.lit("")).alias("said"))
-        hits.append(found.join(held(windows.select("said", "items")), "said").select("doc_id", "row", "at", (F.col("at") + length).alias("end"), "items"))
+    known, lengths = known_prints(items, item, item_text, window, gram)
     rows = spaced.select("doc_id", "row", F.size("words").cast("long").alias("n_words"))
-    if not hits:
+    if not lengths:
         rows = rows.withColumns({"n_hit": F.lit(0).cast("long"), "listed": F.array().cast("array<string>")})
     else:
-        per = reduce(DataFrame.unionByName, hits).groupBy("doc_id", "row").agg(
+        words = lambda c: F.size(c["before"]) + F.size(c["words_of_gram"]) + F.size(c["behind"])
+        held = F.aggregate("contexts", F.lit(0).cast("long"), lambda s, c: s + words(c) + F.size(c["items"]))
+        size = known.agg(F.count("*").alias("n"), F.sum(held).alias("strings")).first()
+        small = size["n"] <= BROADCAST_PRINTS and size["strings"] <= BROADCAST_STRINGS
+        found = prints_of(spaced, lengths, window, gram).join(F.broadcast(known) if small else known, ["length", "print"])
+        left, right = (lambda c: agreeing(c["before"], F.col("before"))), (lambda c: agreeing(c["behind"], F.col("behind")))
+        grown = F.transform("contexts", lambda c: F.struct(F.when(c["words_of_gram"] == F.col("words_of_gram"), left(c)).alias("left"), right(c).alias("right"), c["items"].alias("items")))
+        k = F.size("words_of_gram")
+        whole = F.filter(grown, lambda c: c["left"] + c["right"] + k >= F.col("length"))
+        hits = found.select("doc_id", "row", "at", "length", "words_of_gram", F.explode(whole).alias("c"))
+        hits = hits.select("doc_id", "row", (F.col("at") - F.col("c.left")).alias("at"), (F.col("at") + k + F.col("c.right")).alias("end"), "c.items")
+        per = hits.groupBy("doc_id", "row").agg(
             F.sort_array(F.collect_set(F.struct("at", "end"))).alias("spans"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("items")))).alias("listed")
         )
         start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("to"))
@@ -135,8 +183,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
 
 def keep_clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The rows of docs, with all columns, that aren't contaminated."""
-    bad = judged(docs, items, key, text, item, item_text, window, gram).where("contaminated").select(F.col("doc_id").alias("__key"), F.col("row").alias("__row")).distinct()
-    return docs.join(bad, column(key).cast("long").eqNullSafe(F.col("__key")) & (F.xxhash64(column(text).cast("string")) == F.col("__row")), "left_anti")
+    its_key, its_row = fresh(docs, names=("its_key", "its_row"))
+    bad = judged(docs, items, key, text, item, item_text, window, gram).where("contaminated").select(F.col("doc_id").alias(its_key), F.col("row").alias(its_row)).distinct()
+    return docs.join(bad, column(key).cast("long").eqNullSafe(F.col(its_key)) & (F.xxhash64(column(text).cast("string")) == F.col(its_row)), "left_anti")
 
 
 #: The same in SQL.

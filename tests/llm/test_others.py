@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from strandseek.llm import decontam, language, quality, secret_scan, warc
 from strandseek.llm.queries import SQL
@@ -58,8 +59,27 @@ def test_decontamination(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_winnowing(spark):
+    """Every shared span of a window is found, and far fewer places are kept than there are windows; spans are those of brute force."""
+    rng = random.Random(13)
+    vocabulary = [f"v{i}" for i in range(12)]  # few words, so grams repeat within windows
+    items = [(f"i{k}", " ".join(rng.choice(vocabulary) for _ in range(rng.choice([3, 7, 12, 13, 14, 40])))) for k in range(25)]
+    docs = []
+    for k in range(40):
+        words = [rng.choice([*vocabulary, "x", "y"]) for _ in range(rng.randrange(1, 60))]
+        a = items[rng.randrange(25)][1].split()
+        i = rng.randrange(len(a))
+        at = rng.randrange(len(words))
+        docs.append((k, " ".join(words[:at] + a[i : i + rng.randrange(1, 30)] + words[at:])))
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    assert sorted(map(tuple, decontam.decontaminate(d, b).collect()), key=str) == brute_hits(docs, items)
+    long = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(3000)))], "doc_id long, text string")
+    kept = decontam.prints_of(long.select("doc_id", decontam.words_of(F.col("text")).alias("words")), [13], 13, 5)
+    assert 0.15 * 3000 < kept.count() < 0.26 * 3000
+
+
 def test_decontamination_by_shuffles(spark, monkeypatch):
-    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontam, "BROADCAST_PRINTS", 0)
     a = " ".join(f"word{i}" for i in range(20))
     d, b = spark.createDataFrame([(1, a), (2, "no")], "doc_id long, text string"), spark.createDataFrame([(1, a)], "item_id long, text string")
     assert {r["doc_id"]: r["n_hit"] for r in decontam.decontaminate(d, b).collect()} == {1: 20, 2: 0}
