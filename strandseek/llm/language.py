@@ -60,6 +60,7 @@ class Grams:
         number[self.letters] = np.arange(2, len(self.letters) + 2)
         code = number[cps]
         keep = code != 1
+        keep[0] = True  # the mark before the first text
         keep[1:] |= code[:-1] != 1
         code, mine = code[keep], mine[keep].astype(np.uint64)
         b = self.bits

@@ -14,7 +14,9 @@ last piece of the rest is stable, that is, if merging both together gives back j
 and only one piece does. Words with runs of marks, whose pieces share one score, are merged plainly.
 
 Defined cases: a null text gives null pieces (encode) or null text (decode); an empty text gives no
-pieces; a null key stays null; repeated rows give repeated rows; an empty table stays empty.
+pieces; a null key stays null; repeated rows give repeated rows; a very long text is encoded whole (a
+word's states are kept only while the words that share its beginning are worked on); of equal scores
+the leftmost merge comes first; an empty table stays empty; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -26,17 +28,19 @@ from array import array
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import map_texts, picked
+from strandseek.llm._text import PART, column, fresh, map_texts, picked, ranges
 
 MARK = "▁"
 CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words and pairs of pieces that a worker remembers; beyond that the tables start anew.
 REMEMBERED, REMEMBERED_PAIRS = 500_000, 1_000_000
 UNIGRAM, BPE = 1, 2
+#: Columns that ``with_pieces`` adds.
+NEW = ("pieces", "n_pieces", "round_trip")
 
 
 class Model:
@@ -238,12 +242,40 @@ def blocks(texts: list) -> list[list]:
     return out
 
 
+def with_pieces(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """docs with all their columns and pieces, n_pieces (both null for a null text) and round_trip (decoding gives the text back).
+
+    Where docs has a column of such a name the new one gets underscores behind it.
+    """
+
+    @F.arrow_udf("struct<pieces:array<int>,n_pieces:int,round_trip:boolean>")
+    def run(texts: pa.Array) -> pa.Array:
+        parts = []
+        for i, j in ranges(texts, PART):
+            m, some = model(path), texts.slice(i, j - i).to_pylist()
+            ids = m.encode(some)
+            null = np.array([x is None for x in some])
+            n = np.array([0 if x is None else len(x) for x in ids], np.int32)
+            ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+            flat = np.concatenate([x for x in ids if x is not None]) if len(ends) and ends[-1] else np.zeros(0, np.int32)
+            back = [m.decode(None if x is None else x.tolist()) == (None if t is None else t.replace(MARK, " ")) for t, x in zip(some, ids, strict=True)]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=pa.array(null))
+            parts.append(pa.StructArray.from_arrays([lists, pa.array(n, mask=null), pa.array(back)], names=list(NEW)))
+        kind = pa.struct([("pieces", pa.list_(pa.int32())), ("n_pieces", pa.int32()), ("round_trip", pa.bool_())])
+        return pa.concat_arrays(parts).cast(kind) if parts else pa.array([], kind)
+
+    own = [column(c) for c in docs.columns]
+    made, *names = fresh(docs, names=("made", *NEW))
+    rows = docs.select(*own, run(column(text).cast("string")).alias(made))
+    return rows.select(*own, *[F.col(made)[c].alias(name) for c, name in zip(NEW, names, strict=True)])
+
+
 def decode_pieces(pieces: Column, path: str) -> Column:
     """The text of an array of piece ids."""
 
-    @F.pandas_udf("string")
-    def decoded(ids: pd.Series) -> pd.Series:
-        return ids.map(model(path).decode, na_action="ignore")
+    @F.arrow_udf("string")
+    def decoded(ids: pa.Array) -> pa.Array:
+        return pa.array([model(path).decode(x) for x in ids.to_pylist()], pa.string())
 
     return decoded(pieces)
 

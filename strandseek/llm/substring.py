@@ -9,8 +9,9 @@ which of theirs also start in a smaller document. The sketch grows with the corp
 (``CELLS_PER_WINDOW``), so the share of windows sent in vain doesn't; no window is lost.
 
 Defined cases: a null or empty text has no words; a null key counts as greater than all others and
-stays null; rows of one key are one document, which isn't smaller than itself; an empty table
-gives an empty table of the same columns.
+stays null; rows of one key are one document, which isn't smaller than itself; repeated rows give
+repeated rows; a very long text is hashed whole, alone in its block; an empty table gives an empty
+table of the same columns; other columns may have any names.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ No identifiers are produced. Counts of short pre-tokens are remembered in a boun
 changes nothing but the time.
 
 Defined cases: a null text counts as empty (0 bytes, 0 tokens); a null key stays null; repeated
-rows give repeated rows; an empty table gives an empty table of the same columns.
+rows give repeated rows; a very long text is counted whole, a long pre-token in time n log n; of pairs
+of one rank the leftmost is merged first; an empty table gives an empty table of the same columns;
+other columns may have any names.
 """
 
 from __future__ import annotations

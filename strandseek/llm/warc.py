@@ -11,7 +11,8 @@ is run again writes another file, and only files of tasks that ended are read.
 
 Defined cases: null html is an empty payload; a null id comes back null, and counts as greater than
 all others when equal payloads are compared; rows of one id are each a response where that id is
-the least; a null url has no URI header; an empty table writes nothing and reads as an empty table.
+the least; a null url has no URI header; a very long payload is one record, which a split reads past its
+end; an empty table writes nothing and reads as an empty table; other columns may have any names.
 """
 
 from __future__ import annotations
