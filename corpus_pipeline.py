@@ -12,7 +12,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from strandseek.llm import decontam, language, near_dup, pieces, secret_scan
 from strandseek.llm._text import shared_folder
@@ -36,7 +35,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pieces.encode_pieces(docs, tokenizer("piece_bpe_32k.model")).withColumn("n_pieces", F.size("pieces"))
+    return pieces.with_pieces(docs, tokenizer("piece_bpe_32k.model"))
 
 
 STAGES = [
