@@ -6,12 +6,13 @@ before use. Two independent lanes give 128 bits where equality must be certain.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 U = np.uint64
@@ -199,6 +200,40 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
 
 
+def opened(uri: str):
+    """(file system, path) of a URI or a plain path."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
+
+
+class Shelf:
+    """Tables written to a folder of the shared one, to cut lineages; the folder goes when the work is done.
+
+    Written tables rather than checkpoints: a checkpoint keeps the size that the optimiser has guessed for
+    it, a join's guess is the product of its sides', and over some rounds of joins that number alone would
+    fill the driver's memory. A table has the size of its files.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.n = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
+
+    def put(self, df: DataFrame) -> DataFrame:
+        self.n += 1
+        df.write.parquet(path := f"{self.folder}/{self.n}")
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def counted(self, df: DataFrame) -> tuple[DataFrame, int]:
+        """The written table and its rows, counted as they are written."""
+        seen = Observation()
+        out = self.put(df.observe(seen, F.count(F.lit(1)).alias("n")))
+        return out, seen.get["n"]
+
+    def clear(self) -> None:
+        files, path = opened(self.folder)
+        files.delete_dir(path)
+
+
 def column(name: str) -> Column:
     """The column of exactly this name, dots included."""
     return F.col(f"`{name.replace('`', '``')}`")

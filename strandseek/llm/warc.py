@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import column
+from strandseek.llm._text import column, opened
 
 MAGIC = b"\x1f\x8b\x08"
 LEAST_PAYLOAD = 100
@@ -37,13 +37,6 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
 
 
-def opened(uri: str):
-    """(file system, path) of a URI or a plain path."""
-    from pyarrow import fs
-
-    return fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (fs.LocalFileSystem(), uri)
-
-
 def name_of(page: int | None) -> str:
     return f"<urn:x-page:{'' if page is None else page}>"
 

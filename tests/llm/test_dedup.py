@@ -7,6 +7,7 @@ import random
 import numpy as np
 
 from strandseek.llm import near_dup, substring, suffixes
+from strandseek.llm._text import Shelf
 
 SCHEMA = "doc_id long, text string, class string, n_words long"
 
@@ -207,10 +208,10 @@ def test_near_dup_star(spark):
 def test_components(spark, monkeypatch):
     """The components that one task finds are those of the cluster's rounds."""
     edges = spark.createDataFrame([(5, 9), (9, 2), (2, 5), (-3, 7), (11, 12), (12, 13), (13, 14)], "a long, b long")
-    near_dup.ensure_checkpoints(edges)
-    few = sorted(near_dup.components(edges).collect())
+    shelf = Shelf(spark, "test")
+    few = sorted(near_dup.components(edges, shelf).collect())
     monkeypatch.setattr(near_dup, "TASK_EDGES", 0)
-    assert few == sorted(near_dup.components(edges).collect())
+    assert few == sorted(near_dup.components(edges, shelf).collect())
     assert dict(few) == {2: 2, 5: 2, 9: 2, -3: -3, 7: -3, 11: 11, 12: 11, 13: 11, 14: 11}
 
 
