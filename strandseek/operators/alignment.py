@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from strandseek.functions.scores import adaptive_band, bit_score, e_value
-from strandseek.operators.kernel import NAMES, M, align, summary
+from strandseek.functions.scores import adaptive_band, bit_score, cell_score, e_value
+from strandseek.functions.vectors import dot
+from strandseek.operators.kernel import NAMES, align, summary
 from strandseek.operators.stats import scoring, sequences
 from strandseek.params import SearchParams
 from strandseek.schema import ALIGNED, TRACE, empty
@@ -30,16 +31,37 @@ def regions(clusters: DataFrame, lengths: DataFrame, p: SearchParams) -> DataFra
     return out.withColumn("band", adaptive_band(F.col("diagonal_span"), p.band_width, p.band_buffer, p.band_cap))
 
 
-def aligned(rows: DataFrame, nodes: DataFrame, p: SearchParams, mu: float, sigma: float) -> DataFrame:
-    """Aligns each region: coordinates on the transcripts, score, mean cosine, gaps and the trace. Scores of 0 go.
-
-    Only the stretches are shipped, and the work is dealt by cluster: a long pair doesn't hold up a partition of short ones.
-    """
+def with_vectors(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Adds the vectors of both stretches of regions."""
     full = sequences(nodes).select("transcript_id", "vectors")
     for side in ("query", "target"):
         vectors = full.select(F.col("transcript_id").alias(f"{side}_transcript"), F.col("vectors").alias("v"))
         cut = F.slice("v", F.col(f"{side}_from") + 1, F.greatest(F.lit(0), F.col(f"{side}_to") - F.col(f"{side}_from")))
         rows = rows.join(vectors, f"{side}_transcript").withColumn(f"{side}_vectors", cut).drop("v")
+    return rows
+
+
+def scoring_matrix(rows: DataFrame, nodes: DataFrame, p: SearchParams, mu: float, sigma: float) -> DataFrame:
+    """The cells inside the bands of regions: query_transcript, target_transcript, cluster_id, query_pos, target_pos, score.
+
+    A drawing of a scoring matrix is a chart of these rows.
+    """
+    a = with_vectors(rows, nodes).select("query_transcript", "target_transcript", "cluster_id", "query_from", "target_from", "band", "diagonal_offset", "target_vectors", F.posexplode("query_vectors").alias("i", "q"))
+    half = F.floor(F.greatest(F.col("band"), F.lit(1)) / 2).cast("int")
+    low = F.greatest(F.lit(0), F.col("i") + F.col("diagonal_offset") - half)
+    wide = F.least(F.size("target_vectors"), F.col("i") + F.col("diagonal_offset") + half + 1) - low
+    b = a.withColumn("low", low).withColumn("part", F.slice("target_vectors", F.col("low") + 1, F.greatest(F.lit(0), wide))).drop("target_vectors")
+    b = b.select("*", F.posexplode("part").alias("j", "t"))
+    score = cell_score(dot("q", "t"), F.lit(mu), F.lit(sigma), p.gamma, p.score_min, p.score_max)
+    return b.select("query_transcript", "target_transcript", "cluster_id", (F.col("query_from") + F.col("i")).alias("query_pos"), (F.col("target_from") + F.col("low") + F.col("j")).alias("target_pos"), score.alias("score"))
+
+
+def aligned(rows: DataFrame, nodes: DataFrame, p: SearchParams, mu: float, sigma: float) -> DataFrame:
+    """Aligns each region: coordinates on the transcripts, score, mean cosine, gaps and the trace. Scores of 0 go.
+
+    Only the stretches are shipped, and the work is dealt by cluster: a long pair doesn't hold up a partition of short ones.
+    """
+    rows = with_vectors(rows, nodes)
     rule, compat = scoring(p, mu, sigma, p.xdrop), p.compat_coords
     inputs = ("query_transcript", "target_transcript", "cluster_id", "query_from", "target_from", "band", "diagonal_offset", "query_vectors", "target_vectors")
 
@@ -147,7 +169,3 @@ def alignment_stats(rows: DataFrame, mu: float, sigma: float, evd: DataFrame | N
     """One row: alignments, the background and lambda and K."""
     lam, k = evd.select("evd_lambda", "evd_K").first() if evd is not None else (None, None)
     return rows.agg(F.count("*").alias("alignments")).select("alignments", F.lit(mu).alias("background_mu"), F.lit(sigma).alias("background_sigma"), F.lit(lam).cast("double").alias("evd_lambda"), F.lit(k).cast("double").alias("evd_K"))
-
-
-def matched(trace: Column) -> Column:
-    return F.size(F.filter(trace, lambda x: x["state"] == NAMES[M]))

@@ -1,23 +1,32 @@
 """Nearest neighbours: exact, inverted lists, product and scalar quantisation.
 
-The query windows are a stated set and far fewer than the database's: they are held in memory, a
-block of bounded size at a time, and the database streams past them in Arrow batches as matrix
-products. Each batch passes on its own k best of each query, so what is shuffled is k rows a query
-and batch, never the database; a window's rank then settles the k best. Rows of a list or code are
-not joined with queries: a batch knows its rows' lists and each query its probes.
-
-A graph index has no counterpart on partitioned data. The hnsw types search inverted lists instead,
-with max(2k, 64) candidates (``ef_search``) scored anew, plain, by scalar or by product quantisation.
+The query windows are a stated set and far fewer than the database's: they are broadcast, a block of
+bounded size at a time, and the database streams past them in Arrow batches as matrix products of
+bounded size. Each task keeps the k best of each query, so what is shuffled is k rows a query and
+task, never the database; a window's rank then settles the k best.
+
+An index is columns of the database's rows: the list of the nearest centre and, for quantised types,
+the vector's code. ``write_index`` stores them by list, ``read_index`` reads them back, and a search
+reads only lists that some query probes and scores a row only for the queries that probe its list;
+exact scores are worked out for the candidates alone.
+
+A graph index has no counterpart on partitioned data. The hnsw types search inverted lists instead:
+``hnsw_m`` is how many lists a query follows where ``nprobe`` is unset, ``ef_construction`` how many
+rows a list the training may use, ``ef_search`` (or max(2k, 64)) how many candidates are scored anew;
+plain, by scalar or by product quantisation.
 """
 
 from __future__ import annotations
 
+import io
+import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandseek.functions.vectors import clip, cosine_of_distance, dot, norm
@@ -25,7 +34,10 @@ from strandseek.params import SearchParams
 
 #: Bytes of query vectors held at once; more queries are searched in more passes over the database.
 QUERY_BYTES = 256 << 20
+#: A training sample has at most so many rows and bytes, whichever is less; centres are means over it.
 TRAINING_ROWS, TRAINING_BYTES = 250_000, 512 << 20
+#: Scores worked out at once.
+SCORES = 4 << 20
 PLACE = ("transcript_id", "window_index", "window_start", "window_end")
 HITS = (
     "query_transcript string, query_window_index int, query_window_start int, query_window_end int, "
@@ -56,9 +68,21 @@ def k_means(x: np.ndarray, k: int, steps: int = 10, seed: int = 0) -> np.ndarray
     return centres
 
 
+def allocated(variances: np.ndarray, parts: int) -> np.ndarray:
+    """The order of principal axes that gives each of so many parts about the same product of variances: the greatest left goes to the least part."""
+    size = -(-len(variances) // parts)
+    held: list[list[int]] = [[] for _ in range(parts)]
+    weight = np.zeros(parts)
+    for k in np.argsort(-variances, kind="stable").tolist():
+        part = min((j for j in range(parts) if len(held[j]) < size), key=lambda j: (weight[j], j))
+        held[part].append(k)
+        weight[part] += np.log(max(variances[k], 1e-12))
+    return np.array([k for x in held for k in x])
+
+
 @dataclass
 class Index:
-    """What a search needs beside the vectors: all of it bounded by the parameters, not by the data."""
+    """What a search needs beside the rows: all of it bounded by the parameters, not by the data."""
 
     kind: str
     by_l2: bool
@@ -69,30 +93,56 @@ class Index:
     high: np.ndarray | None = None
 
     def lists(self, x: np.ndarray) -> np.ndarray:
-        return near_centres(x, self.centres)
+        return near_centres(x, self.centres) if self.centres is not None else np.zeros(len(x), np.int64)
 
     def probes(self, q: np.ndarray, n: int) -> np.ndarray:
         """Whether each query looks into each list: its n nearest centres."""
+        if self.centres is None:
+            return np.ones((len(q), 1), bool)
         far = (self.centres**2).sum(1)[None, :] - 2 * q @ self.centres.T
         out = np.zeros(far.shape, bool)
         np.put_along_axis(out, np.argsort(far, axis=1, kind="stable")[:, :n], True, 1)
         return out
 
-    def coded(self, x: np.ndarray) -> np.ndarray:
-        """The vectors as their codes describe them, in the original space."""
+    def code(self, x: np.ndarray) -> np.ndarray | None:
+        """The vectors' codes, a row of bytes each."""
         if self.codebooks is not None:
-            y = x @ self.rotation if self.rotation is not None else x
-            parts, at = [], 0
+            y, at, out = x @ self.rotation if self.rotation is not None else x, 0, []
             for book in self.codebooks:
-                part = y[:, at : at + book.shape[1]]
-                parts.append(book[near_centres(part, book)])
+                out.append(near_centres(y[:, at : at + book.shape[1]], book).astype("<u2"))
                 at += book.shape[1]
-            z = np.concatenate(parts, axis=1)
-            return z @ self.rotation.T if self.rotation is not None else z
+            return np.stack(out, axis=1).view(np.uint8).reshape(len(x), -1)
         if self.low is not None:
-            step = np.maximum(self.high - self.low, 1e-12) / 255
-            return self.low + np.clip(np.rint((x - self.low) / step), 0, 255) * step
-        return x
+            return np.clip(np.rint((x - self.low) / self.step), 0, 255).astype(np.uint8)
+        return None
+
+    @property
+    def step(self) -> np.ndarray:
+        return np.maximum(self.high - self.low, 1e-12) / 255
+
+    def decoded(self, codes: np.ndarray) -> np.ndarray:
+        """The vectors as their codes describe them, in the original space."""
+        if self.low is not None:
+            return self.low + codes * self.step
+        of = np.ascontiguousarray(codes).view("<u2")
+        z = np.concatenate([book[of[:, k]] for k, book in enumerate(self.codebooks)], axis=1)
+        return z @ self.rotation.T if self.rotation is not None else z
+
+    @property
+    def coded(self) -> bool:
+        return self.codebooks is not None or self.low is not None
+
+    def dump(self) -> bytes:
+        out = io.BytesIO()
+        arrays = {f.name: getattr(self, f.name) for f in fields(self) if f.name != "codebooks" and getattr(self, f.name) is not None}
+        np.savez(out, **arrays, **{f"book{k}": x for k, x in enumerate(self.codebooks or [])})
+        return out.getvalue()
+
+    @staticmethod
+    def load(data: bytes) -> Index:
+        got = dict(np.load(io.BytesIO(data)))
+        books = [got.pop(f"book{k}") for k in range(sum(n.startswith("book") for n in got))]
+        return Index(str(got.pop("kind")), bool(got.pop("by_l2")), codebooks=books or None, **got)
 
 
 def training_sample(database: DataFrame, rows: int, seed: int = 0) -> np.ndarray:
@@ -101,24 +151,36 @@ def training_sample(database: DataFrame, rows: int, seed: int = 0) -> np.ndarray
         raise ValueError("No database windows")
     rows = min(rows, max(1, TRAINING_BYTES // (8 * max(1, head[0][0]))))
     order = F.xxhash64(F.lit(seed), "transcript_id", "window_start")
-    return np.array([r[0] for r in database.select("vector", order.alias("o")).orderBy("o").limit(rows).collect()], np.float64)
+    return matrix(database.select("vector", order.alias("o")).orderBy("o").limit(rows).select("vector").toArrow().column(0).combine_chunks())
+
+
+def mean_norm(database: DataFrame, rows: int = 1000) -> float | None:
+    """The mean norm of the first rows, nothing of no rows."""
+    return database.limit(rows).agg(F.avg(norm("vector"))).first()[0]
+
+
+def warn_of_norms(mean: float, p: SearchParams, within: float = 0.01) -> None:
+    if not p.by_l2 and abs(mean - 1) > within:
+        warnings.warn("the vectors' mean norm isn't about 1: inner products aren't cosines", stacklevel=3)
 
 
 def build_index(database: DataFrame, p: SearchParams) -> Index:
-    """Learns what the index type needs from a bounded sample."""
+    """Learns what the index type needs from a bounded sample; warns if vectors taken for unit vectors aren't."""
     kind = p.index_type
-    if database.select("transcript_id").isEmpty():
-        raise ValueError("No database windows")
-    index = Index(kind, p.by_l2)
     if kind.startswith("flat"):
-        return index
-    x = training_sample(database, TRAINING_ROWS)
-    index.centres = k_means(x, p.nlist)
+        mean = mean_norm(database)
+        if mean is None:
+            raise ValueError("No database windows")
+        warn_of_norms(mean, p)
+        return Index(kind, p.by_l2)
+    x = training_sample(database, min(TRAINING_ROWS, p.nlist * p.ef_construction) if kind.startswith("hnsw") else TRAINING_ROWS)
+    warn_of_norms(float(np.sqrt((x[:1000] ** 2).sum(1)).mean()), p)
+    index = Index(kind, p.by_l2, k_means(x, p.nlist))
     if kind in ("ivfpq", "opq_ivfpq", "hnswpq"):
         d, y = x.shape[1], x
-        if kind == "opq_ivfpq":  # principal axes stand in for a learned rotation
-            _, axes = np.linalg.eigh(np.cov(x, rowvar=False))
-            index.rotation = axes[:, ::-1]
+        if kind == "opq_ivfpq":  # the parametric solution: principal axes, dealt out to opq_m parts of equal weight
+            variances, axes = np.linalg.eigh(np.cov(x, rowvar=False))
+            index.rotation = axes[:, allocated(variances, max(1, min(p.opq_m, d)))]
             y = x @ index.rotation
         cuts = np.linspace(0, d, min(p.pq_m, d) + 1).astype(int)
         index.codebooks = [k_means(y[:, a:b], 2**p.pq_bits, seed=a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -127,49 +189,126 @@ def build_index(database: DataFrame, p: SearchParams) -> Index:
     return index
 
 
+def indexed(database: DataFrame, index: Index) -> DataFrame:
+    """The database's places and vectors with ``list`` and, for quantised types, ``code``; a partition's rows of one list lie together."""
+    ddl = f"transcript_id string, window_index int, window_start int, window_end int, vector array<{dict(database.dtypes)['vector'][6:-1]}>, list int" + (", code binary" if index.coded else "")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = matrix(b.column("vector"))
+            arrays = [*b.columns, pa.array(index.lists(x) if b.num_rows else [], pa.int32())]
+            if index.coded:
+                arrays.append(pa.array([c.tobytes() for c in index.code(x)] if b.num_rows else [], pa.binary()))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*b.schema.names, "list", "code"][: len(arrays)])
+
+    return database.select(*PLACE, "vector").mapInArrow(run, ddl).sortWithinPartitions("list")
+
+
+def write_index(database: DataFrame, index: Index, path: str) -> None:
+    """Stores the rows by list, large lists over several files, and what the index has learned beside them."""
+    indexed(database, index).hint("rebalance", "list").write.partitionBy("list").parquet(f"{path}/rows")
+    database.sparkSession.createDataFrame([(index.dump(),)], "learned binary").write.parquet(f"{path}/learned")
+
+
+def read_index(spark: SparkSession, path: str) -> tuple[Index, DataFrame]:
+    """A stored index: what it has learned and its rows, for ``neighbours(..., index=...)``."""
+    return Index.load(bytes(spark.read.parquet(f"{path}/learned").first()[0])), spark.read.parquet(f"{path}/rows")
+
+
 def index_stats(database: DataFrame, p: SearchParams) -> DataFrame:
     return database.agg(F.count("*").alias("vectors"), F.max(F.size("vector")).alias("dimension")).select(F.lit(p.index_type).alias("index_type"), F.lit(p.metric).alias("metric"), "vectors", "dimension")
 
 
-def norms_look_unit(database: DataFrame, rows: int = 1000, within: float = 0.01) -> bool:
-    """Whether the first rows' mean norm is about 1, as inner products taken for cosines need."""
-    mean = database.limit(rows).agg(F.avg(norm("vector"))).first()[0]
-    return mean is None or abs(mean - 1) <= within
+def best_of(score: np.ndarray, k: int) -> np.ndarray:
+    """A mask of the k greatest finite scores of each row, the first ones of ties."""
+    if score.shape[1] <= k:
+        return np.isfinite(score)
+    kth = -np.partition(-score, k - 1, axis=1)[:, k - 1 : k]
+    more, ties = score > kth, score == kth
+    return (more | (ties & (ties.cumsum(1) <= k - more.sum(1, keepdims=True)))) & np.isfinite(score)
+
+
+class Best:
+    """The k best rows of each query that a task has seen, as pairs (query, row of ``places``)."""
+
+    def __init__(self, n: int, k: int):
+        self.n, self.k = n, k
+        self.places: pa.Table | None = None
+        self.query = self.row = np.zeros(0, np.int64)
+        self.score = self.exact = np.zeros(0)
 
+    def floor(self) -> np.ndarray:
+        """What a new row must reach to matter to each query."""
+        out = np.full(self.n, -np.inf)
+        full = np.bincount(self.query, minlength=self.n) >= self.k
+        low = np.full(self.n, np.inf)
+        np.minimum.at(low, self.query, self.score)
+        out[full] = low[full]
+        return out
 
-def candidates(queries: list, q: np.ndarray, database: DataFrame, index: Index, k: int, nprobe: int | None) -> DataFrame:
-    """Each batch's best k rows of each query, with the index's score (greater is nearer) and the exact one."""
-    q_squares, probes = (q**2).sum(1), None
+    def add(self, places: pa.Table, query: np.ndarray, row: np.ndarray, score: np.ndarray, exact: np.ndarray) -> None:
+        base = 0 if self.places is None else self.places.num_rows
+        places = places if self.places is None else pa.concat_tables([self.places, places])
+        query, row = np.concatenate((self.query, query)), np.concatenate((self.row, row + base))
+        score, exact = np.concatenate((self.score, score)), np.concatenate((self.exact, exact))
+        used, row = np.unique(row, return_inverse=True)
+        places = places.take(pa.array(used)).combine_chunks()
+        rank = np.empty(len(used), np.int64)
+        rank[pc.sort_indices(places, [("transcript_id", "ascending"), ("window_start", "ascending")]).to_numpy()] = np.arange(len(used))  # ties in target order
+        order = np.lexsort((rank[row], -score, query))
+        place = np.arange(len(order)) - np.searchsorted(query[order], query[order])
+        keep = order[place < self.k]
+        self.places, self.query, self.row, self.score, self.exact = places, query[keep], row[keep], score[keep], exact[keep]
+
+
+def candidates(places: pa.Table, q: np.ndarray, rows: DataFrame, index: Index, k: int, nprobe: int | None) -> DataFrame:
+    """Each task's best k rows of each query, with the index's score (greater is nearer) and the exact one."""
+    probes = index.probes(q, min(len(index.centres) if index.centres is not None else 1, nprobe or 1))
+    asked = [np.flatnonzero(x) for x in probes.T]  # the queries of each list
     if index.centres is not None:
-        probes = index.probes(q, min(len(index.centres), nprobe or 1))
+        rows = rows.where(F.col("list").isin([k for k, x in enumerate(asked) if len(x)]))
+    shared = rows.sparkSession.sparkContext.broadcast((places, q, asked))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, q, asked = shared.value
+        best, squares = Best(len(q), k), (q**2).sum(1)
         for b in batches:
-            if not b.num_rows:
+            if not b.num_rows or not len(q):
                 continue
             x = matrix(b.column("vector"))
             if x.shape[1] != q.shape[1]:
                 raise ValueError(f"dimensions differ: {q.shape[1]} and {x.shape[1]}")
-            z = index.coded(x)
-            product = q @ x.T
-            by_code = product if z is x else q @ z.T
-            far = lambda p, v: np.round(q_squares[:, None] + (v**2).sum(1)[None, :] - 2 * p, 12)
-            exact = np.round(far(product, x) if index.by_l2 else product, 12)
-            score = -far(by_code, z) if index.by_l2 else np.round(by_code, 12)
-            if probes is not None:
-                score = np.where(probes[:, index.lists(x)], score, -np.inf)
-            names, starts = b.column("transcript_id"), b.column("window_start").to_numpy()
-            order = np.lexsort((starts, np.array(names.to_pylist(), object).astype(str)))  # ties in target order
-            top = order[np.argsort(-score[:, order], axis=1, kind="stable")[:, :k]]
-            row, col = np.repeat(np.arange(len(q)), top.shape[1]), top.ravel()
-            good = np.isfinite(score[row, col])
-            row, col = row[good], col[good]
-            own = [pa.array([queries[r][j] for r in row], t) for j, t in enumerate((pa.string(), pa.int32(), pa.int32(), pa.int32()))]
-            theirs = [b.column(c).take(pa.array(col)) for c in PLACE]
-            arrays = [*own, *theirs, pa.array(score[row, col]), pa.array(exact[row, col])]
-            yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in HITS.split(", ")])
-
-    return database.select(*PLACE, "vector").mapInArrow(run, HITS)
+            by_target = pc.sort_indices(pa.table({c: b.column(c) for c in PLACE}), [("transcript_id", "ascending"), ("window_start", "ascending")]).to_numpy().astype(np.int64)
+            lists = b.column("list").to_numpy()[by_target] if "list" in b.schema.names else np.zeros(b.num_rows, np.int64)
+            floor, found = best.floor(), []
+            for part in np.unique(lists).tolist():
+                at = by_target[lists == part]
+                z = index.decoded(np.frombuffer(b"".join(b.column("code").take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1)) if index.coded else x[at]
+                z_squares = (z**2).sum(1)
+                for j in range(0, len(asked[part]), step := max(1, SCORES // len(at))):
+                    mine = asked[part][j : j + step]
+                    score = q[mine] @ z.T
+                    score = -np.round(squares[mine, None] + z_squares[None, :] - 2 * score, 12) if index.by_l2 else np.round(score, 12)
+                    score[score < floor[mine, None]] = -np.inf
+                    i, col = np.nonzero(best_of(score, k))
+                    found.append((mine[i], at[col], score[i, col]))
+            if not found:
+                continue
+            query, row, score = (np.concatenate([f[c] for f in found]) for c in range(3))
+            if index.coded:  # only what is kept is scored exactly
+                product = np.concatenate([(q[query[j : j + 8192]] * x[row[j : j + 8192]]).sum(1) for j in range(0, len(query), 8192)] or [np.zeros(0)])
+                exact = np.round(squares[query] + (x**2).sum(1)[row] - 2 * product if index.by_l2 else product, 12)
+            else:
+                exact = -score if index.by_l2 else score
+            best.add(pa.table({c: b.column(c) for c in PLACE}), query, row, score, exact)
+        if best.places is not None:
+            own = places.take(pa.array(best.query)).combine_chunks()
+            theirs = best.places.take(pa.array(best.row)).combine_chunks()
+            out = pa.table([*own.columns, *theirs.columns, pa.array(best.score), pa.array(best.exact)], names=[f.split()[0] for f in HITS.split(", ")])
+            yield from out.to_batches(max_chunksize=10_000)
+
+    columns = [*PLACE, "vector", *(["list"] if index.centres is not None else []), *(["code"] if index.coded else [])]
+    return rows.select(*columns).mapInArrow(run, HITS)
 
 
 def ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -187,30 +326,35 @@ def neighbours(queries: DataFrame, database: DataFrame, p: SearchParams, index:
     """The k nearest database windows of each query window: places of both, rank and similarity.
 
     With an approximate index the rank is that of its own order; if scores are exact anew, only the similarity is.
+    A database that ``indexed`` or ``read_index`` has made needs its index and isn't assigned to lists again.
     """
     index = index or build_index(database, p)
-    k = p.k
+    rows = indexed(database, index) if index.centres is not None and "list" not in database.columns else database
+    k, nprobe = p.k, p.nprobe
     if index.kind.startswith("hnsw"):
-        k = max(k, p.ef_search or max(2 * p.k, 64))
-    nprobe = p.nprobe if p.nprobe or not index.kind.startswith("hnsw") else max(1, len(index.centres) // 4)
+        k, nprobe = max(k, p.ef_search or max(2 * p.k, 64)), p.nprobe or max(1, min(len(index.centres), p.hnsw_m))
     size = queries.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
     blocks = max(1, -(-(size["n"] * (size["d"] or 0) * 8) // QUERY_BYTES))
     out = None
     for block in range(blocks):
         part = queries.where(F.pmod(F.xxhash64("transcript_id", "window_start"), F.lit(blocks)) == block) if blocks > 1 else queries
-        rows = part.select(*PLACE, "vector").orderBy("transcript_id", "window_start").collect()
-        q = np.array([r["vector"] for r in rows], np.float64).reshape(len(rows), -1)
-        if not len(rows):
-            q = np.zeros((0, size["d"] or 0))
-            database_part = database.limit(0)
-        else:
-            database_part = database
-        hits = candidates([tuple(r[c] for c in PLACE) for r in rows], q, database_part, index, k, nprobe)
+        held = part.select(*PLACE, "vector").orderBy("transcript_id", "window_start").toArrow()
+        q = matrix(held.column("vector").combine_chunks()) if held.num_rows else np.zeros((0, size["d"] or 0))
+        hits = candidates(held.select(list(PLACE)), q, rows if held.num_rows else rows.limit(0), index, k, nprobe)
         out = hits if out is None else out.unionByName(hits)
     shown = F.col("exact") if p.rescored or index.kind in ("flat_ip", "flat_l2", "ivf") else (-F.col("score") if index.by_l2 else F.col("score"))
     return ranked(out, p.k).withColumn("similarity", similarity(shown, index.by_l2)).drop("exact")
 
 
+def rows_scored(queries: DataFrame, database: DataFrame, index: Index, nprobe: int) -> DataFrame:
+    """One row: pairs that a search scores, and those of an exact one."""
+    rows = database if "list" in database.columns else indexed(database, index)
+    q = matrix(queries.select("vector").toArrow().column(0).combine_chunks())
+    asked = index.probes(q, nprobe).sum(0).tolist()
+    per = F.get(F.array(*[F.lit(int(x)) for x in asked]), F.col("list"))
+    return rows.agg(F.coalesce(F.sum(per), F.lit(0)).cast("long").alias("scored"), (F.count("*") * len(q)).alias("pairs"))
+
+
 def neighbours_sql(queries: DataFrame, database: DataFrame, k: int) -> DataFrame:
     """The same for small tables and inner products, with column expressions only."""
     side = lambda df, name: df.select(*[F.col(c).alias(f"{name}_{c.removeprefix('transcript_') if c != 'transcript_id' else 'transcript'}") for c in PLACE], F.col("vector").alias(f"{name}_vector"))

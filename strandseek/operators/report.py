@@ -7,7 +7,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Columns that a report leaves out: whole strings and statistics of the search.
@@ -16,20 +16,26 @@ WRAP = 30
 
 
 def alignment_text(rows: DataFrame) -> DataFrame:
-    """query_id, target_id, cluster_id and text: a heading, the score, and both rows with the mask between."""
-    upper = F.coalesce("aligned_query_structure", "aligned_query_sequence", F.lit(""))
-    lower = F.coalesce("aligned_target_structure", "aligned_target_sequence", F.lit(""))
-    line = lambda name, at, text, to: F.concat(F.lit(f"{name} "), F.lpad(F.col(at).cast("string"), 6, " "), F.lit(" "), text, F.lit(" "), F.col(to).cast("string"))
+    """query_id, target_id, cluster_id and text, the best alignment of a query first: a heading, the statistics, what is aligned, both rows and the mask between.
+
+    Alignments are numbered within their query; one without strings has no text and no row.
+    """
+    upper = F.coalesce("aligned_query_structure", "aligned_query_sequence")
+    lower = F.coalesce("aligned_target_structure", "aligned_target_sequence")
+    number = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "target_id", "cluster_id"))
+    line = lambda name, at, text, to: F.concat(F.lit(f"  {name} "), F.lpad(F.col(at).cast("string"), 6, " "), F.lit("  "), text, F.lit("  "), F.lpad(F.col(to).cast("string"), 6, " "))
     text = F.concat_ws(
         "\n",
-        F.concat(F.lit("Query: "), F.col("query_id"), F.lit("  Target: "), F.col("target_id")),
-        F.format_string("Score %.3f  Length %d  Gaps %d", "score", "alignment_length", "gap_bases"),
+        F.format_string("Alignment %d: %s vs %s (cluster %d)", number, "query_id", "target_id", "cluster_id"),
+        F.format_string("  Score: %.3f\tAvgCosine: %.3f\tLen: %d\tGaps: %d/%d", "score", "avg_cosine", "alignment_length", "gap_opens", "gap_bases"),
+        F.concat(F.lit("  Content: "), F.initcap("alignment_content")),  # null, and so left out, where nothing is known
         line("Query ", "query_start", upper, "query_end"),
-        F.concat(F.lit(" " * 14), F.coalesce("alignment_mask", F.lit(""))),
+        F.concat(F.lit(" " * 17), F.when(F.col("alignment_mask") != "", F.col("alignment_mask"))),
         line("Target", "target_start", lower, "target_end"),
         F.lit(""),
     )
-    return rows.select("query_id", "target_id", "cluster_id", text.alias("text"))
+    shown = rows.where((F.length(upper) > 0) & (F.length(lower) > 0))
+    return shown.select("query_id", "target_id", "cluster_id", text.alias("text"))
 
 
 def pairs_of(structure: str) -> list[tuple[int, int]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -106,3 +107,56 @@ def merge_stats(chunks: list[DataFrame]) -> DataFrame:
     """Chunk statistics added up; the number of queries is the same in all chunks, not a sum."""
     out = merge_chunks(chunks)
     return out.agg(*[(F.max(c) if c == "queries" else F.sum(c)).alias(c) for c in out.columns])
+
+
+@dataclass
+class Chunk:
+    """The windows of a part of the database: vectors of both sides and one row of statistics (those of ``window_stats``, window_size, stride)."""
+
+    chunk_id: str
+    database: DataFrame
+    queries: DataFrame
+    stats: DataFrame
+
+
+def merge_windows(chunks: list[Chunk]) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(database, queries, chunks, total): all windows of both sides, where each chunk's begin (by chunk id), and the statistics added up.
+
+    Chunk ids must differ and be those of the statistics, which must count the windows that are there; dimension,
+    window size and stride must be the same in all chunks. What reaches the driver is a row a chunk.
+    """
+    if not chunks:
+        raise ValueError("no chunks")
+    chunks = sorted(chunks, key=lambda c: c.chunk_id)
+    ids = [c.chunk_id for c in chunks]
+    if len(set(ids)) < len(ids):
+        raise ValueError(f"repeated chunk ids: {sorted({x for x in ids if ids.count(x) > 1})}")
+    database, queries = merge_chunks([c.database for c in chunks]), merge_chunks([c.queries for c in chunks])
+    said = [c.stats.withColumn("of", F.lit(c.chunk_id)) for c in chunks]
+    said = {r["of"]: r for r in reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), said).collect()}
+    sides = [s.select(F.lit(c.chunk_id).alias("of"), F.lit(k).alias("side"), F.size("vector").alias("d")) for c in chunks for k, s in (("database", c.database), ("query", c.queries))]
+    there = reduce(DataFrame.unionByName, sides).groupBy("of", "side").agg(F.count("*").alias("n"), F.min("d").alias("low"), F.max("d").alias("high")).collect()
+    count = {(r["of"], r["side"]): r["n"] for r in there}
+    for c in ids:
+        if said[c].asDict().get("chunk_id") not in (None, c):
+            raise ValueError(f"the statistics of chunk {c} says it is chunk {said[c]['chunk_id']}")
+        for side in ("database", "query"):
+            if (n := said[c][f"{side}_windows"]) != count.get((c, side), 0):
+                raise ValueError(f"the statistics of chunk {c} says {n} {side} windows, there are {count.get((c, side), 0)}")
+    for name in ("window_size", "stride"):
+        if len({said[c][name] for c in ids}) > 1:
+            raise ValueError(f"chunks differ in {name}")
+    if len(dimension := {x for r in there for x in (r["low"], r["high"])}) > 1:
+        raise ValueError(f"chunks differ in dimension: {sorted(dimension)}")
+    first, rows = {"database": 0, "query": 0}, []
+    for c in ids:
+        rows.append((c, *(x for side in ("database", "query") for x in (first[side], count.get((c, side), 0)))))
+        for side in first:
+            first[side] += count.get((c, side), 0)
+    spark = database.sparkSession
+    placed = spark.createDataFrame(rows, "chunk_id string, database_first long, database_windows long, query_first long, query_windows long")
+    summed = [n for n in ("transcripts", "long_enough", "possible_windows", "kept_windows", "query_windows", "database_windows", "filtered_windows") if n in said[ids[0]].asDict()]
+    total = [sum(said[c][n] for c in ids) for n in summed]
+    row = (*total, max(said[c]["queries"] for c in ids), said[ids[0]]["window_size"], said[ids[0]]["stride"], max(dimension, default=0), len(ids))
+    ddl = ", ".join([*(f"{n} long" for n in summed), "queries long, window_size int, stride int, dimension int, chunks int"])
+    return database, queries, placed, spark.createDataFrame([row], ddl)

@@ -177,11 +177,25 @@ def index_stats(spark, sf_dir):
     return knn.index_stats(sides(spark, sf_dir)[1], P).withColumn("dimension", F.col("dimension").cast("long"))
 
 
-@query("SELECT count(*) AS windows, CAST(sum(label) AS BIGINT) AS filtered_windows, 2 AS queries FROM embeddings")
+def window_chunks(spark, sf_dir, size: int = 3) -> list[windows.Chunk]:
+    """The windows of every third label, as a part of the database that was worked on by itself."""
+    n, out = nodes_of(spark, sf_dir), []
+    for k in (2, 0, 1):
+        nodes = n.where(F.substring("transcript_id", 2, 9).cast("int") % 3 == k)
+        rows = windows.windows(nodes, size)
+        q, d = windows.split_queries(rows, asked(spark))
+        out.append(windows.Chunk(f"c{k}", d, q, windows.window_stats(nodes, asked(spark), rows, size).withColumns({"window_size": F.lit(size), "stride": F.lit(1)})))
+    return out
+
+
+@query(
+    f"WITH {NODES}, {LENGTHS_SQL}, a AS (SELECT count(*) AS transcripts, CAST(sum(CASE WHEN l >= 3 THEN 1 ELSE 0 END) AS BIGINT) AS long_enough, CAST(sum(greatest(l - 2, 0)) AS BIGINT) AS possible_windows, "
+    "CAST(sum(CASE WHEN t IN ('T0', 'T1') THEN greatest(l - 2, 0) ELSE 0 END) AS BIGINT) AS query_windows FROM ln) "
+    "SELECT transcripts, long_enough, possible_windows, possible_windows AS kept_windows, query_windows, possible_windows - query_windows AS database_windows, CAST(0 AS BIGINT) AS filtered_windows, "
+    "CAST(2 AS BIGINT) AS queries, 3 AS window_size, 1 AS stride, 192 AS dimension, 3 AS chunks FROM a"
+)
 def merge_stats(spark, sf_dir):
-    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    part = lambda k: v.where(F.col("vec_id") % 3 == k).agg(F.count("*").alias("windows"), F.sum("label").alias("filtered_windows"), F.lit(2).alias("queries"))
-    return windows.merge_stats([part(k) for k in range(3)])
+    return windows.merge_windows(window_chunks(spark, sf_dir))[3]
 
 
 @query(f"WITH {NODES}, {META_SQL} SELECT t AS transcript_id, 2 AS start, 9 AS end, st AS structure, replace(sq, 'T', 'U') AS sequence, length(sq) = length(st) AS valid FROM m")
@@ -234,11 +248,16 @@ def window_statistics(spark, sf_dir):
     return windows.window_stats(n, asked(spark), windows.windows(n, 4, meta=meta_of(n), max_unpaired=0.5), 4)
 
 
-@query("SELECT count(*) AS nodes, CAST(sum(label) AS BIGINT) AS labels FROM embeddings")
+@query(
+    f"WITH {NODES}, {windows_sql(3)}, c AS (SELECT 'c' || CAST(CAST(substr(t, 2) AS INTEGER) % 3 AS VARCHAR) AS chunk_id, count(*) FILTER (t NOT IN ('T0', 'T1')) AS d, count(*) FILTER (t IN ('T0', 'T1')) AS q, "
+    "round(sum(CASE WHEN t NOT IN ('T0', 'T1') THEN v[1] ELSE 0 END), 4) AS s FROM w GROUP BY 1) "
+    "SELECT chunk_id, CAST(sum(d) OVER o - d AS BIGINT) AS database_first, d AS database_windows, CAST(sum(q) OVER o - q AS BIGINT) AS query_first, q AS query_windows, s AS first_sum FROM c WINDOW o AS (ORDER BY chunk_id)"
+)
 def merge_chunks(spark, sf_dir):
-    v = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "label", F.size("embedding").alias("dimension"))
-    merged = windows.merge_chunks([v.where(F.col("vec_id") % 3 == k) for k in range(3)], same=("dimension",))
-    return merged.agg(F.count("*").alias("nodes"), F.sum("label").alias("labels"))
+    d, _, placed, _ = windows.merge_windows(window_chunks(spark, sf_dir))
+    of = F.concat(F.lit("c"), (F.substring("transcript_id", 2, 9).cast("int") % 3).cast("string"))
+    sums = d.groupBy(of.alias("chunk_id")).agg(F.round(F.sum(F.get("vector", F.lit(0)).cast("double")), 4).alias("first_sum"))
+    return placed.join(sums, "chunk_id", "left")
 
 
 def hit_columns() -> list:
@@ -492,6 +511,11 @@ def safe_filename(spark, sf_dir):
     return c.select(F.col("c_custkey").alias("id"), scores.safe_filename(F.concat("c_name", F.lit("."), F.col("c_custkey").cast("string"), F.lit("/x y"))).alias("name"))
 
 
+@query(f"WITH {HITS_SQL} {HIT_SELECT}")
+def knn_ivf_all_lists(spark, sf_dir):
+    return hits_of(spark, sf_dir, SearchParams(k=20, index_type="ivf", nlist=16, nprobe=16)).select(hit_columns())
+
+
 def approximate(kind: str, **more):
     def run(spark, sf_dir):
         p = SearchParams(k=20, index_type=kind, nlist=16, nprobe=8, pq_m=16, pq_bits=5, **more)

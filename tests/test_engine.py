@@ -2,6 +2,7 @@
 
 import math
 import os
+import re
 
 import numpy as np
 import pytest
@@ -119,6 +120,53 @@ def test_exact_indexes_agree(spark):
     assert knn.neighbours(q, d, SearchParams(k=10_000)).where("query_window_start = 0").count() == d.count()
 
 
+def test_inverted_lists(spark, tmp_path):
+    """A stored index finds what flat search finds, and scores only the rows of probed lists."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 12))
+    x = centres[rng.integers(0, 40, 3000)] + rng.normal(scale=0.25, size=(3000, 12))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(f"s{k % 50}", k // 50, k // 50, k // 50 + 3, v.tolist()) for k, v in enumerate(x)], "transcript_id string, window_index int, window_start int, window_end int, vector array<double>").repartition(3)
+    q, d = windows.split_queries(rows, spark.createDataFrame([("s0",), ("s1",)], "id string"))
+    key = lambda df: {tuple(r) for r in df.select("query_transcript", "query_window_start", "target_transcript", "target_window_start").collect()}
+    flat = key(knn.neighbours(q, d, SearchParams(k=10)))
+    for kind, least in (("ivf", 0.9), ("hnsw", 0.9), ("hnswsq8", 0.85), ("ivfpq", 0.5), ("opq_ivfpq", 0.4), ("hnswpq", 0.5)):  # product codes rank by their own distances
+        p = SearchParams(k=10, index_type=kind, nlist=32, nprobe=8, pq_m=12, pq_bits=6, opq_m=4)
+        index = knn.build_index(d, p)
+        knn.write_index(d, index, str(tmp_path / kind))
+        stored, held = knn.read_index(spark, str(tmp_path / kind))
+        got = key(knn.neighbours(q, held, p, stored))
+        assert len(got & flat) >= least * len(flat), kind
+        assert got == key(knn.neighbours(q, d, p, index)), kind
+        work = knn.rows_scored(q, held, stored, 8).first()
+        assert work["pairs"] == len(flat) // 10 * d.count() and work["scored"] < 0.5 * work["pairs"]
+    with pytest.warns(UserWarning, match="mean norm"):
+        knn.build_index(d.withColumn("vector", F.transform("vector", lambda v: v * 3)), SearchParams())
+    assert sorted(knn.allocated(np.array([8.0, 4, 2, 1, 1, 1]), 3).tolist()) == list(range(6))
+
+
+def test_best_rows():
+    """A task's running best is that of all rows at once, ties in target order."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    score = np.round(rng.normal(size=(4, 90)), 1)
+    best = knn.Best(4, 7)
+    for a in range(0, 90, 30):
+        part = pa.table({"transcript_id": [f"t{k:03}" for k in range(89 - a, 59 - a, -1)], "window_index": pa.array([0] * 30, pa.int32()), "window_start": pa.array([0] * 30, pa.int32()), "window_end": pa.array([1] * 30, pa.int32())})
+        s = score[:, 89 - a : (59 - a if a < 60 else None) : -1]
+        s = np.where(s < best.floor()[:, None], -np.inf, s)
+        i, j = np.nonzero(np.isfinite(s))
+        best.add(part, i, j, s[i, j], s[i, j])
+    for k in range(4):
+        order = sorted(range(90), key=lambda t: (-score[k, t], t))[:7]
+        mine = best.query == k
+        names = best.places.column("transcript_id").take(pa.array(best.row[mine])).to_pylist()
+        assert names == [f"t{t:03}" for t in order]
+    mask = knn.best_of(np.array([[1.0, 3, 3, 3, -np.inf]]), 2)
+    assert mask.tolist() == [[False, True, True, False, False]]
+
+
 def test_empty_searches(spark):
     n, _ = planted(spark)
     none = spark.createDataFrame([], "id string")
@@ -128,6 +176,82 @@ def test_empty_searches(spark):
         knn.build_index(windows.windows(n, 100), SearchParams())
 
 
+def test_window_chunks(spark):
+    """Chunks of windows are merged in the order of their ids; what doesn't fit together is refused."""
+    n, _ = planted(spark)
+    ids = spark.createDataFrame([("s0",), ("s3",)], "id string")
+
+    def chunk(name, part, size=4):
+        nodes = n.where(F.pmod(F.xxhash64("transcript_id"), F.lit(2)) == part)
+        rows = windows.windows(nodes, size)
+        q, d = windows.split_queries(rows, ids)
+        return windows.Chunk(name, d, q, windows.window_stats(nodes, ids, rows, size).withColumns({"window_size": F.lit(size), "stride": F.lit(1)}))
+
+    d, q, chunks, total = windows.merge_windows([chunk("b", 1), chunk("a", 0)])
+    whole = windows.windows(n, 4)
+    assert d.count() + q.count() == whole.count() and set(d.columns) == set(whole.columns)
+    rows = chunks.orderBy("chunk_id").collect()
+    assert [r["chunk_id"] for r in rows] == ["a", "b"] and rows[0]["database_first"] == 0 and rows[1]["database_first"] == rows[0]["database_windows"]
+    t = total.first()
+    assert t["chunks"] == 2 and t["database_windows"] == d.count() and t["queries"] == 2 and t["dimension"] == len(d.first()["vector"])
+    for bad, word in (([chunk("a", 0), chunk("a", 1)], "repeated"), ([chunk("a", 0), chunk("b", 1, 5)], "differ")):
+        with pytest.raises(ValueError, match=word):
+            windows.merge_windows(bad)
+    good = chunk("a", 0)
+    with pytest.raises(ValueError, match="says"):
+        windows.merge_windows([windows.Chunk("a", good.database, good.queries, good.stats.withColumn("database_windows", F.col("database_windows") + 1))])
+    with pytest.raises(ValueError, match="says"):
+        windows.merge_windows([windows.Chunk("a", good.database, good.queries, good.stats.withColumn("chunk_id", F.lit("z")))])
+
+
+def test_alignment_of_given_clusters(spark):
+    """align_only names ids without nodes, takes the first of repeated metadata rows, and its options change what they say."""
+    from strandseek.plans.search import align_only, diagnose as _  # noqa: F401
+
+    n, _ = planted(spark)
+    p = smoke(window_size=5, evalue=False, evd_samples=5)
+    out = search(n, spark.createDataFrame([("s0",)], "id string"), p)
+    groups = out.clusters.persist()
+    meta = spark.createDataFrame([(f"s{k}", "ACGU" * 30, "." * 120) for k in range(6)] * 2, "transcript_id string, sequence string, secondary_structure string")
+    plain = align_only(groups, n, p, meta)
+    assert plain.count() == plain.select("query_id", "target_id", "cluster_id").distinct().count() > 0
+    with pytest.raises(ValueError, match="no nodes.*s99"):
+        align_only(groups.withColumn("target_transcript", F.lit("s99")), n, p)
+    text = report.alignment_text(plain).orderBy("text").first()["text"]
+    assert re.search(r"Alignment \d+: s0 vs s\d \(cluster \d+\)", text) and "AvgCosine:" in text and "Gaps:" in text and "Content: Structure" in text
+    assert out.stats.first()["alignments"] == out.alignments.count()
+    shown = report.report_html(plain, 2)
+    assert shown.count("<tr>") == 3 and "&lt;" not in shown
+    c = align_only(groups, n, SearchParams(**{**p.__dict__, "compat_coords": True}))
+    assert c.count() == plain.count()
+    for mode, space in (("gumbel", "pair"), ("compat", "database")):
+        q = SearchParams(**{**p.__dict__, "evalue": True, "evd_mode": mode, "search_space": space, "evd_samples": 30})
+        evd = stats.evd_params(n, q)
+        got = align_only(groups, n, q, None, evd).collect()
+        assert all(r["evalue"] > 0 for r in got) and evd.first()["evd_K"] > 0
+
+
+def test_scoring_matrix(spark):
+    """The matrix in long form holds every cell of the band."""
+    n, _ = planted(spark)
+    p = smoke(window_size=5, evalue=False)
+    groups = search(n, spark.createDataFrame([("s0",)], "id string"), p).clusters.limit(1)
+    lengths = n.groupBy("transcript_id").agg(F.count("*").cast("int").alias("length"))
+    places = alignment.regions(groups, lengths, p).persist()
+    r = places.first()
+    rows = alignment.scoring_matrix(places, n, p, 0.0, 1.0).collect()
+    half = r["band"] // 2
+    cells = sum(abs((j + 1) - (i + 1) - r["diagonal_offset"]) <= half for i in range(r["query_to"] - r["query_from"]) for j in range(r["target_to"] - r["target_from"]))
+    assert len(rows) == cells and all(-4 <= x["score"] <= 8 for x in rows)
+
+
+def test_readers(spark, tmp_path):
+    (tmp_path / "t.tsv").write_text("transcript_id\tsequence\na\tACGU\nb\tGG\n")
+    assert sorted(r["transcript_id"] for r in tables.read_transcripts(spark, str(tmp_path / "t.tsv")).collect()) == ["a", "b"]
+    sinks.write_json(spark.createDataFrame([(0.3, 0.1)], "evd_lambda double, evd_K double"), str(tmp_path / "evd"))
+    assert tables.read_evd(spark, str(tmp_path / "evd"))["evd_lambda"] == 0.3
+
+
 def test_parameters():
     assert SearchParams(max_diagonal_span=0, xdrop=0.0, top_n=0).max_diagonal_span == 0
     for bad in ({"max_unpaired": 1.5}, {"index_type": "x"}, {"stride": 0}):
