@@ -215,18 +215,25 @@ class Shelf:
     fill the driver's memory. A table has the size of its files.
     """
 
+    ROWS = 100_000
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder, self.n = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}", 0
+        #: How many rows the next tables have at most, if that is known: a file holds ``ROWS`` then.
+        self.most: int | None = None
 
-    def put(self, df: DataFrame) -> DataFrame:
+    def put(self, df: DataFrame, tasks: int | None = None) -> DataFrame:
+        """The written table; ``tasks``: how many write it at most."""
+        if tasks is None and self.most is not None:
+            tasks = self.most // self.ROWS + 1
         self.n += 1
-        df.write.parquet(path := f"{self.folder}/{self.n}")
+        (df if tasks is None else df.coalesce(tasks)).write.parquet(path := f"{self.folder}/{self.n}")
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def counted(self, df: DataFrame) -> tuple[DataFrame, int]:
+    def counted(self, df: DataFrame, tasks: int | None = None) -> tuple[DataFrame, int]:
         """The written table and its rows, counted as they are written."""
         seen = Observation()
-        out = self.put(df.observe(seen, F.count(F.lit(1)).alias("n")))
+        out = self.put(df.observe(seen, F.count(F.lit(1)).alias("n")), tasks)
         return out, seen.get["n"]
 
     def clear(self) -> None:
