@@ -570,7 +570,14 @@ def pca(spark, sf_dir):
     return diagnostics.principal_components(vector_rows(spark, sf_dir), "vec_id")[0]
 
 
-@query()
+@query(
+    f"WITH {NODES}, {META_SQL}, c AS (SELECT t, k, substr(st, CAST(k + 1 AS INTEGER), 1) AS ch FROM (SELECT t, st, unnest(range(length(st))) AS k FROM m)), "
+    "s AS (SELECT *, sum(CASE ch WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER (PARTITION BY t ORDER BY k) AS s FROM c), "
+    "a AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY t ORDER BY k)) AS d FROM s), p AS (SELECT *, lag(d, 1, 0) OVER (PARTITION BY t ORDER BY k) AS e FROM a), "
+    "l AS (SELECT t, k, ch, CASE ch WHEN '(' THEN d ELSE e END AS v FROM p WHERE ch = '(' OR (ch = ')' AND e > 0)), "
+    "x AS (SELECT t, k AS i, ch, lead(k) OVER o AS j, lead(ch) OVER o AS cj FROM l WINDOW o AS (PARTITION BY t, v ORDER BY k)) "
+    "SELECT t AS transcript_id, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j FROM x WHERE ch = '(' AND cj = ')'"
+)
 def base_pairs(spark, sf_dir):
     return report.base_pairs(meta_of(nodes_of(spark, sf_dir)))
 
