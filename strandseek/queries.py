@@ -585,3 +585,49 @@ def base_pairs(spark, sf_dir):
 @query()
 def report_table(spark, sf_dir):
     return report.report_rows(result_of(spark, sf_dir, SearchParams(**{**P.__dict__, "evalue": False})).alignments)
+
+
+#: Alignments made from orders and metadata, for the presentation alone: of every order one, its strings cut out of two transcripts.
+FIXED_SQL = (
+    f"{NODES}, {META_SQL}, f AS (SELECT 'Q' || CAST(o_custkey % 20 AS VARCHAR) AS query_id, 'T' || CAST(o_orderkey % 10 AS VARCHAR) AS target_id, CAST(o_orderkey AS INTEGER) AS cluster_id, "
+    "CAST(o_orderkey AS DOUBLE) / 7 AS score, CAST(o_custkey % 90 AS DOUBLE) / 97 AS avg_cosine, 12 AS alignment_length, CAST(o_orderkey % 3 AS INTEGER) AS gap_opens, CAST(o_orderkey % 5 AS INTEGER) AS gap_bases, "
+    "CAST(o_orderkey % 7 AS INTEGER) AS query_start, CAST(o_orderkey % 7 + 12 AS INTEGER) AS query_end, 3 AS target_start, 15 AS target_end FROM orders), "
+    "g AS (SELECT f.*, CASE WHEN cluster_id % 4 = 0 THEN NULL ELSE substr(st, query_start + 1, 12) END AS aligned_query_structure, CASE WHEN cluster_id % 4 = 0 THEN NULL ELSE substr(st, 4, 12) END AS aligned_target_structure, "
+    "CASE WHEN cluster_id % 8 = 0 THEN substr(sq, query_start + 1, 12) END AS aligned_query_sequence, CASE WHEN cluster_id % 8 = 0 THEN substr(sq, 4, 12) END AS aligned_target_sequence, "
+    "CASE WHEN cluster_id % 4 <> 0 THEN 'structure' WHEN cluster_id % 8 = 0 THEN 'sequence' END AS alignment_content, repeat('|', 12) AS alignment_mask, st AS query_structure_region FROM f JOIN m ON t = target_id)"
+)
+
+
+def fixed_alignments(spark, sf_dir) -> DataFrame:
+    o, m = spark.read.parquet(f"{sf_dir}/orders.parquet"), meta_of(nodes_of(spark, sf_dir))
+    key, of = F.col("o_orderkey"), F.col("o_custkey")
+    f = o.select(
+        F.concat(F.lit("Q"), (of % 20).cast("string")).alias("query_id"), F.concat(F.lit("T"), (key % 10).cast("string")).alias("target_id"), key.cast("int").alias("cluster_id"),
+        (key.cast("double") / 7).alias("score"), ((of % 90).cast("double") / 97).alias("avg_cosine"), F.lit(12).alias("alignment_length"), (key % 3).cast("int").alias("gap_opens"), (key % 5).cast("int").alias("gap_bases"),
+        (key % 7).cast("int").alias("query_start"), (key % 7 + 12).cast("int").alias("query_end"), F.lit(3).alias("target_start"), F.lit(15).alias("target_end"),
+    ).join(m, F.col("target_id") == F.col("transcript_id"))
+    c, cut = F.col("cluster_id"), lambda text, side: F.substring(F.col(text), F.col(f"{side}_start") + 1, F.lit(12))
+    structure, sequence = c % 4 != 0, c % 8 == 0
+    strings = {f"aligned_{s}_structure": F.when(structure, cut("secondary_structure", s)) for s in ("query", "target")} | {f"aligned_{s}_sequence": F.when(sequence, cut("sequence", s)) for s in ("query", "target")}
+    more = {"alignment_content": F.when(structure, "structure").when(sequence, "sequence"), "alignment_mask": F.repeat(F.lit("|"), 12), "query_structure_region": F.col("secondary_structure")}
+    return f.withColumns(strings | more).drop("transcript_id", "sequence", "secondary_structure", "note")
+
+
+@query(
+    f"WITH {FIXED_SQL}, u AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, target_id, cluster_id) AS k, coalesce(aligned_query_structure, aligned_query_sequence) AS q, "
+    "coalesce(aligned_target_structure, aligned_target_sequence) AS x FROM g WHERE length(coalesce(aligned_query_structure, aligned_query_sequence)) > 0 AND length(coalesce(aligned_target_structure, aligned_target_sequence)) > 0) "
+    "SELECT query_id, target_id, cluster_id, printf('Alignment %d: %s vs %s (cluster %d)', k, query_id, target_id, cluster_id) || chr(10) || "
+    "printf('  Score: %.3f', score) || chr(9) || printf('AvgCosine: %.3f', avg_cosine) || chr(9) || printf('Len: %d', alignment_length) || chr(9) || printf('Gaps: %d/%d', gap_opens, gap_bases) || chr(10) || "
+    "CASE alignment_content WHEN 'structure' THEN '  Content: Structure' || chr(10) WHEN 'sequence' THEN '  Content: Sequence' || chr(10) ELSE '' END || "
+    "printf('  Query  %6d  %s  %6d', query_start, q, query_end) || chr(10) || repeat(' ', 17) || alignment_mask || chr(10) || printf('  Target %6d  %s  %6d', target_start, x, target_end) || chr(10) AS text FROM u"
+)
+def alignment_text_of_table(spark, sf_dir):
+    return report.alignment_text(fixed_alignments(spark, sf_dir))
+
+
+@query(
+    f"WITH {FIXED_SQL} SELECT query_id, target_id, cluster_id, round(score, 1) AS score, avg_cosine, alignment_length, gap_opens, gap_bases, query_start, query_end, target_start, target_end, aligned_query_structure, "
+    "aligned_target_structure, aligned_query_sequence, aligned_target_sequence, regexp_replace(regexp_replace(query_structure_region, '(.{30})', '\\1<br>', 'g'), '<br>$', '') AS query_structure_region FROM g"
+)
+def report_table_of_table(spark, sf_dir):
+    return report.report_rows(fixed_alignments(spark, sf_dir))
