@@ -631,3 +631,31 @@ def alignment_text_of_table(spark, sf_dir):
 )
 def report_table_of_table(spark, sf_dir):
     return report.report_rows(fixed_alignments(spark, sf_dir))
+
+
+#: Whole sequences on one another, unbanded and without X-drop: the recurrences a row at a time.
+LOCAL_SQL = (
+    f"WITH RECURSIVE {NODES}, sq AS (SELECT t, list(e ORDER BY i) AS v, count(*) AS l FROM n GROUP BY t), "
+    "p AS (SELECT a.t AS qt, b.t AS tt, a.v AS q, b.v AS x, a.l AS m, b.l AS nn FROM sq a, sq b WHERE a.t IN ('T0', 'T1') AND b.t NOT IN ('T0', 'T1')), "
+    "r AS (SELECT qt, tt, CAST(0 AS BIGINT) AS i, list_transform(range(nn + 1), lambda j: CAST(0 AS DOUBLE)) AS ms, list_transform(range(nn + 1), lambda j: CAST(-1e9 AS DOUBLE)) AS xs, "
+    "list_transform(range(nn + 1), lambda j: CAST(-1e9 AS DOUBLE)) AS ys, CAST(0 AS DOUBLE) AS best FROM p UNION ALL "
+    "SELECT qt, tt, i + 1, m2, x2, y2, greatest(best, list_max(m2), list_max(x2), list_max(y2)) FROM ("
+    "SELECT *, [CAST(-1e9 AS DOUBLE)] || list_transform(range(1, nn + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: m2[k] - 12 + k * 2)) - j * 2) AS x2 FROM ("
+    "SELECT r.qt, r.tt, r.i, r.best, p.nn, [CAST(0 AS DOUBLE)] || list_transform(range(1, nn + 1), lambda j: "
+    "greatest(-4, least(8, 1.5 * (list_dot_product(q[r.i + 1], x[j]) - 0.01) / 0.125)) + greatest(0, ms[j], xs[j], ys[j])) AS m2, "
+    "[CAST(-1e9 AS DOUBLE)] || list_transform(range(1, nn + 1), lambda j: greatest(ms[j + 1] - 12, ys[j + 1] - 2)) AS y2 FROM r JOIN p ON r.qt = p.qt AND r.tt = p.tt WHERE r.i < p.m)))"
+)
+
+
+@query(f"{LOCAL_SQL} SELECT r.qt AS query_id, r.tt AS target_id, round(best, 5) AS score FROM r JOIN p ON r.qt = p.qt AND r.tt = p.tt WHERE r.i = p.m AND best > 0")
+def local_alignment_scores(spark, sf_dir):
+    n = nodes_of(spark, sf_dir)
+    lengths, ids = lengths_of(n), asked(spark)
+    q, d = windows.split_queries(lengths, ids)
+    # every query against every transcript: the queries are the stated set
+    held = [r["transcript_id"] for r in q.select("transcript_id").orderBy("transcript_id").collect()]
+    pairs = d.select(F.col("transcript_id").alias("target_transcript"), F.col("length").alias("target_to"), F.explode(F.array(*[F.lit(x) for x in held])).alias("query_transcript"))
+    pairs = pairs.join(q.select(F.col("transcript_id").alias("query_transcript"), F.col("length").alias("query_to")), "query_transcript")
+    rows = pairs.withColumns({c: F.lit(0) for c in ("cluster_id", "query_from", "target_from", "diagonal_offset")}).withColumn("band", 2 * F.col("query_to") + 2 * F.col("target_to"))
+    out = alignment.aligned(rows, n, SearchParams(xdrop=1e12), 0.01, 0.125)
+    return out.select("query_id", "target_id", F.round("score", 5).alias("score"))
