@@ -88,18 +88,27 @@ def selected(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
 
 def around(length: int, k: int, kept: Column) -> Column:
-    """A kept place with the words around it that a window could hold; ``before`` goes from the gram to the left."""
+    """A kept place with the words around it that a window could hold, of which ``lead`` are before the gram."""
     at, reach = kept.bitwiseAND(F.lit((1 << 32) - 1)).cast("int"), length - k
     return F.struct(
         F.lit(length).alias("length"),
         F.shiftright(kept, 32).cast("int").alias("print"),
         at.alias("at"),
-        F.reverse(F.slice("words", F.greatest(at - reach, F.lit(0)) + 1, F.least(at, F.lit(reach)))).alias("before"),
-        F.slice("words", at + 1, k).alias("words_of_gram"),
-        F.slice("words", at + k + 1, reach).alias("behind"),
+        F.least(at, F.lit(reach)).alias("lead"),
+        F.slice("words", F.greatest(at - reach, F.lit(0)) + 1, F.least(at, F.lit(reach)) + k + reach).alias("around"),
     )
 
 
+def opened_up(rows: DataFrame, gram: int) -> DataFrame:
+    """Fingerprints with ``before`` (from the gram to the left), ``words_of_gram`` and ``behind`` for their words around: for those few that are looked at."""
+    k = F.least(F.lit(gram), F.col("length"))
+    return rows.withColumns({
+        "before": F.reverse(F.slice("around", F.lit(1), F.col("lead"))),
+        "words_of_gram": F.slice("around", F.col("lead") + 1, k),
+        "behind": F.slice("around", F.col("lead") + k + 1, F.col("length") - k),
+    }).drop("around", "lead")
+
+
 def prints_of(rows: DataFrame, lengths: list[int], window: int, gram: int) -> DataFrame:
     """Of rows with ``words`` a row a fingerprint, with what ``around`` gives; other columns go along."""
     carried = [column(c) for c in rows.columns if c != "words"]
@@ -123,7 +132,7 @@ def known_prints(items: DataFrame, key: str, text: str, window: int, gram: int)
     rows = items.select(F.coalesce(column(key).cast("string"), F.lit("")).alias("item"), words_of(column(text).cast("string")).alias("words"))
     rows = rows.where(F.size("words") > 0).withColumn("of", F.least(F.size("words"), F.lit(window)))
     lengths = sorted(r["of"] for r in rows.select("of").distinct().collect())  # at most ``window``
-    found = prints_of(rows, lengths, window, gram).where("length = of") if lengths else None
+    found = opened_up(prints_of(rows, lengths, window, gram).where("length = of"), gram) if lengths else None
     if found is None:
         return rows.sparkSession.createDataFrame([], "length int, print int, contexts array<struct<before:array<string>,words_of_gram:array<string>,behind:array<string>,items:array<string>>>"), []
     context = ["before", "words_of_gram", "behind"]
@@ -145,7 +154,7 @@ def judged(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, it
         held = F.aggregate("contexts", F.lit(0).cast("long"), lambda s, c: s + words(c) + F.size(c["items"]))
         size = known.agg(F.count("*").alias("n"), F.sum(held).alias("strings")).first()
         small = size["n"] <= BROADCAST_PRINTS and size["strings"] <= BROADCAST_STRINGS
-        found = prints_of(spaced, lengths, window, gram).join(F.broadcast(known) if small else known, ["length", "print"])
+        found = opened_up(prints_of(spaced, lengths, window, gram).join(F.broadcast(known) if small else known, ["length", "print"]), gram)
         left, right = (lambda c: agreeing(c["before"], F.col("before"))), (lambda c: agreeing(c["behind"], F.col("behind")))
         grown = F.transform("contexts", lambda c: F.struct(F.when(c["words_of_gram"] == F.col("words_of_gram"), left(c)).alias("left"), right(c).alias("right"), c["items"].alias("items")))
         k = F.size("words_of_gram")
