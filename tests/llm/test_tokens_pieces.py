@@ -1,10 +1,11 @@
 """Token counts and pieces against the libraries that own the vocabulary files."""
 
 import random
+from array import array
 
 import pytest
 
-from strandseek.llm.pieces import MARK, decode_pieces, encode_pieces, model, round_trips
+from strandseek.llm.pieces import MARK, UNIGRAM, Model, decode_pieces, encode_pieces, model, round_trips
 from strandseek.llm.tokens import MergeCounter, token_counts
 
 P = pytest.importorskip("public_tokenizers")
@@ -47,6 +48,25 @@ def test_pieces_are_the_librarys():
         assert m.decode(ids.tolist()) == library.decode(ids.tolist()) == text.replace(MARK, " ")
 
 
+def test_unigram_viterbi():
+    """With scores as a unigram model has them, a word's pieces have the best sum of all its segmentations."""
+    m = Model(P.path("piece_bpe_32k.model"))
+    m.kind = UNIGRAM
+    rng = random.Random(4)
+    words = sorted({MARK + "".join(rng.choice("thecainsor") for _ in range(rng.randrange(1, 9))) for _ in range(60)} | {"x", MARK + "the", MARK + "then"})
+
+    def best(word):
+        if not word:
+            return 0.0
+        return max(m.score[m.ids[word[:k]]] + best(word[k:]) for k in range(1, len(word) + 1) if word[:k] in m.ids)
+
+    found = m.learn_words(words)
+    for word in words:
+        ids = array("i", found[word])
+        assert "".join(m.text_of[k] for k in ids) == word
+        assert sum(m.score[k] for k in ids) == pytest.approx(best(word))
+
+
 def test_frames(spark):
     rows = [(1, "the cat", "x"), (1, "the cat", "x"), (None, None, None), (2, "", "y"), (3, "word " * 600, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens string")
