@@ -61,19 +61,19 @@ def answers_of(table: pa.Table) -> Answers:
     return {(k, b): x for k, b, x in zip(*(table.column(c).to_pylist() for c in ("kind", "block", "bits")), strict=True)}
 
 
-def ask(groups: DataFrame, f: Callable[[Rows, Answers], Questions], answers: DataFrame | None = None) -> DataFrame:
-    """The questions of each group, given the answers so far."""
+def ask(groups: DataFrame, f: Callable[[Rows, Answers], Questions], answers: DataFrame | None = None, rows: Callable[[pa.Table], Rows] = Rows) -> DataFrame:
+    """The questions of each group, given the answers so far; ``rows``: what a group's table is read as."""
     if answers is None:
 
         def first(table: pa.Table) -> pa.Table:
-            return _questions(table.column("group")[0].as_py(), f(Rows(table), {}))
+            return _questions(table.column("group")[0].as_py(), f(rows(table), {}))
 
         return groups.groupBy("group").applyInArrow(first, QUESTIONS)
 
     def then(table: pa.Table, said: pa.Table) -> pa.Table:
         if not table.num_rows:
             return _questions(0, [])
-        return _questions(table.column("group")[0].as_py(), f(Rows(table), answers_of(said)))
+        return _questions(table.column("group")[0].as_py(), f(rows(table), answers_of(said)))
 
     return groups.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(then, QUESTIONS)
 
@@ -88,11 +88,11 @@ def answer(questions: DataFrame, f: Callable[[int, list[bytes]], list[bytes]]) -
     return questions.groupBy("kind", "block").applyInArrow(run, ANSWERS)
 
 
-def finish(groups: DataFrame, answers: DataFrame, f: Callable[[Rows, Answers], pa.Table], schema: str) -> DataFrame:
+def finish(groups: DataFrame, answers: DataFrame, f: Callable[[Rows, Answers], pa.Table], schema: str, rows: Callable[[pa.Table], Rows] = Rows) -> DataFrame:
     """The result rows of each group, given all answers."""
 
     def run(table: pa.Table, said: pa.Table) -> pa.Table:
-        return f(Rows(table), answers_of(said))
+        return f(rows(table), answers_of(said))
 
     return groups.groupBy("group").cogroup(answers.groupBy("group")).applyInArrow(run, schema)
 

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandseek.llm import compression, decontam, language, near_dup, pieces, quality, resampling, secret_scan, substring, suffixes, warc
+from strandseek.llm import collocations, compression, decontam, language, near_dup, pieces, quality, resampling, secret_scan, substring, suffixes, warc
 from strandseek.llm._text import shared_folder
 from strandseek.llm.tokens import token_counts
 
@@ -63,6 +63,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.learn(docs))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return compression.score(docs, compression.learn(docs, table(spark, sf_dir, "labels")))
@@ -72,5 +76,5 @@ def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op4_suffix_dedup, op5_warc, op6_secret_scan, op7_sentencepiece, op8_near_dup, op9_quality_rules, op10_language_id, op12_quality_classifier, op13_resample)}
-SQL: dict[str, str] = {"op5_warc": warc.WARC_SQL, "op2_substring_dedup": substring.DEDUP_SQL, "op3_decontaminate": decontam.DECONTAMINATE_SQL, "op9_quality_rules": quality.quality_sql(), "op13_resample": resampling.RESAMPLE_SQL}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_decontaminate, op4_suffix_dedup, op5_warc, op6_secret_scan, op7_sentencepiece, op8_near_dup, op9_quality_rules, op10_language_id, op11_collocations, op12_quality_classifier, op13_resample)}
+SQL: dict[str, str] = {"op5_warc": warc.WARC_SQL, "op2_substring_dedup": substring.DEDUP_SQL, "op3_decontaminate": decontam.DECONTAMINATE_SQL, "op9_quality_rules": quality.quality_sql(), "op11_collocations": collocations.COLLOCATIONS_SQL, "op13_resample": resampling.RESAMPLE_SQL}
