@@ -5,10 +5,10 @@ pieces. What a broadcast table of bits, of fixed size, says of a word can only e
 
 Then texts, equal ones as one with a count, are dealt into groups. A group's sketch has two rows of
 counts of its phrases of two words and more, and is sent as the cells it has touched; blocks of cells
-add up what all groups send and answer a bit a cell, whether it reaches the threshold. The sketch grows
+add up what all groups send and answer which of these reach the threshold. The sketch grows
 with the words (``LOAD``), so the share of phrases passed in vain doesn't. An estimate is never under
 the count, so no frequent phrase is lost. Second pass: each group counts the phrases that both rows pass by
-their words, and these counts are added up exactly.
+their words, and these counts are sent by blocks of hashes and added up exactly.
 
 Scores and subsumption are joins over the frequent phrases, which a table in the shared folder holds; that table
 stays, as the result is read from it.
@@ -22,15 +22,17 @@ and other columns may have any names.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.ipc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandseek.llm._exchange import Answers, Questions, answer, ask, bits_of, block_of, bools, cut, finish, pack_cells, unpack_cells
+from strandseek.llm._exchange import Answers, Questions, answer, ask, block_of, cut, finish, pack_cells, unpack_cells
 from strandseek.llm._text import Packed, Shelf, U, chunks, column, mix, utf8
 from strandseek.llm.decontam import lower_ascii
 
@@ -47,6 +49,8 @@ LOWER = bytes(range(256)).replace(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklm
 WORD_BITS = 1 << 23
 #: Bytes of a group and of a block of its texts; cells of a block; phrases counted to a cell, as a share of the threshold.
 GROUP_BYTES, BLOCK, CELLS, LOAD, ROWS = 4 << 20, 1 << 20, 1 << 20, 1 / 8, 2
+#: Frequent words to a block of the exact counts.
+EXACT_BLOCK = 4 << 20
 #: So many languages' word counts are broadcast at most; beyond, they are joined by a shuffle.
 LANGUAGES = 10_000
 
@@ -102,58 +106,46 @@ class Phrases:
         return pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(edge), pa.py_buffer(packed[places]))
 
 
-def runs_of(x: np.ndarray) -> np.ndarray:
-    """Where the runs of a sorted array begin."""
-    return np.flatnonzero(np.concatenate((np.ones(min(1, len(x)), bool), x[1:] != x[:-1])))
-
-
-class Sketch:
-    """A group's own sketch, and what the merged one says of its phrases."""
-
-    def __init__(self, h: np.ndarray, n: np.ndarray, blocks: int):
-        order = np.argsort(h, kind="stable")
-        first = runs_of(h[order])
-        self.hash, self.n, self.blocks = h[order][first], np.add.reduceat(n[order], first) if len(first) else n[:0], blocks
-        self.order, self.lengths = order, np.diff(np.append(first, len(h)))
-
-    def cells(self, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sorted cells of a row (block number * CELLS + cell), what each counts, and each distinct phrase's place among them."""
-        r = mix(self.hash ^ U(0xA24BAED4963EE407 * (row + 1) & (1 << 64) - 1))
-        cell = block_of(r, self.blocks) * U(CELLS) + (r & U(CELLS - 1))
-        order = np.argsort(cell, kind="stable")
-        first = runs_of(cell[order])
-        of = np.empty(len(cell), np.int64)
-        of[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(cell))))
-        return cell[order][first], np.add.reduceat(self.n[order], first) if len(first) else self.n[:0], of
-
-    def questions(self, least: int) -> Questions:
-        out = []
-        for row in range(ROWS):
-            cells, n, _ = self.cells(row)
-            n = np.minimum(n, least).astype(counter(least))
-            out += [(row, k, pack_cells(cells[a:b] - U(k * CELLS)) + n[a:b].tobytes()) for k, a, b in cut(cells // U(CELLS))]
-        return out
-
-    def passed(self, said: Answers) -> np.ndarray:
-        """Of every phrase given, whether all rows of the merged sketch reach the threshold."""
-        ok = np.ones(len(self.hash), bool)
-        for row in range(ROWS):
-            cells, _, of = self.cells(row)
-            bits = [bools(said[row, k], b - a) for k, a, b in cut(cells // U(CELLS))]
-            ok &= np.concatenate(bits)[of] if bits else ok
-        out = np.empty(len(self.order), bool)
-        out[self.order] = np.repeat(ok, self.lengths)
-        return out
-
-
-def counter(least: int) -> type:
-    """What holds a cell's count up to the threshold."""
-    return np.uint8 if least < 256 else np.uint32 if least < 1 << 32 else np.uint64
+def cells_of(h: np.ndarray, row: int, blocks: int) -> np.ndarray:
+    """The cell of each phrase in a row of the sketch: block number * CELLS + cell."""
+    r = mix(h ^ U(0xA24BAED4963EE407 * (row + 1) & (1 << 64) - 1))
+    return block_of(r, blocks) * U(CELLS) + (r & U(CELLS - 1))
 
 
-def merge_sketches(least: int):
+def counter(least: int) -> np.dtype:
+    """What holds a cell's count up to the threshold."""
+    return np.dtype(np.uint8 if least < 256 else np.uint32)
+
+
+def sketch(h: np.ndarray, n: np.ndarray, blocks: int, least: int) -> Questions:
+    """A group's own sketch, as the cells that its phrases touch and what they count, up to the threshold."""
+    out, bits = [], U(least.bit_length())
+    for row in range(ROWS):
+        key = np.sort(cells_of(h, row, blocks) << bits | np.minimum(n, least).astype(U))  # a cell above, a count below
+        cell = key >> bits
+        first = np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), cell[1:] != cell[:-1])))
+        count = np.add.reduceat((key & ((U(1) << bits) - U(1))).astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+        cell, count = cell[first], np.minimum(count, least).astype(counter(least))
+        out += [(row, k, pack_cells(cell[a:b] - U(k * CELLS)) + count[a:b].tobytes()) for k, a, b in cut(cell // U(CELLS))]
+    return out
+
+
+def passed(h: np.ndarray, said: Answers, blocks: int) -> np.ndarray:
+    """The phrases whose cells reach the threshold in all rows of the merged sketch."""
+    at = np.arange(len(h))
+    for row in range(ROWS):
+        held = [unpack_cells(x) + U(k * CELLS) for (r, k), x in sorted(said.items()) if r == row]
+        there = np.concatenate(held or [np.zeros(0, U)])
+        if not len(there):
+            return at[:0]
+        cell = cells_of(h[at], row, blocks)
+        at = at[there[np.minimum(np.searchsorted(there, cell), len(there) - 1)] == cell]
+    return at
+
+
+def merge_sketches(least: int) -> Callable[[int, list[bytes]], list[bytes]]:
     """Adds up the sketches of one block and answers which of a group's cells reach the threshold."""
-    kind = np.dtype(counter(least))
+    kind = counter(least)
 
     def merge(_: int, payloads: list[bytes]) -> list[bytes]:
         count, parts = np.zeros(CELLS, np.int64), []
@@ -161,8 +153,27 @@ def merge_sketches(least: int):
             cells = unpack_cells(data).astype(np.int64)
             if len(cells):
                 count[cells] += np.frombuffer(data, kind, offset=len(data) - kind.itemsize * len(cells)).astype(np.int64)
-            parts.append(cells)
-        return [bits_of(count[cells] >= least) for cells in parts]
+            parts.append(cells.astype(np.uint32))
+        return [pack_cells(cells[count[cells] >= least].astype(U)) for cells in parts]
+
+    return merge
+
+
+def written_counts(counts: pa.Table) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, counts.schema) as writer:
+        writer.write_table(counts)
+    return out.getvalue().to_pybytes()
+
+
+def merge_counts(least: int) -> Callable[[pa.Table], pa.Table]:
+    """Adds up the exact counts of one block's phrases; only frequent ones are returned."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        every = pa.concat_tables([pa.ipc.open_stream(x.as_buffer()).read_all() for x in table.column("payload")])
+        total = every.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
+        total = total.filter(pc.greater_equal(total.column("f_sum"), least))
+        return pa.table({"lang": total.column("lang"), "phrase": total.column("phrase").cast(pa.string()), "f": total.column("f_sum")})
 
     return merge
 
@@ -183,7 +194,7 @@ def frequent_words(words: DataFrame) -> np.ndarray:
 
 def frequent_phrases(rows: DataFrame, bits: np.ndarray, n_words: int, n_bytes: int, least: int, longest: int, group_bytes: int) -> DataFrame:
     """lang, phrase, f of the phrases of two words and more that occur so often; ``rows``: lang, text; ``n_words``: of frequent words."""
-    blocks = int(n_words * (longest - 1) / max(1.0, least * LOAD)) // CELLS + 1
+    blocks, exact_blocks = int(n_words * (longest - 1) / max(1.0, least * LOAD)) // CELLS + 1, n_words // EXACT_BLOCK + 1
     groups = rows.groupBy("lang", "text").agg(F.count(F.lit(1)).alias("copies"))
     groups = groups.select(F.pmod(F.xxhash64("lang", "text"), F.lit(-(-n_bytes // group_bytes) or 1)).alias("group"), "lang", "text", "copies")
     shared = rows.sparkSession.sparkContext.broadcast(bits)
@@ -192,29 +203,27 @@ def frequent_phrases(rows: DataFrame, bits: np.ndarray, n_words: int, n_bytes: i
         for a, b in chunks(t.texts, BLOCK):
             yield a, Phrases(t.texts[a:b], t.lang_hash[a:b], shared.value, longest)
 
-    def sketched(t: Texts, parts: list[tuple[int, Phrases]]) -> Sketch:
-        none = [np.zeros(0, U)], [np.zeros(0, np.int64)]
-        return Sketch(np.concatenate([x.hash for _, x in parts] or none[0]), np.concatenate([t.copies[a + x.doc] for a, x in parts] or none[1]), blocks)
-
     def questions(t: Texts, _: Answers) -> Questions:
-        return sketched(t, list(each(t))).questions(least)
+        parts = list(each(t))
+        h, n = np.concatenate([np.zeros(0, U), *(x.hash for _, x in parts)]), np.concatenate([np.zeros(0, np.int64), *(t.copies[a + x.doc] for a, x in parts)])
+        return sketch(h, n, blocks, least)
 
     def count(t: Texts, said: Answers) -> pa.Table:
-        parts = list(each(t))
-        ok = np.split(sketched(t, parts).passed(said), np.cumsum([len(x.hash) for _, x in parts])[:-1]) if parts else []
-        names = pa.array(t.langs, pa.string())
-        found = []
-        for (a, x), keep in zip(parts, ok, strict=True):
-            which = np.flatnonzero(keep)
+        """The exact counts of the group's phrases that pass, by blocks of their hashes, a row a block."""
+        names, found = pa.array(t.langs, pa.string()), []
+        for a, x in each(t):
+            which = passed(x.hash, said, blocks)
             doc = a + x.doc[which]
-            found.append(pa.table({"lang": names.take(pa.array(doc)), "phrase": x.written(which), "f": pa.array(t.copies[doc], pa.int64())}))
-        out = pa.concat_tables(found) if found else pa.table({"lang": pa.array([], pa.string()), "phrase": pa.array([], pa.large_string()), "f": pa.array([], pa.int64())})
-        out = out.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
-        return pa.table({"lang": out.column("lang"), "phrase": out.column("phrase").cast(pa.string()), "f": out.column("f_sum")})
+            found.append(pa.table({"block": pa.array(block_of(x.hash[which], exact_blocks).astype(np.int64)), "lang": names.take(pa.array(doc)), "phrase": x.written(which), "f": pa.array(t.copies[doc], pa.int64())}))
+        if not found:
+            return pa.table({"block": pa.array([], pa.int64()), "payload": pa.array([], pa.binary())})
+        total = pa.concat_tables(found).group_by(["block", "lang", "phrase"]).aggregate([("f", "sum")]).rename_columns(["block", "lang", "phrase", "f"]).sort_by("block")
+        runs = cut(total.column("block").to_numpy())
+        return pa.table({"block": pa.array([k for k, _, _ in runs], pa.int64()), "payload": pa.array([written_counts(total.slice(i, j - i).drop_columns("block")) for _, i, j in runs], pa.binary())})
 
     answers = answer(ask(groups, questions, rows=Texts), merge_sketches(least))
-    exact = finish(groups, answers, count, "lang string, phrase string, f long", rows=Texts)
-    return exact.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    exact = finish(groups, answers, count, "block long, payload binary", rows=Texts)
+    return exact.groupBy("block").applyInArrow(merge_counts(least), "lang string, phrase string, f long")
 
 
 def scored(counts: DataFrame, totals: DataFrame) -> DataFrame:
