@@ -18,16 +18,17 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import chunks, column, map_texts, picked, ranges, text_udf
+from strandseek.llm._text import PART, Shelf, chunks, column, map_texts, picked, ranges, text_udf
 
 PROFILE, SAMPLE = 400, 20_000
-#: So many labels at most are taken for languages: what learning brings to the driver is bounded by it.
+#: Profiles of so many languages are held at a time; those of more are stored and compared in turn.
 LANGUAGES = 1000
 UNKNOWN = "und"
 #: Texts of about so many bytes are counted at once.
@@ -101,10 +102,28 @@ class Grams:
         return owner[top], place[top], self.gram[order][top]
 
 
-def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", size: int = PROFILE, sample: int = SAMPLE) -> dict[str, list[str]]:
+@dataclass
+class Stored:
+    """The profiles of more languages than are held at once: a table of (lang, gram, place, block), dealt into blocks by a hash of the language."""
+
+    table: DataFrame
+    blocks: int
+
+    def block(self, number: int) -> dict[str, list[str]]:
+        return as_profiles(self.table.where(F.col("block") == number).select("lang", "gram", "place").collect())
+
+
+def as_profiles(rows: list) -> dict[str, list[str]]:
+    out: dict[str, list] = {}
+    for row in sorted(rows, key=lambda r: (r["lang"], r["place"])):
+        out.setdefault(row["lang"], []).append(row["gram"])
+    return out
+
+
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", size: int = PROFILE, sample: int = SAMPLE, languages: int = LANGUAGES) -> dict[str, list[str]] | Stored:
     """Each language's n-grams in order of frequency, from rows that aren't held out and have a label and a text.
 
-    What reaches the driver is ``size`` n-grams a language, of at most ``LANGUAGES``.
+    What reaches the driver is ``size`` n-grams a language, of at most ``languages``; profiles of more stay a table in the shared folder.
     """
     rows = docs.select(column(key).cast("long").alias("doc_id"), column(text).cast("string").alias("text"), column(lang).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
@@ -126,13 +145,14 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
 
     counts = rows.select("text", "lang").mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
-    best = counts.withColumn("place", place).where(F.col("place") <= size).limit(size * LANGUAGES + 1).collect()
-    if len(best) > size * LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} labels: these aren't languages")
-    profiles: dict[str, list] = {}
-    for row in sorted(best, key=lambda r: (r["lang"], r["place"])):
-        profiles.setdefault(row["lang"], []).append(row["gram"])
-    return profiles
+    best = counts.withColumn("place", place).where(F.col("place") <= size).select("lang", "gram", "place")
+    rows = best.limit(size * languages + 1).collect()
+    if len(rows) <= size * languages:
+        return as_profiles(rows)
+    spark = docs.sparkSession
+    best = Shelf(spark, "profiles").put(best)
+    blocks = best.select("lang").distinct().count() // languages + 1
+    return Stored(best.withColumn("block", F.pmod(F.xxhash64("lang"), F.lit(blocks))), blocks)
 
 
 class Judge:
@@ -147,9 +167,13 @@ class Judge:
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """Of each text the language, and how much nearer it is than the next, between 0 and 1."""
+        return [self.judged(n, near) for n, near in self.nearest(texts)]
+
+    def nearest(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, str]]]]:
+        """Of each text how many n-grams it has and its nearest two languages with their distances."""
         return [x for i, j in chunks([t or "" for t in texts], BLOCK) for x in self.block(texts[i:j])]
 
-    def block(self, texts: list[str | None]) -> list[tuple[str, float]]:
+    def block(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, str]]]]:
         m, size = len(texts), self.size
         g = Grams(texts, np.arange(m))
         owner, place, gram = g.ranked(size)
@@ -167,30 +191,62 @@ class Judge:
             far[:, k] = np.bincount(owner, step, m)
         out = []
         for n, x in zip(grams.tolist(), far.tolist(), strict=True):
-            if not n or not x:
-                out.append((UNKNOWN, 0.0))
-                continue
-            near = sorted((d, k) for k, d in enumerate(x))
-            rest = near[1][0] if len(near) > 1 else size * n
-            out.append((self.langs[near[0][1]], 1 - near[0][0] / rest if rest else 0.0))
+            near = sorted((d, k) for k, d in enumerate(x))[:2] if n else []
+            out.append((n, [(d, self.langs[k]) for d, k in near]))
         return out
 
-
-def predict(docs: DataFrame, profiles: dict[str, list[str]], key: str = "doc_id", text: str = "text", size: int = PROFILE) -> DataFrame:
+    def judged(self, n: int, near: list[tuple[int, str]]) -> tuple[str, float]:
+        """The language of a text of n different n-grams, from its nearest two languages and how far they are."""
+        if not n or not near:
+            return UNKNOWN, 0.0
+        rest = near[1][0] if len(near) > 1 else self.size * n
+        return near[0][1], 1 - near[0][0] / rest if rest else 0.0
+
+
+def nearest_of_stored(rows: DataFrame, profiles: Stored, size: int) -> DataFrame:
+    """doc_id, lang_pred, score of rows (doc_id, text): block by block of the languages, a written table between, the nearest two so far go along."""
+    shelf = Shelf(rows.sparkSession, "languages")
+    state = "doc_id long, text string, n int, near array<struct<far: long, lang: string>>"
+    rows = rows.select("doc_id", "text", F.lit(0).alias("n"), F.array().cast("array<struct<far: long, lang: string>>").alias("near"))
+    for number in range(profiles.blocks):
+        judge = Judge(profiles.block(number), size)
+
+        def run(batches: Iterator[pa.RecordBatch], judge: Judge = judge) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for i, j in ranges(b.column(1), PART):
+                    part = b.slice(i, j - i)
+                    found = judge.nearest(part.column(1).to_pylist())
+                    before = [[(x["far"], x["lang"]) for x in near] for near in part.column(3).to_pylist()]
+                    both = [[{"far": d, "lang": x} for d, x in sorted(old + new)[:2]] for old, (_, new) in zip(before, found, strict=True)]
+                    yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([n for n, _ in found], pa.int32()), pa.array(both, b.schema.field(3).type)], schema=b.schema)
+
+        rows = shelf.put(rows.mapInArrow(run, state))
+    last = F.col("near")[0]
+    rest = F.coalesce(F.get("near", F.lit(1))["far"], F.col("n").cast("long") * size)
+    known = (F.col("n") > 0) & (F.size("near") > 0)
+    score = F.when(known & (rest > 0), 1 - last["far"] / rest).otherwise(0.0)
+    return rows.select("doc_id", F.when(known, last["lang"]).otherwise(UNKNOWN).alias("lang_pred"), F.least(F.lit(1.0), F.greatest(F.lit(0.0), score)).alias("score"))
+
+
+def predict(docs: DataFrame, profiles: dict[str, list[str]] | Stored, key: str = "doc_id", text: str = "text", size: int = PROFILE) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row, from its text alone."""
+    if isinstance(profiles, Stored):
+        out = nearest_of_stored(picked(docs, key, text), profiles, size)
+    else:
+        judge = Judge(profiles, size)
 
-    judge = Judge(profiles, size)
-
-    def run(keys: list, texts: list) -> dict[str, list]:
-        said = judge(texts)
-        return {"doc_id": keys, "lang_pred": [x[0] for x in said], "score": [min(1.0, max(0.0, x[1])) for x in said]}
+        def run(keys: list, texts: list) -> dict[str, list]:
+            said = judge(texts)
+            return {"doc_id": keys, "lang_pred": [x[0] for x in said], "score": [min(1.0, max(0.0, x[1])) for x in said]}
 
-    out = map_texts(picked(docs, key, text), run, "doc_id long, lang_pred string, score double")
+        out = map_texts(picked(docs, key, text), run, "doc_id long, lang_pred string, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, profiles: dict[str, list[str]], text: str = "text", size: int = PROFILE) -> DataFrame:
+def keep_known(docs: DataFrame, profiles: dict[str, list[str]] | Stored, text: str = "text", size: int = PROFILE) -> DataFrame:
     """The rows whose text has some language, with all their columns; only ``und`` goes."""
+    if isinstance(profiles, Stored):  # with any profile, a text is without language if it has no n-grams
+        profiles = next(x for x in map(profiles.block, range(profiles.blocks)) if x)
     judge = Judge(profiles, size)
     known = text_udf(lambda texts: [x != UNKNOWN for x, _ in judge(texts)], "boolean", pa.bool_())
     return docs.where(known(column(text).cast("string")))

@@ -13,7 +13,8 @@ length, so a random token lies in its lower tail; and ordinary tokens seldom cha
 and digits or from lower to upper case, so a random token has more runs of these classes than the
 binomial of its length allows. False discoveries are controlled over the whole corpus, for each range
 of lengths by itself (``LENGTHS``): a first pass counts the p-values of all tokens in eighths of a
-decade, and Benjamini and Hochberg's procedure on the counts says how small one must be. So what
+decade, those that the battery rejects among them with a p-value of 1, and Benjamini and Hochberg's procedure on
+the counts says how small one must be; a range without tokens keeps ``FALSE_SHARE`` itself. So what
 ``scan`` and ``redact`` find depends on all texts of the frame; a lone text is held against
 ``FALSE_SHARE`` itself.
 
@@ -25,6 +26,7 @@ one would overlap the base span stays alone.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections import Counter
@@ -125,18 +127,35 @@ def battery(token: str) -> tuple[str, float, float] | None:
     return name, fisher([uniform, runs, serial]), fisher([even, mixed])
 
 
+def merged(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of spans, overlapping ones as one, in order."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def tested(text: str, taken: list[tuple[int, int]], reject: float = REJECT) -> list[tuple[float, int, int]]:
-    """(p-value of ordinary text, start, end) of the tokens outside the taken spans that the battery doesn't reject."""
-    out = []
+    """(p-value, start, end) of every token outside the taken spans that the battery tests.
+
+    The p-value is that of ordinary text, or 1 if the battery rejects the token. Of ordinary text, so, no more than
+    a share p has a p-value up to p, whatever the battery keeps: nothing is selected before it is counted.
+    """
+    out, (starts, ends) = [], merged(taken)
 
     def passes(a: int, token: str) -> bool:
         b = a + len(token)
-        if len(token) < LEAST or not (DIGIT(token) and LETTER(token)) or any(s < b and a < e for s, e in taken):
+        if len(token) < LEAST or not (DIGIT(token) and LETTER(token)):
             return False
-        if not (found := battery(token)) or found[1] < reject:
+        at = bisect.bisect_left(starts, b)  # the last span that begins before the token ends
+        if (at and ends[at - 1] > a) or not (found := battery(token)):
             return False
-        out.append((found[2], a, b))
-        return True
+        out.append((1.0 if found[1] < reject else found[2], a, b))
+        return found[1] >= reject
 
     for m in CANDIDATE.finditer(text):
         token = m[0].strip("-_/+")
@@ -203,7 +222,7 @@ def limits_of(texts: DataFrame, false_share: float = FALSE_SHARE) -> tuple[int,
     out = []
     for k in range(len(LENGTHS)):
         mine = {r["bin"]: r["n"] for r in counts if r["range"] == k}
-        total, least, up = sum(mine.values()), LAST_BIN + 1, 0
+        total, least, up = sum(mine.values()), LAST_BIN + 1 if mine else ALONE[k], 0
         for b in sorted(mine, reverse=True):
             up += mine[b]
             if 10 ** (-b / BINS) <= false_share * up / total:
