@@ -1,27 +1,23 @@
-"""Nearest neighbours: exact, inverted lists, product and scalar quantisation.
+"""Nearest neighbours: exact, inverted lists with or without codes, and proximity graphs.
 
 The query windows are a stated set and far fewer than the database's: they are broadcast, a block of
 bounded size at a time, and the database streams past them in Arrow batches as matrix products of
-bounded size. Each task keeps the k best of each query, so what is shuffled is k rows a query and
+bounded size. Each task keeps the best of each query, so what is shuffled is some rows a query and
 task, never the database; a window's rank then settles the k best.
 
-An index is columns of the database's rows: the list of the nearest centre and, for quantised types,
-the vector's code. ``write_index`` stores them by list, ``read_index`` reads them back, and a search
-reads only lists that some query probes and scores a row only for the queries that probe its list;
-exact scores are worked out for the candidates alone.
+An index is a table made of the database's rows. Inverted lists add the list of the nearest centre and,
+for product codes, the code of the vector's residual; a search adds up the codes' entries in a query's tables
+and makes no vectors of them. Graphs put a shard of rows with all its links into one row (``graph.py``).
+``write_index`` stores such a table, ``read_index`` reads it back. A search reads only lists that some query
+probes and scores a row only for the queries that probe its list; exact scores are worked out for what it keeps.
 
-A graph index has no counterpart on partitioned data. The hnsw types search inverted lists instead:
-``hnsw_m`` is how many lists a query follows where ``nprobe`` is unset, ``ef_construction`` how many
-rows a list the training may use, ``ef_search`` (or max(2k, 64)) how many candidates are scored anew;
-plain, by scalar or by product quantisation.
+Ranks are those of the index's own scores. With ``recall`` set, lists and candidates are as many as a sample
+has shown to be needed, and candidates are ranked by exact scores.
 """
 
 from __future__ import annotations
 
-import io
-import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -29,184 +25,73 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strandseek.functions.vectors import clip, cosine_of_distance, dot, norm
+from strandseek.functions.vectors import clip, cosine_of_distance, dot
+from strandseek.operators import graph
+from strandseek.operators.index import SCORES, Index, build_index, matrix, table_scores
 from strandseek.params import SearchParams
 
 #: Bytes of query vectors held at once; more queries are searched in more passes over the database.
 QUERY_BYTES = 256 << 20
-#: A training sample has at most so many rows and bytes, whichever is less; centres are means over it.
-TRAINING_ROWS, TRAINING_BYTES = 250_000, 512 << 20
-#: Scores worked out at once.
-SCORES = 4 << 20
+#: Rows and bytes of vectors of a graph's shard at most.
+SHARD_ROWS, SHARD_BYTES = 10_000, 64 << 20
 PLACE = ("transcript_id", "window_index", "window_start", "window_end")
 HITS = (
     "query_transcript string, query_window_index int, query_window_start int, query_window_end int, "
     "target_transcript string, target_window_index int, target_window_start int, target_window_end int, score double, exact double"
 )
-
-
-def matrix(column: pa.Array) -> np.ndarray:
-    """A list column of equal lengths as a matrix of doubles."""
-    n = len(column)
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.zeros((0, 0))
-
-
-def near_centres(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((centres**2).sum(1)[None, :] - 2 * x @ centres.T).argmin(1)
-
-
-def k_means(x: np.ndarray, k: int, steps: int = 10, seed: int = 0) -> np.ndarray:
-    """Lloyd's algorithm on a training sample; empty clusters keep their centres."""
-    rng = np.random.default_rng(seed)
-    centres = x[np.sort(rng.choice(len(x), min(k, len(x)), replace=False))].copy()
-    for _ in range(steps):
-        of = near_centres(x, centres)
-        n = np.bincount(of, minlength=len(centres))
-        total = np.zeros_like(centres)
-        np.add.at(total, of, x)
-        centres[n > 0] = total[n > 0] / n[n > 0, None]
-    return centres
-
-
-def allocated(variances: np.ndarray, parts: int) -> np.ndarray:
-    """The order of principal axes that gives each of so many parts about the same product of variances: the greatest left goes to the least part."""
-    size = -(-len(variances) // parts)
-    held: list[list[int]] = [[] for _ in range(parts)]
-    weight = np.zeros(parts)
-    for k in np.argsort(-variances, kind="stable").tolist():
-        part = min((j for j in range(parts) if len(held[j]) < size), key=lambda j: (weight[j], j))
-        held[part].append(k)
-        weight[part] += np.log(max(variances[k], 1e-12))
-    return np.array([k for x in held for k in x])
-
-
-@dataclass
-class Index:
-    """What a search needs beside the rows: all of it bounded by the parameters, not by the data."""
-
-    kind: str
-    by_l2: bool
-    centres: np.ndarray | None = None
-    rotation: np.ndarray | None = None
-    codebooks: list[np.ndarray] | None = None
-    low: np.ndarray | None = None
-    high: np.ndarray | None = None
-
-    def lists(self, x: np.ndarray) -> np.ndarray:
-        return near_centres(x, self.centres) if self.centres is not None else np.zeros(len(x), np.int64)
-
-    def probes(self, q: np.ndarray, n: int) -> np.ndarray:
-        """Whether each query looks into each list: its n nearest centres."""
-        if self.centres is None:
-            return np.ones((len(q), 1), bool)
-        far = (self.centres**2).sum(1)[None, :] - 2 * q @ self.centres.T
-        out = np.zeros(far.shape, bool)
-        np.put_along_axis(out, np.argsort(far, axis=1, kind="stable")[:, :n], True, 1)
-        return out
-
-    def code(self, x: np.ndarray) -> np.ndarray | None:
-        """The vectors' codes, a row of bytes each."""
-        if self.codebooks is not None:
-            y, at, out = x @ self.rotation if self.rotation is not None else x, 0, []
-            for book in self.codebooks:
-                out.append(near_centres(y[:, at : at + book.shape[1]], book).astype("<u2"))
-                at += book.shape[1]
-            return np.stack(out, axis=1).view(np.uint8).reshape(len(x), -1)
-        if self.low is not None:
-            return np.clip(np.rint((x - self.low) / self.step), 0, 255).astype(np.uint8)
-        return None
-
-    @property
-    def step(self) -> np.ndarray:
-        return np.maximum(self.high - self.low, 1e-12) / 255
-
-    def decoded(self, codes: np.ndarray) -> np.ndarray:
-        """The vectors as their codes describe them, in the original space."""
-        if self.low is not None:
-            return self.low + codes * self.step
-        of = np.ascontiguousarray(codes).view("<u2")
-        z = np.concatenate([book[of[:, k]] for k, book in enumerate(self.codebooks)], axis=1)
-        return z @ self.rotation.T if self.rotation is not None else z
-
-    @property
-    def coded(self) -> bool:
-        return self.codebooks is not None or self.low is not None
-
-    def dump(self) -> bytes:
-        out = io.BytesIO()
-        arrays = {f.name: getattr(self, f.name) for f in fields(self) if f.name != "codebooks" and getattr(self, f.name) is not None}
-        np.savez(out, **arrays, **{f"book{k}": x for k, x in enumerate(self.codebooks or [])})
-        return out.getvalue()
-
-    @staticmethod
-    def load(data: bytes) -> Index:
-        got = dict(np.load(io.BytesIO(data)))
-        books = [got.pop(f"book{k}") for k in range(sum(n.startswith("book") for n in got))]
-        return Index(str(got.pop("kind")), bool(got.pop("by_l2")), codebooks=books or None, **got)
-
-
-def training_sample(database: DataFrame, rows: int, seed: int = 0) -> np.ndarray:
-    """A sample of vectors of bounded size, the same for the same rows: those of the least hashes."""
-    if not (head := database.select(F.size("vector")).head(1)):
-        raise ValueError("No database windows")
-    rows = min(rows, max(1, TRAINING_BYTES // (8 * max(1, head[0][0]))))
-    order = F.xxhash64(F.lit(seed), "transcript_id", "window_start")
-    return matrix(database.select("vector", order.alias("o")).orderBy("o").limit(rows).select("vector").toArrow().column(0).combine_chunks())
-
-
-def mean_norm(database: DataFrame, rows: int = 1000) -> float | None:
-    """The mean norm of the first rows, nothing of no rows."""
-    return database.limit(rows).agg(F.avg(norm("vector"))).first()[0]
-
-
-def warn_of_norms(mean: float, p: SearchParams, within: float = 0.01) -> None:
-    if not p.by_l2 and abs(mean - 1) > within:
-        warnings.warn("the vectors' mean norm isn't about 1: inner products aren't cosines", stacklevel=3)
-
-
-def build_index(database: DataFrame, p: SearchParams) -> Index:
-    """Learns what the index type needs from a bounded sample; warns if vectors taken for unit vectors aren't."""
-    kind = p.index_type
-    if kind.startswith("flat"):
-        mean = mean_norm(database)
-        if mean is None:
-            raise ValueError("No database windows")
-        warn_of_norms(mean, p)
-        return Index(kind, p.by_l2)
-    x = training_sample(database, min(TRAINING_ROWS, p.nlist * p.ef_construction) if kind.startswith("hnsw") else TRAINING_ROWS)
-    warn_of_norms(float(np.sqrt((x[:1000] ** 2).sum(1)).mean()), p)
-    index = Index(kind, p.by_l2, k_means(x, p.nlist))
-    if kind in ("ivfpq", "opq_ivfpq", "hnswpq"):
-        d, y = x.shape[1], x
-        if kind == "opq_ivfpq":  # the parametric solution: principal axes, dealt out to opq_m parts of equal weight
-            variances, axes = np.linalg.eigh(np.cov(x, rowvar=False))
-            index.rotation = axes[:, allocated(variances, max(1, min(p.opq_m, d)))]
-            y = x @ index.rotation
-        cuts = np.linspace(0, d, min(p.pq_m, d) + 1).astype(int)
-        index.codebooks = [k_means(y[:, a:b], 2**p.pq_bits, seed=a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    elif kind == "hnswsq8":
-        index.low, index.high = x.min(0), x.max(0)
-    return index
+SHARD = "shard int, transcript_id array<string>, window_index array<int>, window_start array<int>, window_end array<int>, vectors binary, codes binary, links array<binary>"
 
 
 def indexed(database: DataFrame, index: Index) -> DataFrame:
-    """The database's places and vectors with ``list`` and, for quantised types, ``code``; a partition's rows of one list lie together."""
-    ddl = f"transcript_id string, window_index int, window_start int, window_end int, vector array<{dict(database.dtypes)['vector'][6:-1]}>, list int" + (", code binary" if index.coded else "")
+    """The table that a search of the index reads: shards of a graph, or places and vectors with ``list`` and, for product codes, ``code``."""
+    if index.graph:
+        return graphed(database, index)
+    ddl = f"transcript_id string, window_index int, window_start int, window_end int, vector array<{dict(database.dtypes)['vector'][6:-1]}>, list int" + (", code binary, offset float" if index.coded else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            if not b.num_rows:
+                continue
             x = matrix(b.column("vector"))
-            arrays = [*b.columns, pa.array(index.lists(x) if b.num_rows else [], pa.int32())]
+            lists = index.lists(x)
+            arrays = [*b.columns, pa.array(lists, pa.int32())]
             if index.coded:
-                arrays.append(pa.array([c.tobytes() for c in index.code(x)] if b.num_rows else [], pa.binary()))
-            yield pa.RecordBatch.from_arrays(arrays, names=[*b.schema.names, "list", "code"][: len(arrays)])
+                codes = index.code(x, lists)
+                arrays += [pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(index.offsets(codes, lists) if index.by_l2 else np.zeros(len(x), np.float32), pa.float32())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*b.schema.names, "list", "code", "offset"][: len(arrays)])
 
     return database.select(*PLACE, "vector").mapInArrow(run, ddl).sortWithinPartitions("list")
 
 
+def graphed(database: DataFrame, index: Index) -> DataFrame:
+    """The graph of each shard of rows. Shards are drawn by a hash of the place, so each has rows from everywhere."""
+    size = database.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
+    shards = -(-size["n"] // max(1, min(SHARD_ROWS, SHARD_BYTES // (4 * (size["d"] or 1))))) or 1
+    place = [F.col(c) for c in PLACE]
+
+    def build(table: pa.Table) -> pa.Table:
+        level = graph.levels(table.column("drawn").to_numpy().astype(np.uint64), index.links)
+        order = pa.array(np.lexsort((table.column("drawn").to_numpy(), -level)))
+        table, level = table.take(order).combine_chunks(), np.sort(level)[::-1]
+        x, none = matrix(table.column("vector"), np.float32), np.zeros(table.num_rows, np.int64)
+        codes = index.code(x, none) if index.coded else np.zeros((0, 0), np.uint8)
+        links = graph.build(graph.Space(index.decoded(codes, none) if index.coded else x, index.by_l2), level, index.links, index.ef_construction)
+        one = lambda c, kind: pa.array([table.column(c).to_pylist()], pa.list_(kind))
+        places = {c: one(c, pa.string() if k == 0 else pa.int32()) for k, c in enumerate(PLACE)}
+        return pa.table({
+            "shard": table.column("shard").slice(0, 1), **places, "vectors": pa.array([x.tobytes()], pa.binary()), "codes": pa.array([codes.tobytes()], pa.binary()),
+            "links": pa.array([[x.astype(np.int32).tobytes() for x in links]], pa.list_(pa.binary())),
+        })
+
+    drawn = F.xxhash64("transcript_id", "window_start")
+    rows = database.select(*place, "vector", drawn.alias("drawn"), F.pmod(F.xxhash64(F.lit(7), "transcript_id", "window_start"), F.lit(shards)).cast("int").alias("shard"))
+    return rows.groupBy("shard").applyInArrow(build, SHARD)
+
+
 def write_index(database: DataFrame, index: Index, path: str) -> None:
-    """Stores the rows by list, large lists over several files, and what the index has learned beside them."""
-    indexed(database, index).hint("rebalance", "list").write.partitionBy("list").parquet(f"{path}/rows")
+    """Stores the rows by list, large lists over several files, or the shards, and what the index has learned beside them."""
+    rows = indexed(database, index)
+    (rows.write if index.graph else rows.hint("rebalance", "list").write.partitionBy("list")).parquet(f"{path}/rows")
     database.sparkSession.createDataFrame([(index.dump(),)], "learned binary").write.parquet(f"{path}/learned")
 
 
@@ -261,9 +146,24 @@ class Best:
         self.places, self.query, self.row, self.score, self.exact = places, query[keep], row[keep], score[keep], exact[keep]
 
 
-def candidates(places: pa.Table, q: np.ndarray, rows: DataFrame, index: Index, k: int, nprobe: int | None) -> DataFrame:
+def hits_of(places: pa.Table, best: Best) -> Iterator[pa.RecordBatch]:
+    """The rows of ``HITS`` that a task has kept."""
+    if best.places is not None:
+        own, theirs = places.take(pa.array(best.query)).combine_chunks(), best.places.take(pa.array(best.row)).combine_chunks()
+        out = pa.table([*own.columns, *theirs.columns, pa.array(best.score), pa.array(best.exact)], names=[f.split()[0] for f in HITS.split(", ")])
+        yield from out.to_batches(max_chunksize=10_000)
+
+
+def exact_scores(q: np.ndarray, x: np.ndarray, query: np.ndarray, row: np.ndarray, by_l2: bool) -> np.ndarray:
+    """Inner products or squared distances of pairs."""
+    step = max(1, SCORES // max(1, q.shape[1]))
+    product = np.concatenate([(q[query[j : j + step]] * x[row[j : j + step]]).sum(1) for j in range(0, len(query), step)] or [np.zeros(0)])
+    return np.round((q**2).sum(1)[query] + (x**2).sum(1)[row] - 2 * product if by_l2 else product, 12)
+
+
+def candidates(places: pa.Table, q: np.ndarray, rows: DataFrame, index: Index, k: int, nprobe: int) -> DataFrame:
     """Each task's best k rows of each query, with the index's score (greater is nearer) and the exact one."""
-    probes = index.probes(q, min(len(index.centres) if index.centres is not None else 1, nprobe or 1))
+    probes = index.probes(q, min(len(index.centres) if index.centres is not None else 1, nprobe))
     asked = [np.flatnonzero(x) for x in probes.T]  # the queries of each list
     if index.centres is not None:
         rows = rows.where(F.col("list").isin([k for k, x in enumerate(asked) if len(x)]))
@@ -272,6 +172,7 @@ def candidates(places: pa.Table, q: np.ndarray, rows: DataFrame, index: Index, k
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, q, asked = shared.value
         best, squares = Best(len(q), k), (q**2).sum(1)
+        tables = index.tables(q) if index.coded and len(q) else []
         for b in batches:
             if not b.num_rows or not len(q):
                 continue
@@ -280,37 +181,95 @@ def candidates(places: pa.Table, q: np.ndarray, rows: DataFrame, index: Index, k
                 raise ValueError(f"dimensions differ: {q.shape[1]} and {x.shape[1]}")
             by_target = pc.sort_indices(pa.table({c: b.column(c) for c in PLACE}), [("transcript_id", "ascending"), ("window_start", "ascending")]).to_numpy().astype(np.int64)
             lists = b.column("list").to_numpy()[by_target] if "list" in b.schema.names else np.zeros(b.num_rows, np.int64)
-            floor, found = best.floor(), []
+            floor, found, x_squares = best.floor(), [], (x**2).sum(1)
             for part in np.unique(lists).tolist():
                 at = by_target[lists == part]
-                z = index.decoded(np.frombuffer(b"".join(b.column("code").take(pa.array(at)).to_pylist()), np.uint8).reshape(len(at), -1)) if index.coded else x[at]
-                z_squares = (z**2).sum(1)
+                if index.coded:
+                    codes = np.frombuffer(b"".join(b.column("code").take(pa.array(at)).to_pylist()), index.code_type).reshape(len(at), -1)
+                    offset, centre = b.column("offset").to_numpy()[at], index.centres[part]
                 for j in range(0, len(asked[part]), step := max(1, SCORES // len(at))):
                     mine = asked[part][j : j + step]
-                    score = q[mine] @ z.T
-                    score = -np.round(squares[mine, None] + z_squares[None, :] - 2 * score, 12) if index.by_l2 else np.round(score, 12)
+                    if index.coded:  # the centre's part and the tables' entries
+                        to_centre = q[mine] @ centre
+                        score = table_scores(index, tables, codes, mine).T.astype(np.float64) + to_centre[:, None]
+                        if index.by_l2:
+                            score = 2 * score - offset[None, :] - (squares[mine] + centre @ centre)[:, None]
+                    else:
+                        score = q[mine] @ x[at].T
+                        score = -np.round(squares[mine, None] + x_squares[None, at] - 2 * score, 12) if index.by_l2 else np.round(score, 12)
                     score[score < floor[mine, None]] = -np.inf
                     i, col = np.nonzero(best_of(score, k))
                     found.append((mine[i], at[col], score[i, col]))
             if not found:
                 continue
             query, row, score = (np.concatenate([f[c] for f in found]) for c in range(3))
-            if index.coded:  # only what is kept is scored exactly
-                product = np.concatenate([(q[query[j : j + 8192]] * x[row[j : j + 8192]]).sum(1) for j in range(0, len(query), 8192)] or [np.zeros(0)])
-                exact = np.round(squares[query] + (x**2).sum(1)[row] - 2 * product if index.by_l2 else product, 12)
-            else:
-                exact = -score if index.by_l2 else score
+            exact = exact_scores(q, x, query, row, index.by_l2) if index.coded else -score if index.by_l2 else score  # only what is kept is scored exactly
             best.add(pa.table({c: b.column(c) for c in PLACE}), query, row, score, exact)
-        if best.places is not None:
-            own = places.take(pa.array(best.query)).combine_chunks()
-            theirs = best.places.take(pa.array(best.row)).combine_chunks()
-            out = pa.table([*own.columns, *theirs.columns, pa.array(best.score), pa.array(best.exact)], names=[f.split()[0] for f in HITS.split(", ")])
-            yield from out.to_batches(max_chunksize=10_000)
+        yield from hits_of(places, best)
 
-    columns = [*PLACE, "vector", *(["list"] if index.centres is not None else []), *(["code"] if index.coded else [])]
+    columns = [*PLACE, "vector", *(["list"] if index.centres is not None else []), *(["code", "offset"] if index.coded else [])]
     return rows.select(*columns).mapInArrow(run, HITS)
 
 
+class Shard:
+    """A row of a graph's table, ready to be searched."""
+
+    def __init__(self, row: dict, index: Index):
+        self.places = pa.table({c: pa.array(row[c], pa.string() if k == 0 else pa.int32()) for k, c in enumerate(PLACE)})
+        n = self.places.num_rows
+        self.x = np.frombuffer(row["vectors"], np.float32).reshape(n, -1)
+        self.links = [np.frombuffer(x, np.int32).reshape(-1, index.links * (1 if k else 2)) for k, x in enumerate(row["links"])]
+        self.index = index
+        if index.codebooks is not None:
+            self.codes = np.frombuffer(row["codes"], index.code_type).reshape(n, -1)
+            self.offset = index.offsets(self.codes, np.zeros(n, np.int64)) if index.by_l2 else None
+        else:
+            coded = np.frombuffer(row["codes"], np.uint8).reshape(n, -1) if index.low is not None else None
+            self.space = graph.Space(self.x if coded is None else index.decoded(coded, np.zeros(n, np.int64)), index.by_l2)
+
+    def near(self, q: np.ndarray):
+        """How near the shard's rows are by their codes, product codes by the queries' tables."""
+        if self.index.codebooks is None:
+            return self.space.to(q)
+        tables, squares = self.index.tables(q), (q**2).sum(1)
+
+        def score(rows: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+            out, codes = np.zeros(len(rows), np.float32), self.codes[nodes]
+            for k, t in enumerate(tables):
+                out += t[codes[:, k], rows]
+            return (2 * out - self.offset[nodes] - squares[rows]).astype(np.float32) if self.index.by_l2 else out
+
+        return score
+
+    def search(self, q: np.ndarray, ef: int) -> graph.Found:
+        """The beam's nodes of each query."""
+        parts = [graph.search(self.near(q[s]), self.links, s.stop - s.start, ef) for s in graph.blocks(len(q), len(self.x), ef)]
+        return graph.Found(np.concatenate([p.nodes for p in parts]), np.concatenate([p.score for p in parts]), sum(p.compared for p in parts))
+
+
+def graph_candidates(places: pa.Table, q: np.ndarray, shards: DataFrame, index: Index, ef: int, k: int, by_exact: bool) -> DataFrame:
+    """Each task's best k rows of each query of what beams of ``ef`` find in its shards."""
+    shared = shards.sparkSession.sparkContext.broadcast((places, q))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places, q = shared.value
+        best = Best(len(q), k)
+        for b in batches:
+            for n in range(b.num_rows if len(q) else 0):
+                shard = Shard({c: b.column(c)[n].as_py() for c in b.schema.names}, index)
+                if shard.x.shape[1] != q.shape[1]:
+                    raise ValueError(f"dimensions differ: {q.shape[1]} and {shard.x.shape[1]}")
+                found = shard.search(q, ef)
+                query, column = np.nonzero(found.nodes >= 0)
+                row = found.nodes[query, column]
+                exact = exact_scores(q, shard.x.astype(np.float64), query, row, index.by_l2)
+                plain = by_exact or not index.coded
+                best.add(shard.places, query, row, (-exact if index.by_l2 else exact) if plain else found.score[query, column].astype(np.float64), exact)
+        yield from hits_of(places, best)
+
+    return shards.mapInArrow(run, HITS)
+
+
 def ranked(hits: DataFrame, k: int) -> DataFrame:
     """The k best of each query window with their rank; ties by target."""
     by = Window.partitionBy("query_transcript", "query_window_start").orderBy(F.desc("score"), "target_transcript", "target_window_start")
@@ -325,31 +284,44 @@ def similarity(score: Column, by_l2: bool) -> Column:
 def neighbours(queries: DataFrame, database: DataFrame, p: SearchParams, index: Index | None = None) -> DataFrame:
     """The k nearest database windows of each query window: places of both, rank and similarity.
 
-    With an approximate index the rank is that of its own order; if scores are exact anew, only the similarity is.
-    A database that ``indexed`` or ``read_index`` has made needs its index and isn't assigned to lists again.
+    With an approximate index the rank is that of its own order; if scores are exact anew, only the similarity is,
+    but for ``recall``, with which candidates are ranked by exact scores. A database that ``indexed`` or
+    ``read_index`` has made needs its index and isn't indexed again.
     """
     index = index or build_index(database, p)
-    rows = indexed(database, index) if index.centres is not None and "list" not in database.columns else database
-    k, nprobe = p.k, p.nprobe
-    if index.kind.startswith("hnsw"):
-        k, nprobe = max(k, p.ef_search or max(2 * p.k, 64)), p.nprobe or max(1, min(len(index.centres), p.hnsw_m))
+    rows = database if {"list", "links"} & set(database.columns) or not (index.graph or index.centres is not None) else indexed(database, index)
+    nprobe = p.nprobe or (index.lists_needed if p.recall is not None else 0) or 1
+    wide = max(p.k, index.candidates_needed) if p.recall is not None else p.k
+    ef = max(wide, p.ef_search or max(2 * p.k, 64))
+    by_exact = p.recall is not None and index.coded
     size = queries.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("d")).first()
     blocks = max(1, -(-(size["n"] * (size["d"] or 0) * 8) // QUERY_BYTES))
     out = None
     for block in range(blocks):
         part = queries.where(F.pmod(F.xxhash64("transcript_id", "window_start"), F.lit(blocks)) == block) if blocks > 1 else queries
         held = part.select(*PLACE, "vector").orderBy("transcript_id", "window_start").toArrow()
-        q = matrix(held.column("vector").combine_chunks()) if held.num_rows else np.zeros((0, size["d"] or 0))
-        hits = candidates(held.select(list(PLACE)), q, rows if held.num_rows else rows.limit(0), index, k, nprobe)
+        q = matrix(held.column("vector")) if held.num_rows else np.zeros((0, size["d"] or 0))
+        places, some = held.select(list(PLACE)), rows if held.num_rows else rows.limit(0)
+        hits = graph_candidates(places, q, some, index, ef, p.k, by_exact) if index.graph else candidates(places, q, some, index, wide, nprobe)
         out = hits if out is None else out.unionByName(hits)
-    shown = F.col("exact") if p.rescored or index.kind in ("flat_ip", "flat_l2", "ivf") else (-F.col("score") if index.by_l2 else F.col("score"))
+    if by_exact and not index.graph:  # the best of all tasks by the codes, then of those by what is exact
+        out = ranked(out, wide).drop("rank").withColumn("score", -F.col("exact") if index.by_l2 else F.col("exact"))
+    shown = F.col("exact") if p.rescored or by_exact or index.kind in ("flat_ip", "flat_l2", "ivf") else (-F.col("score") if index.by_l2 else F.col("score"))
     return ranked(out, p.k).withColumn("similarity", similarity(shown, index.by_l2)).drop("exact")
 
 
-def rows_scored(queries: DataFrame, database: DataFrame, index: Index, nprobe: int) -> DataFrame:
-    """One row: pairs that a search scores, and those of an exact one."""
-    rows = database if "list" in database.columns else indexed(database, index)
-    q = matrix(queries.select("vector").toArrow().column(0).combine_chunks())
+def rows_scored(queries: DataFrame, database: DataFrame, index: Index, nprobe: int = 1, ef: int = 64) -> DataFrame:
+    """One row: pairs that a search scores (in a graph: compares), and those of an exact one."""
+    rows = database if {"list", "links"} & set(database.columns) else indexed(database, index)
+    q = matrix(queries.select("vector").toArrow().column(0))
+    if index.graph:
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                held = [Shard({c: b.column(c)[n].as_py() for c in b.schema.names}, index) for n in range(b.num_rows)]
+                yield pa.RecordBatch.from_arrays([pa.array([x.search(q, ef).compared for x in held], pa.int64()), pa.array([len(x.x) for x in held], pa.int64())], names=["scored", "rows"])
+
+        return rows.mapInArrow(run, "scored long, rows long").agg(F.coalesce(F.sum("scored"), F.lit(0)).alias("scored"), (F.coalesce(F.sum("rows"), F.lit(0)) * len(q)).alias("pairs"))
     asked = index.probes(q, nprobe).sum(0).tolist()
     per = F.get(F.array(*[F.lit(int(x)) for x in asked]), F.col("list"))
     return rows.agg(F.coalesce(F.sum(per), F.lit(0)).cast("long").alias("scored"), (F.count("*") * len(q)).alias("pairs"))

@@ -30,6 +30,8 @@ class SearchParams:
     ef_construction: int = 200
     ef_search: int | None = None
     exact_rescore: bool | None = None
+    #: Share of the exact neighbours that an approximate search aims at: what nprobe leaves open is then learned from a sample, and candidates are ranked by exact scores.
+    recall: float | None = None
     # clustering
     cluster_span: int = 80
     min_seeds: int = 2
@@ -71,6 +73,8 @@ class SearchParams:
             raise ValueError(f"unknown index type or metric: {self.index_type}, {self.metric}")
         if self.evd_mode not in ("compat", "gumbel") or self.search_space not in ("pair", "database"):
             raise ValueError("evd_mode is compat or gumbel, search_space is pair or database")
+        if self.recall is not None and not 0 < self.recall <= 1:
+            raise ValueError("recall must lie in (0, 1]")
         if self.k < 1 or self.min_seeds < 1:
             raise ValueError("k and min_seeds must be at least 1")
 

@@ -516,19 +516,43 @@ def knn_ivf_all_lists(spark, sf_dir):
     return hits_of(spark, sf_dir, SearchParams(k=20, index_type="ivf", nlist=16, nprobe=16)).select(hit_columns())
 
 
-def approximate(kind: str, **more):
+ANN_TYPES = ("ivf", "ivfpq", "opq_ivfpq", "hnsw", "hnswsq8", "hnswpq")
+ANN_RECALL = 0.9
+
+
+def ann_params(kind: str) -> SearchParams:
+    return SearchParams(k=20, index_type=kind, nlist=16, pq_m=16, pq_bits=5, opq_m=16, recall=ANN_RECALL)
+
+
+def approximate(kind: str):
     def run(spark, sf_dir):
-        p = SearchParams(k=20, index_type=kind, nlist=16, nprobe=8, pq_m=16, pq_bits=5, **more)
-        return hits_of(spark, sf_dir, p).select(hit_columns())
+        return hits_of(spark, sf_dir, ann_params(kind)).select(hit_columns())
 
     run.__name__ = f"knn_{kind}"
     QUERIES[run.__name__] = run
 
 
-for _kind in ("ivf", "ivfpq", "opq_ivfpq", "hnsw", "hnswsq8", "hnswpq"):
+for _kind in ANN_TYPES:
     approximate(_kind)
 
 
+@query(
+    f"WITH {NODES}, {windows_sql(3)}, a AS (SELECT count(*) AS n FROM w WHERE t NOT IN ('T0', 'T1')) SELECT k AS index_type, count(*) AS windows, CAST(sum(least(20, n)) AS BIGINT) AS neighbours, true AS reached "
+    f"FROM w, a, (VALUES {', '.join(f"('{k}')" for k in ANN_TYPES)}) v(k) WHERE t IN ('T0', 'T1') GROUP BY k"
+)
+def ann_recall(spark, sf_dir):
+    """Of each approximate type, whether it finds the share of the exact neighbours that was aimed at."""
+    q, d = sides(spark, sf_dir)
+    by = ["query_transcript", "query_window_start", "target_transcript", "target_window_start"]
+    flat, out = knn.neighbours(q, d, P).select(*by, F.lit(1).alias("exact")), None
+    for kind in ANN_TYPES:
+        near = knn.neighbours(q, d, ann_params(kind)).select(*by, F.lit(1).alias("found"))
+        rows = flat.join(near, by, "left").agg(F.countDistinct(*by[:2]).alias("windows"), F.count("*").alias("neighbours"), F.count("found").alias("found"))
+        rows = rows.select(F.lit(kind).alias("index_type"), "windows", "neighbours", (F.col("found") >= ANN_RECALL * F.col("neighbours")).alias("reached"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def result_of(spark, sf_dir, p: SearchParams = P):
     n = nodes_of(spark, sf_dir)
     return search(n, asked(spark), p, meta_of(n))
