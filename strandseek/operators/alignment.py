@@ -12,8 +12,9 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from strandseek.functions.scores import adaptive_band, bit_score, cell_score, e_value
 from strandseek.functions.vectors import dot
-from strandseek.operators.kernel import NAMES, align, summary
-from strandseek.operators.stats import scoring, sequences
+from strandseek.operators.kernel import NAMES, X, Y, align, summary
+from strandseek.operators.places import fetched, places_between
+from strandseek.operators.stats import scoring
 from strandseek.params import SearchParams
 from strandseek.schema import ALIGNED, TRACE, empty
 
@@ -31,14 +32,30 @@ def regions(clusters: DataFrame, lengths: DataFrame, p: SearchParams) -> DataFra
     return out.withColumn("band", adaptive_band(F.col("diagonal_span"), p.band_width, p.band_buffer, p.band_cap))
 
 
+#: What an alignment needs of a region beside its vectors.
+REGION = ("query_transcript", "target_transcript", "cluster_id", "query_from", "target_from", "band", "diagonal_offset")
+
+
 def with_vectors(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Adds the vectors of both stretches of regions."""
-    full = sequences(nodes).select("transcript_id", "vectors")
-    for side in ("query", "target"):
-        vectors = full.select(F.col("transcript_id").alias(f"{side}_transcript"), F.col("vectors").alias("v"))
-        cut = F.slice("v", F.col(f"{side}_from") + 1, F.greatest(F.lit(0), F.col(f"{side}_to") - F.col(f"{side}_from")))
-        rows = rows.join(vectors, f"{side}_transcript").withColumn(f"{side}_vectors", cut).drop("v")
-    return rows
+    """The columns of ``REGION`` and the vectors of both stretches of regions.
+
+    Places of the stretches are joined with the nodes, so only their vectors are shuffled and collected. A region
+    without nodes on either side goes.
+    """
+    sides = [rows.select(*REGION, F.lit(s).alias("side"), F.col(f"{s}_transcript").alias("transcript_id"), F.explode(places_between(F.col(f"{s}_from"), F.col(f"{s}_to"))).alias("at")) for s in ("query", "target")]
+    each = sides[0].unionByName(sides[1])
+    found = each.join(fetched(nodes, each), ["transcript_id", "at"])
+    of = lambda s: F.sort_array(F.collect_list(F.when(F.col("side") == s, F.struct("at", "embedding"))))["embedding"].alias(f"{s}_vectors")
+    return found.groupBy(*REGION).agg(of("query"), of("target")).where("size(query_vectors) > 0 AND size(target_vectors) > 0")
+
+
+def stacked(column: pa.Array) -> list[np.ndarray]:
+    """The matrix of each row of a column of lists of vectors, as views of the column's own numbers."""
+    inner = column.flatten()
+    if not len(inner):
+        return [np.zeros((0, 0))] * len(column)
+    x = inner.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(inner), -1)
+    return np.split(x, np.cumsum(column.value_lengths().to_numpy())[:-1])
 
 
 def scoring_matrix(rows: DataFrame, nodes: DataFrame, p: SearchParams, mu: float, sigma: float) -> DataFrame:
@@ -46,7 +63,7 @@ def scoring_matrix(rows: DataFrame, nodes: DataFrame, p: SearchParams, mu: float
 
     A drawing of a scoring matrix is a chart of these rows.
     """
-    a = with_vectors(rows, nodes).select("query_transcript", "target_transcript", "cluster_id", "query_from", "target_from", "band", "diagonal_offset", "target_vectors", F.posexplode("query_vectors").alias("i", "q"))
+    a = with_vectors(rows, nodes).select(*REGION, "target_vectors", F.posexplode("query_vectors").alias("i", "q"))
     half = F.floor(F.greatest(F.col("band"), F.lit(1)) / 2).cast("int")
     low = F.greatest(F.lit(0), F.col("i") + F.col("diagonal_offset") - half)
     wide = F.least(F.size("target_vectors"), F.col("i") + F.col("diagonal_offset") + half + 1) - low
@@ -59,37 +76,42 @@ def scoring_matrix(rows: DataFrame, nodes: DataFrame, p: SearchParams, mu: float
 def aligned(rows: DataFrame, nodes: DataFrame, p: SearchParams, mu: float, sigma: float) -> DataFrame:
     """Aligns each region: coordinates on the transcripts, score, mean cosine, gaps and the trace. Scores of 0 go.
 
-    Only the stretches are shipped, and the work is dealt by cluster: a long pair doesn't hold up a partition of short ones.
+    Only the stretches are shipped, and the work is dealt by cluster.
     """
-    rows = with_vectors(rows, nodes)
     rule, compat = scoring(p, mu, sigma, p.xdrop), p.compat_coords
-    inputs = ("query_transcript", "target_transcript", "cluster_id", "query_from", "target_from", "band", "diagonal_offset", "query_vectors", "target_vectors")
-
     schema = to_arrow_schema(empty(nodes.sparkSession, ALIGNED).schema)
+    names = np.array(list(NAMES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for k in range(b.num_rows):
-                q_id, t_id, cluster, q0, t0, band, offset = (b.column(c)[k].as_py() for c in range(7))
-                q, t = (np.array(b.column(c)[k].as_py(), np.float64) for c in (7, 8))
-                if not len(q) or not len(t):
-                    continue
-                score, path = align(q, t, rule, band, offset)
+            each = b.select(list(REGION)).to_pylist()
+            kept, numbers, states, query_places, target_places = [], [], [], [], []
+            for k, (r, q, t) in enumerate(zip(each, stacked(b.column("query_vectors")), stacked(b.column("target_vectors")), strict=True)):
+                score, path = align(q, t, rule, r["band"], r["diagonal_offset"])
                 if not path or score <= 0:
                     continue
-                cosine, opens, bases = summary(path, q, t)
+                state, i, j = np.array(path, np.int64).T
+                cosine, opens, bases = summary(state, i, j, q, t)
                 if compat:  # as if the path began at the stretches' first nodes
-                    i0, j0 = path[0][1], path[0][2]
-                    path = [(s, i - i0 + (s != 2 or i >= i0), j - j0 + 1) for s, i, j in path]
-                    path = [(s, max(1, i), max(1, j)) for s, i, j in path]
-                trace = [{"state": NAMES[s], "query_pos": q0 + i - 1 if s != 2 else None, "target_pos": t0 + j - 1 if s != 3 else None} for s, i, j in path]
-                qs, ts = ([x[key] for x in trace if x[key] is not None] for key in ("query_pos", "target_pos"))
-                out.append((q_id, t_id, cluster, score, min(qs), max(qs) + 1, min(ts), max(ts) + 1, len(path), cosine, opens, bases, trace))
-            names = schema.names
-            yield pa.RecordBatch.from_pylist([dict(zip(names, x, strict=True)) for x in out], schema)
-
-    return rows.select(*inputs).repartition("query_transcript", "target_transcript", "cluster_id").mapInArrow(run, ALIGNED)
+                    i, j = np.maximum(1, i - i[0] + 1), np.maximum(1, j - j[0] + 1)
+                on_query, on_target = state != X, state != Y
+                at, to = r["query_from"] + i - 1, r["target_from"] + j - 1
+                kept.append(k)
+                ends = (at[on_query].min(), at[on_query].max() + 1, to[on_target].min(), to[on_target].max() + 1)
+                numbers.append((score, *map(int, ends), len(path), cosine, opens, bases))
+                states.append(state)
+                query_places.append(pa.array(at, pa.int32(), mask=~on_query))
+                target_places.append(pa.array(to, pa.int32(), mask=~on_target))
+            if not kept:
+                continue
+            places = [pa.concat_arrays(x) for x in (query_places, target_places)]
+            steps = pa.StructArray.from_arrays([pa.array(names[np.concatenate(states)]), *places], names=["state", "query_pos", "target_pos"])
+            edges = np.concatenate(([0], np.cumsum([len(x) for x in states]))).astype(np.int32)
+            ids = [b.column(c).take(pa.array(kept)) for c in REGION[:3]]
+            yield pa.RecordBatch.from_arrays([*ids, *(pa.array([x[c] for x in numbers], schema.types[c + 3]) for c in range(9)), pa.ListArray.from_arrays(pa.array(edges), steps).cast(schema.types[-1])], schema=schema)
+
+    rows = with_vectors(rows, nodes).repartition("query_transcript", "target_transcript", "cluster_id")
+    return rows.mapInArrow(run, ALIGNED)
 
 
 def scored(alignments: DataFrame, lengths: DataFrame, evd: DataFrame | None, p: SearchParams) -> DataFrame:

@@ -95,6 +95,16 @@ def write_index(database: DataFrame, index: Index, path: str) -> None:
     database.sparkSession.createDataFrame([(index.dump(),)], "learned binary").write.parquet(f"{path}/learned")
 
 
+def is_stored(spark: SparkSession, path: str) -> bool:
+    """Whether an index is stored whole; what it has learned is written last."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return not spark.read.parquet(f"{path}/learned").isEmpty()
+    except AnalysisException:
+        return False
+
+
 def read_index(spark: SparkSession, path: str) -> tuple[Index, DataFrame]:
     """A stored index: what it has learned and its rows, for ``neighbours(..., index=...)``."""
     return Index.load(bytes(spark.read.parquet(f"{path}/learned").first()[0])), spark.read.parquet(f"{path}/rows")

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,26 +36,22 @@ def alignment_text(rows: DataFrame) -> DataFrame:
     return shown.select("query_id", "target_id", "cluster_id", text.alias("text"))
 
 
-def pairs_of(structure: str) -> list[tuple[int, int]]:
-    """The base pairs of a dot-bracket string, by a stack; brackets without partner pair with nothing."""
-    out, open_ = [], []
-    for k, c in enumerate(structure):
-        if c == "(":
-            open_.append(k)
-        elif c == ")" and open_:
-            out.append((open_.pop(), k))
-    return sorted(out)
-
-
 def base_pairs(meta: DataFrame, structure: str = "secondary_structure") -> DataFrame:
-    """transcript_id, i, j of all base pairs, from 0."""
+    """transcript_id, i, j of all base pairs of dot-bracket strings, from 0; brackets without partner pair with nothing.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = [(name, i, j) for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for i, j in pairs_of(text or "")]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int32()))], names=["transcript_id", "i", "j"])
-
-    return meta.select("transcript_id", structure).mapInArrow(run, "transcript_id string, i int, j int")
+    A bracket's level is how many pairs are open with it, of which a closing bracket without partner closes none;
+    neighbours of one level pair. All of it is running sums in one shuffle by row.
+    """
+    rows = meta.select("transcript_id", F.coalesce(structure, F.lit("")).alias("text")).withColumn("row", F.monotonically_increasing_id())
+    rows = rows.select("row", "transcript_id", F.posexplode(F.split("text", "")).alias("k", "sign")).where("sign IN ('(', ')')")
+    by = Window.partitionBy("row").orderBy("k")
+    rows = rows.withColumn("sum", F.sum(F.when(F.col("sign") == "(", 1).otherwise(-1)).over(by))
+    rows = rows.withColumn("open", F.col("sum") - F.least(F.lit(0), F.min("sum").over(by)))
+    rows = rows.withColumn("before", F.lag("open", 1, 0).over(by)).where("sign = '(' OR before > 0")
+    level = F.when(F.col("sign") == "(", F.col("open")).otherwise(F.col("before"))
+    mates = Window.partitionBy("row", "level").orderBy("k")
+    rows = rows.withColumn("level", level).withColumns({"j": F.lead("k").over(mates), "mate": F.lead("sign").over(mates)})
+    return rows.where("sign = '(' AND mate = ')'").select("transcript_id", F.col("k").alias("i"), "j")
 
 
 def as_rna(sequence: Column) -> Column:
@@ -71,28 +65,84 @@ def highlights(text: Column) -> Column:
     return F.transform(part, lambda x: F.struct(F.split(x, "[-:]")[0].cast("int").alias("start"), F.element_at(F.split(x, "[-:]"), -1).cast("int").alias("end")))
 
 
-def drawing_rows(rows: DataFrame, meta: DataFrame, structure: str = "secondary_structure", sequence: str = "sequence") -> DataFrame:
-    """What a structure drawing needs of each side of an alignment; strings of unequal lengths are marked invalid."""
-    sides = []
-    for side in ("query", "target"):
-        one = rows.select(F.col(f"{side}_id").alias("transcript_id"), F.col(f"{side}_start").alias("start"), F.col(f"{side}_end").alias("end"))
-        sides.append(one)
-    both = sides[0].unionByName(sides[1]).distinct()
-    text = F.coalesce(F.col(sequence), F.regexp_replace(F.col(structure), ".", "N"))
-    return both.join(meta, "transcript_id", "left").select("transcript_id", "start", "end", F.col(structure).alias("structure"), as_rna(text).alias("sequence"), (F.length(text) == F.length(structure)).alias("valid"))
+#: Names that each side's columns may have, the first that holds something counts; {0} is the side, {1} its number.
+ID_NAMES = ("{0}_id", "id{1}")
+SEQUENCE_NAMES = ("{0}_sequence", "sequence_{1}", "seq{1}")
+STRUCTURE_NAMES = ("{0}_secondary_structure", "{0}_structure", "{0}_rnafold_dotbracket", "secondary_structure_{1}", "structure_{1}", "structure{1}")
+
+
+def first_filled(rows: DataFrame, names: tuple[str, ...]) -> Column:
+    """The first of some columns, of those that are there, that is neither null nor empty."""
+    there = [F.when(F.col(n).cast("string") != "", F.col(n).cast("string")) for n in names if n in rows.columns]
+    return F.coalesce(*there, F.lit(None).cast("string"))
+
 
+def whole_numbers(value: Column) -> Column:
+    """The whole numbers of a list such as "12,34", "12; 34" or 12; what is none is left out."""
+    part = F.transform(F.split(F.regexp_replace(F.coalesce(value.cast("string"), F.lit("")), "[;|]", ","), ","), lambda x: F.trim(x))
+    return F.transform(F.filter(part, lambda x: x.rlike(r"^[+-]?\d+$")), lambda x: x.cast("int"))
 
-def arcs_svg(structure: str, start: int, end: int, width: int = 700) -> str:
-    """An arc drawing of a structure; pairs inside [start, end) stand out."""
-    n = max(1, len(structure))
-    x = lambda k: round((k + 0.5) * width / n, 2)
-    lines = []
-    for i, j in pairs_of(structure):
-        inside = start <= i and j < end
-        r = round((x(j) - x(i)) / 2, 2)
-        lines.append(f'<path d="M {x(i)} {width // 2} A {r} {r} 0 0 1 {x(j)} {width // 2}" fill="none" stroke="{"#c0392b" if inside else "#95a5a6"}"/>')
-    base = f'<line x1="0" y1="{width // 2}" x2="{width}" y2="{width // 2}" stroke="#333"/><line x1="{x(start - 0.5)}" y1="{width // 2}" x2="{x(end - 0.5)}" y2="{width // 2}" stroke="#c0392b" stroke-width="4"/>'
-    return f'<svg xmlns="http://www.w3.org/2000/svg" width="{width}" height="{width // 2 + 6}">{"".join(lines)}{base}</svg>'
+
+def ranges_of(starts: Column, ends: Column) -> Column:
+    """Pairs of starts and ends by their place in both lists; what has no partner is left out."""
+    n = F.least(F.size(starts), F.size(ends))
+    return F.transform(F.slice(F.arrays_zip(starts.alias("start"), ends.alias("end")), F.lit(1), n), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
+
+
+def drawing_sides(rows: DataFrame) -> DataFrame:
+    """What a structure drawing needs of each side of an alignment: pair, side, transcript_id, sequence, structure, highlights, valid.
+
+    Columns are looked for under several names (``ID_NAMES`` and so on; "subject" may stand for the target); a side
+    without structure is unpaired throughout; starts and ends may be lists. Rows are told apart by ``pair``, where it isn't there by a hash of all columns; a side
+    without name is named after its pair. Strings of unequal lengths, or none, aren't valid.
+    """
+    out = None
+    rows = rows.withColumn("pair", F.hex(F.xxhash64(*rows.columns))) if "pair" not in rows.columns else rows
+    for number, side in ((1, "query"), (2, "target")):
+        sides = (side, "subject") if side == "target" else (side,)
+        named = lambda names, sides=sides, number=number: tuple(dict.fromkeys(n.format(s, number) for s in sides for n in names))
+        sequence = F.coalesce(first_filled(rows, named(SEQUENCE_NAMES)), F.lit(""))
+        structure = F.coalesce(first_filled(rows, named(STRUCTURE_NAMES)), F.repeat(F.lit("."), F.length(sequence)))
+        ends = [whole_numbers(first_filled(rows, named((f"{{0}}_{e}", f"{e}_{{1}}", f"{e}{{1}}")))) for e in ("start", "end")]
+        one = rows.select(
+            "pair", F.lit(side).alias("side"), F.coalesce(first_filled(rows, named(ID_NAMES)), F.format_string(f"RNA_%s_{number}", F.col("pair").cast("string"))).alias("transcript_id"),
+            F.translate(sequence, "Tt", "Uu").alias("sequence"), structure.alias("structure"), ranges_of(*ends).alias("highlights"),
+            ((F.length(sequence) == F.length(structure)) & (F.length(sequence) > 0)).alias("valid"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def drawings(sides: DataFrame) -> DataFrame:
+    """pair, side, transcript_id, width, arcs and svg of the valid sides of ``drawing_sides``: an arc for each base pair, those inside a highlight marked.
+
+    A drawing is as wide as its structure is long, from 100 to 700. All is done where the rows are, and keyed by pair.
+    """
+    valid = sides.where("valid").dropDuplicates(["pair", "side"]).withColumn("key", F.concat_ws(":", F.col("pair").cast("string"), "side"))
+    width = F.greatest(F.lit(100), F.least(F.lit(700), F.length("structure")))
+    valid = valid.select("key", "pair", "side", "transcript_id", "highlights", F.length("structure").alias("n"), width.alias("width"), "structure")
+    arcs = base_pairs(valid.select(F.col("key").alias("transcript_id"), "structure"), "structure").withColumnRenamed("transcript_id", "key")
+    x = lambda k: F.format_string("%.2f", (k + F.lit(0.5)) * F.col("width") / F.col("n"))
+    inside = F.exists("highlights", lambda h: (h["start"] <= F.col("i")) & (F.col("j") < h["end"]))
+    radius = F.format_string("%.2f", (F.col("j") - F.col("i")) * F.col("width") / F.col("n") / 2)
+    floor = F.floor(F.col("width") / 2).cast("string")
+    path = F.concat(F.lit('<path d="M '), x(F.col("i")), F.lit(" "), floor, F.lit(" A "), radius, F.lit(" "), radius, F.lit(" 0 0 1 "), x(F.col("j")), F.lit(" "), floor, F.lit('" fill="none" stroke="'), F.when(inside, "#c0392b").otherwise("#95a5a6"), F.lit('"/>'))
+    lines = valid.drop("structure").join(arcs, "key").select("key", F.struct("i", path.alias("path")).alias("line")).groupBy("key").agg(F.sort_array(F.collect_list("line"))["path"].alias("paths"))
+    full = valid.join(lines, "key", "left").withColumn("paths", F.coalesce("paths", F.array().cast("array<string>")))
+    bar = lambda a, b, more: F.concat(F.lit('<line x1="'), a, F.lit('" y1="'), floor, F.lit('" x2="'), b, F.lit('" y2="'), floor, F.lit(f'" {more}/>'))
+    edge = lambda k: F.format_string("%.2f", k * F.col("width") / F.col("n"))
+    marks = F.array_join(F.transform("highlights", lambda h: bar(edge(h["start"]), edge(h["end"]), 'stroke="#c0392b" stroke-width="4"')), "")
+    head = F.concat(F.lit('<svg xmlns="http://www.w3.org/2000/svg" width="'), F.col("width").cast("string"), F.lit('" height="'), (F.floor(F.col("width") / 2) + 6).cast("string"), F.lit('">'))
+    svg = F.concat(head, F.array_join("paths", ""), bar(F.lit("0"), F.col("width").cast("string"), 'stroke="#333"'), marks, F.lit("</svg>"))
+    return full.select("pair", "side", "transcript_id", "width", F.size("paths").alias("arcs"), svg.alias("svg"))
+
+
+def with_drawings(rows: DataFrame) -> DataFrame:
+    """Alignments with the drawings of both sides inline: query_drawing and target_drawing hold an image's data address, null where there is none."""
+    rows = rows.withColumn("pair", F.concat_ws(":", "query_id", "target_id", F.col("cluster_id").cast("string")))
+    image = F.concat(F.lit("data:image/svg+xml;base64,"), F.base64(F.col("svg").cast("binary")))
+    made = drawings(drawing_sides(rows)).select("pair", "side", image.alias("image")).groupBy("pair").pivot("side", ["query", "target"]).agg(F.first("image"))
+    return rows.join(made.select("pair", *[F.col(s).alias(f"{s}_drawing") for s in ("query", "target")]), "pair", "left").drop("pair")
 
 
 def report_rows(rows: DataFrame) -> DataFrame:
@@ -105,14 +155,15 @@ def report_rows(rows: DataFrame) -> DataFrame:
     return out.orderBy(F.desc("score"), "query_id", "target_id", "cluster_id")
 
 
-def report_html(rows: DataFrame, most: int, title: str = "Alignments", drawings: dict[tuple[str, str], str] | None = None) -> str:
-    """A page of the best alignments, with their drawings by (query, target)."""
+def report_html(rows: DataFrame, most: int, title: str = "Alignments") -> str:
+    """A page of the best alignments, with the drawings of those that have some (``with_drawings``)."""
+    pictures = [c for c in ("query_drawing", "target_drawing") if c in rows.columns]
     got = report_rows(rows).limit(most).collect()
-    names = got[0].asDict().keys() if got else []
+    names = [c for c in (got[0].asDict() if got else ()) if c not in pictures]
     head = "".join(f"<th>{html.escape(n)}</th>" for n in names)
     safe = lambda v: html.escape("" if v is None else str(v)).replace("&lt;br&gt;", "<br>")
     body = []
     for r in got:
-        extra = (drawings or {}).get((r["query_id"], r["target_id"]), "")
-        body.append(f"<tr>{''.join(f'<td>{safe(v)}</td>' for v in r)}</tr>" + (f'<tr><td colspan="{len(r)}">{extra}</td></tr>' if extra else ""))
+        images = "".join(f'<img src="{r[c]}" alt="{safe(r["query_id" if c.startswith("query") else "target_id"])}"/>' for c in pictures if r[c])
+        body.append(f"<tr>{''.join(f'<td>{safe(r[n])}</td>' for n in names)}</tr>" + (f'<tr><td colspan="{len(names)}">{images}</td></tr>' if images else ""))
     return f"<!doctype html><html><head><meta charset='utf-8'><title>{html.escape(title)}</title></head><body><h1>{html.escape(title)}</h1><table border='1'><tr>{head}</tr>{''.join(body)}</table></body></html>"

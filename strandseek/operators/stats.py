@@ -10,11 +10,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandseek.functions.vectors import dot
 from strandseek.operators.kernel import Scoring, align
+from strandseek.operators.places import fetched, numbered
 from strandseek.params import SearchParams
 
 #: A prime modulus and multipliers of the sampler; each draw takes its own multiplier.
@@ -34,27 +35,23 @@ def sequences(nodes: DataFrame) -> DataFrame:
     return rows.select("transcript_id", F.col("nodes.embedding").alias("vectors"), F.size("nodes").alias("length"))
 
 
-def numbered(ids: DataFrame) -> DataFrame:
-    """ids with their place among all, from 0; only ids go through the one-partition sort."""
-    return ids.withColumn("place", F.row_number().over(Window.orderBy("transcript_id")) - 1)
-
-
 def background(nodes: DataFrame, samples: int, seed: int = 42) -> DataFrame:
-    """background_mu and background_sigma (of the population) of inner products of random nodes of random transcripts."""
+    """background_mu and background_sigma (of the population) of inner products of random nodes of random transcripts.
+
+    Places are drawn first; only the drawn nodes' vectors are fetched, at most two a sample.
+    """
     lengths = numbered(nodes.groupBy("transcript_id").agg(F.count("*").alias("length")))
     n = lengths.count()
     if not n:
         raise ValueError("no nodes to sample from")
-    placed = nodes.withColumn("at", F.row_number().over(Window.partitionBy("transcript_id").orderBy("node_index")) - 1).select("transcript_id", "at", "embedding")
-    pairs = nodes.sparkSession.range(samples).select("id", (draw(F.col("id"), 0, seed) % n).alias("first"), (draw(F.col("id"), 1, seed) % n).alias("second"))
-    out = pairs
-    for k, side in enumerate(("first", "second")):
-        ids = lengths.select(F.col("place").alias(side), F.col("transcript_id").alias(f"{side}_id"), F.col("length").alias(f"{side}_length"))
-        out = out.join(ids, side).withColumn(f"{side}_at", draw(F.col("id"), k + 2, seed) % F.col(f"{side}_length"))
-        vectors = placed.select(F.col("transcript_id").alias(f"{side}_id"), F.col("at").alias(f"{side}_at"), F.col("embedding").alias(f"{side}_vector"))
-        out = out.join(vectors, [f"{side}_id", f"{side}_at"])
+    pairs = nodes.sparkSession.range(samples).select("id", F.explode(F.array(*[F.struct(F.lit(k).alias("side"), (draw(F.col("id"), k, seed) % n).alias("place")) for k in (0, 1)])).alias("x")).select("id", "x.*")
+    at = F.when(F.col("side") == 0, draw(F.col("id"), 2, seed)).otherwise(draw(F.col("id"), 3, seed)) % F.col("length")
+    drawn = lengths.join(F.broadcast(pairs), "place").select("id", "side", "transcript_id", at.cast("int").alias("at"))
+    found = fetched(nodes, drawn, bounded=True).join(F.broadcast(drawn), ["transcript_id", "at"])
+    side = lambda k, name: F.max_by(F.when(F.col("side") == k, F.col("embedding")), F.col("side") == k).alias(name)
+    both = found.groupBy("id").agg(side(0, "first"), side(1, "second"))
     sigma = F.stddev_pop("d")
-    return out.select(dot("first_vector", "second_vector").alias("d")).agg(F.avg("d").alias("background_mu"), F.when(sigma < 1e-6, 1.0).otherwise(sigma).alias("background_sigma"))
+    return both.select(dot("first", "second").alias("d")).agg(F.avg("d").alias("background_mu"), F.when(sigma < 1e-6, 1.0).otherwise(sigma).alias("background_sigma"))
 
 
 def sampled_ids(nodes: DataFrame, most: int, seed: int) -> DataFrame:
@@ -74,8 +71,10 @@ def null_scores(nodes: DataFrame, p: SearchParams, mu: float, sigma: float) -> D
     ddl = "sample long, score double, m int, n int"
     if n < 2:
         return nodes.sparkSession.createDataFrame([], ddl)
-    full = eligible.join(sequences(nodes), "transcript_id").select("place", "vectors")
     pairs = nodes.sparkSession.range(p.evd_samples).select(F.col("id").alias("sample"), *[(draw(F.col("id"), k, p.seed + 1) % n).alias(s) for k, s in enumerate("ab")])
+    drawn = eligible.join(F.broadcast(pairs.select(F.explode(F.array("a", "b")).alias("place")).distinct()), "place")  # at most two a sample
+    wanted = F.broadcast(drawn.select("transcript_id"))
+    full = drawn.join(sequences(nodes.join(wanted, "transcript_id", "left_semi")), "transcript_id").select("place", "vectors")
     for s in "ab":
         pairs = pairs.join(full.select(F.col("place").alias(s), F.col("vectors").alias(f"{s}_vectors")), s)
     rule, band, seed = scoring(p, mu, sigma, None), p.band_width, p.seed

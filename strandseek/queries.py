@@ -150,10 +150,10 @@ def nodes_from_lists(spark, sf_dir):
     return shown_nodes(tables.normalise_nested(n.select("transcript_id", F.to_json("a.embedding").alias("node_embeddings")), "transcript_id"))
 
 
-@query(f"WITH {NODES.replace('CAST(embedding AS DOUBLE[])', 'CAST(embedding[1:4] AS DOUBLE[])')} {SHOWN_NODES}")
+@query(f"WITH {NODES} {SHOWN_NODES}")
 def nodes_from_columns(spark, sf_dir):
     n = nodes_of(spark, sf_dir)
-    wide = n.select("transcript_id", F.col("node_index").alias("position"), *[F.get("embedding", F.lit(k)).alias(f"emb_{k}") for k in range(4)], F.lit("x").alias("note"))
+    wide = n.select("transcript_id", F.col("node_index").alias("position"), *[F.get("embedding", F.lit(k)).alias(f"emb_{k}") for k in range(64)], F.lit("x").alias("note"))
     return shown_nodes(tables.normalise_wide(wide, "transcript_id"))
 
 
@@ -198,13 +198,6 @@ def merge_stats(spark, sf_dir):
     return windows.merge_windows(window_chunks(spark, sf_dir))[3]
 
 
-@query(f"WITH {NODES}, {META_SQL} SELECT t AS transcript_id, 2 AS start, 9 AS end, st AS structure, replace(sq, 'T', 'U') AS sequence, length(sq) = length(st) AS valid FROM m")
-def drawing_rows(spark, sf_dir):
-    m = meta_of(nodes_of(spark, sf_dir))
-    one = m.select(F.col("transcript_id").alias("query_id"), F.col("transcript_id").alias("target_id"), *[F.lit(v).alias(f"{s}_{e}") for s in ("query", "target") for e, v in (("start", 2), ("end", 9))])
-    return report.drawing_rows(one, m)
-
-
 WINDOW_COLUMNS = "SELECT t AS transcript_id, x AS window_index, s AS window_start, s + {0} AS window_end, {0} AS window_size, CAST(l AS INTEGER) AS transcript_length, round(v[1], 5) AS first, round(v[-1], 5) AS last, round(sqrt(list_sum(list_transform(v, lambda y: y * y))), 5) AS norm FROM w"
 
 
@@ -350,10 +343,14 @@ def cluster_stats(spark, sf_dir):
     return cluster.cluster_stats(rows, cluster.members(rows, P))
 
 
-REGION_SQL = (
-    "rg AS (SELECT cl.*, greatest(0, q0 - 32) AS qf, least(a.l, q1 + 32) AS qe, greatest(0, t0 - 32) AS tf, least(b.l, t1 + 32) AS te, "
-    "greatest(96, d1 - d0 + 32 + (d1 - d0 + 32) % 2) AS band FROM cl JOIN ln a ON a.t = qt JOIN ln b ON b.t = tt)"
-)
+def region_sql(padding: int = 32, width: int = 96, buffer: int = 32) -> str:
+    return (
+        f"rg AS (SELECT cl.*, greatest(0, q0 - {padding}) AS qf, least(a.l, q1 + {padding}) AS qe, greatest(0, t0 - {padding}) AS tf, least(b.l, t1 + {padding}) AS te, "
+        f"greatest({width}, d1 - d0 + {buffer} + (d1 - d0 + {buffer}) % 2) AS band FROM cl JOIN ln a ON a.t = qt JOIN ln b ON b.t = tt)"
+    )
+
+
+REGION_SQL = region_sql()
 
 
 @query(
@@ -366,10 +363,13 @@ def region_bounds(spark, sf_dir):
 
 
 @query(
-    "SELECT i AS span, greatest(96, i + 32 + (i + 32) % 2) AS band, greatest(1, least(greatest(96, i + 32 + (i + 32) % 2), 100)) AS capped FROM range(0, 200) r(i)"
+    f"WITH RECURSIVE {FOLD_SQL} SELECT qt AS query_transcript, cid AS cluster_id, d1 - d0 AS span, CAST(greatest(96, d1 - d0 + 32 + (d1 - d0 + 32) % 2) AS INTEGER) AS band, "
+    "CAST(greatest(8, d1 - d0 + 3 + (d1 - d0 + 3) % 2) AS INTEGER) AS narrow, CAST(greatest(1, least(greatest(8, d1 - d0 + 3 + (d1 - d0 + 3) % 2), 10)) AS INTEGER) AS capped FROM cl"
 )
 def adaptive_bands(spark, sf_dir):
-    return spark.range(200).select(F.col("id").alias("span"), scores.adaptive_band(F.col("id")).alias("band"), scores.adaptive_band(F.col("id"), cap=100).alias("capped"))
+    span = F.col("diagonal_span")
+    bands = {"band": scores.adaptive_band(span), "narrow": scores.adaptive_band(span, 8, 3), "capped": scores.adaptive_band(span, 8, 3, 10)}
+    return clusters_of(spark, sf_dir).select("query_transcript", "cluster_id", span.alias("span"), *[v.cast("int").alias(k) for k, v in bands.items()])
 
 
 def draw_sql(which: int, seed: int) -> str:
@@ -388,30 +388,14 @@ def background_stats(spark, sf_dir):
 
 
 @query(
-    f"WITH {NODES} SELECT a.i AS query_pos, b.i AS target_pos, round(greatest(-4, least(8, 1.5 * (list_dot_product(a.e, b.e) - 0.01) / 0.125)), 6) AS score FROM n a, n b WHERE a.t = 'T0' AND b.t = 'T2'"
+    f"WITH RECURSIVE {FOLD_SQL}, {LENGTHS_SQL}, {region_sql(4, 6, 2)} SELECT qt AS query_transcript, tt AS target_transcript, cid AS cluster_id, a.i AS query_pos, b.i AS target_pos, "
+    "round(greatest(-4, least(8, 1.5 * (list_dot_product(a.e, b.e) - 0.01) / 0.125)), 6) AS score FROM rg JOIN n a ON a.t = qt AND a.i >= qf AND a.i < qe JOIN n b ON b.t = tt AND b.i >= tf AND b.i < te "
+    "WHERE (b.i - tf) - (a.i - qf) - (dg + qf - tf) BETWEEN -(band // 2) AND band // 2"
 )
 def cell_scores(spark, sf_dir):
-    n = nodes_of(spark, sf_dir)
-    one = lambda t, pos, v: n.where(F.col("transcript_id") == t).select(F.col("node_index").alias(pos), F.col("embedding").alias(v))
-    pairs = one("T0", "query_pos", "a").join(one("T2", "target_pos", "b"), F.lit(True))
-    return pairs.select("query_pos", "target_pos", R6(scores.cell_score(vectors.dot("a", "b"), F.lit(0.01), F.lit(0.125))).alias("score"))
-
-
-SCORE_SQL = "SELECT i, CAST(i AS DOUBLE) / 2 AS s, CASE WHEN i % 7 = 0 THEN 0.0 ELSE 0.05 END AS lam, 0.01 AS k, 100 + i AS m, CASE WHEN i % 11 = 0 THEN 0 ELSE 80 END AS n FROM range(0, 300) r(i)"
-
-
-@query(
-    f"SELECT i AS id, round(b, 6) AS bit_score, CASE WHEN isinf(e) THEN 'inf' ELSE format('{{:.4e}}', e) END AS evalue, "
-    "CASE WHEN e < 0.001 THEN 'highly significant' WHEN e < 0.01 THEN 'significant' WHEN e < 0.1 THEN 'marginal' WHEN e < 1 THEN 'weak' ELSE 'not significant' END AS significance "
-    "FROM (SELECT i, b, CASE WHEN lam > 0 AND n > 0 THEN m * n * pow(2.0, -b) ELSE CAST('inf' AS DOUBLE) END AS e FROM "
-    f"(SELECT *, CASE WHEN lam > 0 THEN (lam * s - ln(k)) / ln(2) ELSE 0 END AS b FROM ({SCORE_SQL})))"
-)
-def bit_score_evalue(spark, sf_dir):
-    i = F.col("id")
-    rows = spark.range(300).select("id", (i.cast("double") / 2).alias("s"), F.when(i % 7 == 0, 0.0).otherwise(0.05).alias("lam"), F.lit(0.01).alias("k"), (i + 100).alias("m"), F.when(i % 11 == 0, 0).otherwise(80).alias("n"))
-    e = scores.e_value(F.col("s"), F.col("lam"), F.col("k"), F.col("m"), F.col("n"))
-    shown = F.when(e == float("inf"), "inf").otherwise(F.format_string("%.4e", e))
-    return rows.select("id", R6(scores.bit_score(F.col("s"), F.col("lam"), F.col("k"))).alias("bit_score"), shown.alias("evalue"), scores.significance(e).alias("significance"))
+    n, p = nodes_of(spark, sf_dir), SearchParams(padding=4, band_width=6, band_buffer=2)
+    rows = alignment.regions(clusters_of(spark, sf_dir), lengths_of(n), p)
+    return alignment.scoring_matrix(rows, n, p, 0.01, 0.125).withColumn("score", R6("score"))
 
 
 TOP_SQL = "SELECT query_id, target_id, cluster_id, score FROM (SELECT CAST(o_custkey % 20 AS VARCHAR) AS query_id, CAST(o_orderkey AS VARCHAR) AS target_id, 0 AS cluster_id, CAST(round(o_totalprice) AS DOUBLE) AS score FROM orders) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY "
@@ -676,10 +660,89 @@ def local_alignment_scores(spark, sf_dir):
     n = nodes_of(spark, sf_dir)
     lengths, ids = lengths_of(n), asked(spark)
     q, d = windows.split_queries(lengths, ids)
-    # every query against every transcript: the queries are the stated set
-    held = [r["transcript_id"] for r in q.select("transcript_id").orderBy("transcript_id").collect()]
-    pairs = d.select(F.col("transcript_id").alias("target_transcript"), F.col("length").alias("target_to"), F.explode(F.array(*[F.lit(x) for x in held])).alias("query_transcript"))
-    pairs = pairs.join(q.select(F.col("transcript_id").alias("query_transcript"), F.col("length").alias("query_to")), "query_transcript")
+    # every query against every transcript: the queries are the stated set, a row that holds them all is joined
+    held = q.agg(F.collect_list(F.struct(F.col("transcript_id").alias("query_transcript"), F.col("length").alias("query_to"))).alias("asked")).withColumn("one", F.lit(1))
+    pairs = d.select(F.col("transcript_id").alias("target_transcript"), F.col("length").alias("target_to"), F.lit(1).alias("one")).join(F.broadcast(held), "one")
+    pairs = pairs.select("target_transcript", "target_to", F.explode("asked").alias("x")).select("target_transcript", "target_to", "x.*")
     rows = pairs.withColumns({c: F.lit(0) for c in ("cluster_id", "query_from", "target_from", "diagonal_offset")}).withColumn("band", 2 * F.col("query_to") + 2 * F.col("target_to"))
     out = alignment.aligned(rows, n, SearchParams(xdrop=1e12), 0.01, 0.125)
     return out.select("query_id", "target_id", F.round("score", 5).alias("score"))
+
+
+@query(
+    f"{LOCAL_SQL}, s AS (SELECT r.qt, r.tt, round(best, 5) AS s, p.m, p.nn FROM r JOIN p ON r.qt = p.qt AND r.tt = p.tt WHERE r.i = p.m AND best > 0), "
+    "l AS (SELECT s.*, lam, k FROM s, (VALUES (0.05, 0.01), (0.2, 0.5), (0.0, 0.01)) v(lam, k)), b AS (SELECT *, CASE WHEN lam > 0 THEN (lam * s - ln(k)) / ln(2) ELSE 0 END AS b FROM l), "
+    "e AS (SELECT *, CASE WHEN lam > 0 THEN m * nn * pow(2.0, -b) ELSE CAST('inf' AS DOUBLE) END AS e FROM b) "
+    "SELECT qt AS query_id, tt AS target_id, CAST(lam AS DOUBLE) AS evd_lambda, round(b, 6) AS bit_score, CASE WHEN isinf(e) THEN 'inf' ELSE format('{:.4e}', e) END AS evalue, "
+    "CASE WHEN e < 0.001 THEN 'highly significant' WHEN e < 0.01 THEN 'significant' WHEN e < 0.1 THEN 'marginal' WHEN e < 1 THEN 'weak' ELSE 'not significant' END AS significance FROM e"
+)
+def bit_score_evalue(spark, sf_dir):
+    lengths = lengths_of(nodes_of(spark, sf_dir))
+    rows = local_alignment_scores(spark, sf_dir)
+    for side in ("query", "target"):
+        rows = rows.join(lengths.select(F.col("transcript_id").alias(f"{side}_id"), F.col("length").alias(f"{side}_length")), f"{side}_id")
+    given = F.explode(F.array(*[F.struct(F.lit(lam).alias("lam"), F.lit(k).alias("k")) for lam, k in ((0.05, 0.01), (0.2, 0.5), (0.0, 0.01))]))
+    rows = rows.withColumn("given", given).select("*", "given.*")
+    lam, k = F.col("lam"), F.col("k")
+    e = scores.e_value(F.col("score"), lam, k, F.col("query_length"), F.col("target_length"))
+    shown = F.when(e == float("inf"), "inf").otherwise(F.format_string("%.4e", e))
+    return rows.select("query_id", "target_id", lam.alias("evd_lambda"), R6(scores.bit_score(F.col("score"), lam, k)).alias("bit_score"), shown.alias("evalue"), scores.significance(e).alias("significance"))
+
+
+#: The same recurrences inside a band, and with X-drop: a row outside the band keeps the one before, and a row that falls too far behind is the last.
+BAND_P = SearchParams(padding=12, band_width=6, band_buffer=2, xdrop=14.0)
+BANDED_SQL = (
+    f"WITH RECURSIVE {FOLD_SQL}, {LENGTHS_SQL}, {region_sql(12, 6, 2)}, sq AS (SELECT t, list(e ORDER BY i) AS v FROM n GROUP BY t), "
+    "pr AS (SELECT qt, tt, cid, a.v[qf + 1 : qe] AS q, b.v[tf + 1 : te] AS x, qe - qf AS m, te - tf AS nn, dg + qf - tf AS off, band // 2 AS half FROM rg JOIN sq a ON a.t = qt JOIN sq b ON b.t = tt), "
+    "r AS (SELECT qt, tt, cid, CAST(0 AS BIGINT) AS i, list_transform(range(nn + 1), lambda j: CAST(0 AS DOUBLE)) AS ms, list_transform(range(nn + 1), lambda j: CAST(-1e9 AS DOUBLE)) AS xs, "
+    "list_transform(range(nn + 1), lambda j: CAST(-1e9 AS DOUBLE)) AS ys, CAST(0 AS DOUBLE) AS best, false AS done FROM pr UNION ALL "
+    "SELECT qt, tt, cid, i + 1, CASE WHEN a > b THEN ms ELSE m2 END, CASE WHEN a > b THEN xs ELSE x2 END, CASE WHEN a > b THEN ys ELSE y2 END, CASE WHEN a > b THEN best ELSE greatest(best, top) END, "
+    "a <= b AND greatest(best, top) - top > 14 FROM (SELECT *, greatest(list_max(m2[2:]), list_max(x2[2:]), list_max(y2[2:])) AS top FROM ("
+    "SELECT *, [CAST(-1e9 AS DOUBLE)] || list_transform(range(1, nn + 1), lambda j: CASE WHEN j BETWEEN a AND b THEN "
+    "list_max(list_transform(range(1, j + 1), lambda k: (CASE WHEN k = 1 AND a > 1 THEN CAST(-1e9 AS DOUBLE) ELSE m2[k] END) - 12 + k * 2)) - j * 2 ELSE CAST(-1e9 AS DOUBLE) END) AS x2 FROM ("
+    "SELECT *, [CAST(0 AS DOUBLE)] || list_transform(range(1, nn + 1), lambda j: CASE WHEN j BETWEEN a AND b THEN "
+    "greatest(-4, least(8, 1.5 * (list_dot_product(q[i + 1], x[j]) - 0.01) / 0.125)) + greatest(0, ms[j], xs[j], ys[j]) ELSE CAST(-1e9 AS DOUBLE) END) AS m2, "
+    "[CAST(-1e9 AS DOUBLE)] || list_transform(range(1, nn + 1), lambda j: CASE WHEN j BETWEEN a AND b THEN greatest(ms[j + 1] - 12, ys[j + 1] - 2) ELSE CAST(-1e9 AS DOUBLE) END) AS y2 FROM ("
+    "SELECT r.*, pr.q, pr.x, pr.nn, greatest(1, r.i + 1 + off - half) AS a, least(pr.nn, r.i + 1 + off + half) AS b FROM r JOIN pr ON r.qt = pr.qt AND r.tt = pr.tt AND r.cid = pr.cid WHERE r.i < pr.m AND NOT r.done)))))"
+)
+
+
+@query(f"{BANDED_SQL} SELECT qt AS query_id, tt AS target_id, cid AS cluster_id, round(max(best), 5) AS score FROM r GROUP BY qt, tt, cid HAVING max(best) > 0")
+def banded_alignment_scores(spark, sf_dir):
+    n = nodes_of(spark, sf_dir)
+    rows = alignment.regions(clusters_of(spark, sf_dir), lengths_of(n), BAND_P)
+    return alignment.aligned(rows, n, BAND_P, 0.01, 0.125).select("query_id", "target_id", "cluster_id", F.round("score", 5).alias("score"))
+
+
+def sides_of(spark, sf_dir) -> DataFrame:
+    rows = alignment.with_context(context_rows(spark, sf_dir), meta_of(nodes_of(spark, sf_dir)))
+    return report.drawing_sides(rows.withColumn("pair", F.concat_ws(":", "query_id", "target_id", F.col("cluster_id").cast("string"))))
+
+
+SIDES_SQL = (
+    "sd AS (SELECT qt || ':' || tt || ':' || cid AS pair, 'query' AS side, qt AS t, q0 AS s0, q1 AS s1 FROM cl UNION ALL SELECT qt || ':' || tt || ':' || cid, 'target', tt, t0, t1 FROM cl)"
+)
+PAIRS_SQL = (
+    "c AS (SELECT t, k, substr(st, CAST(k + 1 AS INTEGER), 1) AS ch FROM (SELECT t, st, unnest(range(length(st))) AS k FROM m)), "
+    "sm AS (SELECT *, sum(CASE ch WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER (PARTITION BY t ORDER BY k) AS s FROM c), "
+    "a AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY t ORDER BY k)) AS d FROM sm), pl AS (SELECT *, lag(d, 1, 0) OVER (PARTITION BY t ORDER BY k) AS e FROM a), "
+    "l AS (SELECT t, k, ch, CASE ch WHEN '(' THEN d ELSE e END AS v FROM pl WHERE ch = '(' OR (ch = ')' AND e > 0)), "
+    "x AS (SELECT t, k AS i, ch, lead(k) OVER o AS j, lead(ch) OVER o AS cj FROM l WINDOW o AS (PARTITION BY t, v ORDER BY k)), bp AS (SELECT t, count(*) AS n FROM x WHERE ch = '(' AND cj = ')' GROUP BY t)"
+)
+
+
+@query(
+    f"WITH RECURSIVE {FOLD_SQL}, {META_SQL}, {SIDES_SQL} SELECT pair, side, sd.t AS transcript_id, replace(sq, 'T', 'U') AS sequence, st AS structure, s0 AS first, s1 AS last, length(sq) = length(st) AND length(sq) > 0 AS valid FROM sd JOIN m ON m.t = sd.t"
+)
+def drawing_rows(spark, sf_dir):
+    one = F.col("highlights")[0]
+    return sides_of(spark, sf_dir).select("pair", "side", "transcript_id", "sequence", "structure", one["start"].alias("first"), one["end"].alias("last"), "valid")
+
+
+@query(
+    f"WITH RECURSIVE {FOLD_SQL}, {META_SQL}, {SIDES_SQL}, {PAIRS_SQL} SELECT pair, side, sd.t AS transcript_id, CAST(greatest(100, least(700, length(st))) AS INTEGER) AS width, CAST(coalesce(bp.n, 0) AS INTEGER) AS arcs, 1 AS marks "
+    "FROM sd JOIN m ON m.t = sd.t LEFT JOIN bp ON bp.t = sd.t"
+)
+def drawings(spark, sf_dir):
+    made = report.drawings(sides_of(spark, sf_dir))
+    return made.select("pair", "side", "transcript_id", "width", "arcs", (F.size(F.split("svg", 'stroke-width="4"')) - 1).alias("marks"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandseek.functions import scores, vectors
-from strandseek.operators import alignment, cluster, graph, knn, report, stats, windows
+from strandseek.operators import alignment, cluster, graph, knn, places, report, stats, windows
 from strandseek.operators import index as index_ops
 from strandseek.operators import seeds as seed_ops
 from strandseek.params import SearchParams, smoke
@@ -346,14 +346,71 @@ def test_sources_and_sinks(spark, tmp_path):
 
 
 def test_presentation(spark):
-    assert report.pairs_of("((.)") == [(1, 3)] and report.pairs_of("(())") == [(0, 3), (1, 2)]
-    row = spark.createDataFrame([("[3:7, 12]",)], "h string").select(report.highlights(F.col("h")).alias("h")).first()[0]
-    assert [(x["start"], x["end"]) for x in row] == [(3, 7), (12, 12)]
-    assert "<svg" in report.arcs_svg("((..))", 0, 6)
+    rows = spark.createDataFrame([("a", "((.)"), ("a", "(())"), ("b", ")(x)("), ("c", None), ("d", "")], "transcript_id string, secondary_structure string")
+    assert sorted(tuple(r) for r in report.base_pairs(rows).collect()) == [("a", 0, 3), ("a", 1, 2), ("a", 1, 3), ("b", 1, 3)]
+    assert "Arrow" not in report.base_pairs(rows)._jdf.queryExecution().toString() and "Python" not in report.base_pairs(rows)._jdf.queryExecution().toString()
     names = spark.createDataFrame([("a.b",), ("a_b",)], "x string").select(scores.safe_filename(F.col("x"))).collect()
     assert [r[0] for r in names] == ["a_b", "a_b"]
 
 
+def test_drawings(spark):
+    """Columns are found under several names, lists of ranges are marked, and what doesn't fit isn't drawn."""
+    rows = spark.createDataFrame(
+        [("q", None, "GATTACA", "((...))", "", None, "1;4", "3;6,9", "x"), ("q", "s", "GAT", "((.))", "ACGU", "", None, None, "y")],
+        "query_id string, subject_id string, query_sequence string, query_structure string, sequence_2 string, subject_structure string, query_start string, query_end string, pair string",
+    )
+    got = {(r["pair"], r["side"]): r for r in report.drawing_sides(rows).collect()}
+    first = got["x", "query"]
+    assert first["sequence"] == "GAUUACA" and first["structure"] == "((...))" and first["valid"] and [tuple(h) for h in first["highlights"]] == [(1, 3), (4, 6)]
+    assert got["x", "target"]["transcript_id"] == "RNA_x_2" and not got["x", "target"]["valid"] and not got["y", "query"]["valid"]
+    assert got["y", "target"]["transcript_id"] == "s" and got["y", "target"]["structure"] == "...." and got["y", "target"]["valid"]
+    made = {(r["pair"], r["side"]): r for r in report.drawings(report.drawing_sides(rows)).collect()}
+    assert set(made) == {("x", "query"), ("y", "target")} and made["x", "query"]["width"] == 100
+    svg = made["x", "query"]["svg"]
+    assert svg.count("<path") == made["x", "query"]["arcs"] == 2 and svg.count('stroke-width="4"') == 2 and made["y", "target"]["arcs"] == 0
+    wide = report.drawings(report.drawing_sides(rows.drop("pair").withColumn("query_sequence", F.repeat(F.lit("A"), 900)).withColumn("query_structure", F.repeat(F.lit("."), 900)))).where("side = 'query'").collect()
+    assert [r["width"] for r in wide] == [700, 700]
+    plain = spark.createDataFrame([("q", "t", 0, 12.34, "((..))", "(())", 0, 6, 0, 4), ("q", "u", 1, 1.0, None, None, 0, 1, 0, 1)], "query_id string, target_id string, cluster_id int, score double, query_structure string, target_structure string, query_start int, query_end int, target_start int, target_end int")
+    plain = plain.withColumns({f"{s}_sequence": F.translate(f"{s}_structure", "().", "ACG") for s in ("query", "target")})
+    full = report.with_drawings(plain)
+    page = report.report_html(full, 2)
+    assert page.count("data:image/svg+xml;base64,") == 2 and full.where("query_drawing IS NULL").count() == 1
+
+
+def test_places(spark):
+    """Ranges number ids as one sort would; only wanted places are fetched; gaps in the index close."""
+    ids = spark.createDataFrame([(f"{k * 7919 % 1000:03}",) for k in range(1000)], "transcript_id string").repartition(5)
+    want = [(f"{k:03}", k) for k in range(1000)]
+    for about in (1_000_000, 90):
+        assert sorted(tuple(r) for r in places.numbered(ids, about).collect()) == want
+    assert places.numbered(ids.limit(0)).count() == 0
+    n = spark.createDataFrame([("a", 10, [1.0]), ("a", 3, [2.0]), ("a", 12, [3.0]), ("b", 0, [4.0])], NODES)
+    wanted = spark.createDataFrame([("a", 0), ("a", 2), ("a", 0), ("a", 9), ("c", 0)], "transcript_id string, at int")
+    for bounded in (False, True):
+        assert sorted((r["transcript_id"], r["at"], list(r["embedding"])) for r in places.fetched(n, wanted, bounded).collect()) == [("a", 0, [2.0]), ("a", 2, [3.0])]
+    rows = spark.createDataFrame([("a", "b", 0, 1, 3, 0, 1, 9, 0), ("a", "c", 1, 0, 2, 0, 1, 9, 0)], "query_transcript string, target_transcript string, cluster_id int, query_from int, query_to int, target_from int, target_to int, band int, diagonal_offset int")
+    got = alignment.with_vectors(rows, n)
+    assert [(r["target_transcript"], [list(x) for x in r["query_vectors"]], [list(x) for x in r["target_vectors"]]) for r in got.collect()] == [("b", [[1.0], [3.0]], [[4.0]])]
+
+
+def shuffled_columns(df):
+    """The columns of each shuffle of a frame's plan."""
+    text = df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    return [m[1] for m in re.finditer(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)]
+
+
+def test_draws_come_before_vectors(spark, tmp_path):
+    """No shuffle of the background's plan carries the vectors of all nodes, and no window is over one partition."""
+    rng = np.random.default_rng(1)
+    nodes_frame(spark, {f"t{k}": rng.normal(size=(20, 4)) for k in range(30)}).write.parquet(str(tmp_path / "n"))
+    n = spark.read.parquet(str(tmp_path / "n"))
+    out = stats.background(n, 50)
+    wide = [c for c in shuffled_columns(out) if "embedding" in c]
+    assert all("id" in c for c in wide)  # only what has been drawn
+    assert "SinglePartition, REQUIRED" not in out._jdf.queryExecution().toString()
+    assert out.first()["background_sigma"] > 0
+
+
 def test_diagnose(spark):
     n, _ = planted(spark)
     rows = windows.windows(n, 3).withColumn("key", F.concat_ws(":", "transcript_id", "window_start"))
@@ -362,16 +419,25 @@ def test_diagnose(spark):
     assert out["dispersion"].count() == 6 and out["components"].count() == rows.count()
 
 
-def test_streaming(spark, tmp_path):
+def test_streaming(spark, tmp_path, monkeypatch):
     from strandseek.streaming.incremental import search_stream
 
     n, _ = planted(spark)
     q, d = windows.split_queries(windows.windows(n, 5), spark.createDataFrame([("s0",)], "id string"))
-    q.coalesce(1).write.parquet(str(tmp_path / "in"))
-    got = []
-    s = search_stream(spark.readStream.schema(q.schema).parquet(str(tmp_path / "in")), d, SearchParams(k=5, threshold=0.6), lambda df, _: got.append(df.count()), str(tmp_path / "ck"))
-    s.awaitTermination()
-    assert sum(got) == seed_ops.seeds(knn.neighbours(q, d, SearchParams(k=5)), 0.6).count() > 0
+    for half in (0, 1):
+        q.where(F.col("window_start") % 2 == half).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    want = seed_ops.seeds(knn.neighbours(q, d, SearchParams(k=5)), 0.6).count()
+    arriving = lambda files: spark.readStream.schema(q.schema).option("maxFilesPerTrigger", files).parquet(str(tmp_path / "in"))
+    for files, kind, store in ((9, "flat_ip", None), (1, "flat_ip", None), (1, "ivf", str(tmp_path / "ivf")), (1, "hnsw", str(tmp_path / "hnsw"))):
+        got, made = [], []
+        p = SearchParams(k=5, threshold=0.6, index_type=kind, nlist=4, nprobe=4)
+        if store:
+            monkeypatch.setattr(knn, "indexed", lambda *a, f=knn.indexed, made=made: made.append(1) or f(*a))
+        s = search_stream(arriving(files), d, p, lambda df, _, got=got: got.append(df.count()), str(tmp_path / f"ck{kind}{files}{bool(store)}"), store)
+        s.awaitTermination()
+        monkeypatch.undo()
+        assert sum(got) == want > 0 and len(got) == (1 if files == 9 else 2)
+        assert len(made) == (1 if store else 0)  # the database is indexed once, however many batches come
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data")
