@@ -32,6 +32,8 @@ def regions(clusters: DataFrame, lengths: DataFrame, p: SearchParams) -> DataFra
     return out.withColumn("band", adaptive_band(F.col("diagonal_span"), p.band_width, p.band_buffer, p.band_cap))
 
 
+#: Places (about 40 bytes each) that are broadcast at most.
+BROADCAST_PLACES = 500_000
 #: What an alignment needs of a region beside its vectors.
 REGION = ("query_transcript", "target_transcript", "cluster_id", "query_from", "target_from", "band", "diagonal_offset")
 
@@ -39,12 +41,15 @@ REGION = ("query_transcript", "target_transcript", "cluster_id", "query_from", "
 def with_vectors(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """The columns of ``REGION`` and the vectors of both stretches of regions.
 
-    Places of the stretches are joined with the nodes, so only their vectors are shuffled and collected. A region
-    without nodes on either side goes.
+    Places of the stretches are joined with the nodes, so only their vectors are collected. Up to ``BROADCAST_PLACES``
+    places are broadcast to the nodes, whose vectors then stay where they are unless they are wanted; of more places the
+    nodes are joined by a shuffle. A region without nodes on either side goes.
     """
+    reach = sum((F.sum(F.col(f"{s}_to") - F.col(f"{s}_from")) for s in ("query", "target")), F.lit(0))
+    few = (rows.agg(reach).first()[0] or 0) <= BROADCAST_PLACES
     sides = [rows.select(*REGION, F.lit(s).alias("side"), F.col(f"{s}_transcript").alias("transcript_id"), F.explode(places_between(F.col(f"{s}_from"), F.col(f"{s}_to"))).alias("at")) for s in ("query", "target")]
     each = sides[0].unionByName(sides[1])
-    found = each.join(fetched(nodes, each), ["transcript_id", "at"])
+    found = each.join(fetched(nodes, each, few), ["transcript_id", "at"])
     of = lambda s: F.sort_array(F.collect_list(F.when(F.col("side") == s, F.struct("at", "embedding"))))["embedding"].alias(f"{s}_vectors")
     return found.groupBy(*REGION).agg(of("query"), of("target")).where("size(query_vectors) > 0 AND size(target_vectors) > 0")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandseek.functions import scores, vectors
-from strandseek.operators import alignment, cluster, diagnostics, knn, report, stats, windows
+from strandseek.operators import alignment, cluster, diagnostics, knn, plots, report, stats, windows
 from strandseek.operators import seeds as seed_ops
 from strandseek.params import SearchParams
 from strandseek.plans.search import search
@@ -326,6 +326,11 @@ def clusters_of(spark, sf_dir) -> DataFrame:
     return cluster.clusters(cluster.members(seeds_of(spark, sf_dir), P))
 
 
+def clusters_held(spark, sf_dir) -> DataFrame:
+    """The same, kept for steps that read them several times."""
+    return clusters_of(spark, sf_dir).persist()
+
+
 @query(
     f"WITH RECURSIVE {FOLD_SQL} SELECT cid AS cluster_id, qt AS query_transcript, tt AS target_transcript, dg AS diagonal, n AS seed_count, q0 AS query_start, q1 AS query_end, "
     "t0 AS target_start, t1 AS target_end, round(ms, 6) AS max_similarity, d0 AS diagonal_min, d1 AS diagonal_max, d1 - d0 AS diagonal_span FROM cl"
@@ -394,7 +399,7 @@ def background_stats(spark, sf_dir):
 )
 def cell_scores(spark, sf_dir):
     n, p = nodes_of(spark, sf_dir), SearchParams(padding=4, band_width=6, band_buffer=2)
-    rows = alignment.regions(clusters_of(spark, sf_dir), lengths_of(n), p)
+    rows = alignment.regions(clusters_held(spark, sf_dir), lengths_of(n), p)
     return alignment.scoring_matrix(rows, n, p, 0.01, 0.125).withColumn("score", R6("score"))
 
 
@@ -710,10 +715,43 @@ BANDED_SQL = (
 @query(f"{BANDED_SQL} SELECT qt AS query_id, tt AS target_id, cid AS cluster_id, round(max(best), 5) AS score FROM r GROUP BY qt, tt, cid HAVING max(best) > 0")
 def banded_alignment_scores(spark, sf_dir):
     n = nodes_of(spark, sf_dir)
-    rows = alignment.regions(clusters_of(spark, sf_dir), lengths_of(n), BAND_P)
+    rows = alignment.regions(clusters_held(spark, sf_dir), lengths_of(n), BAND_P)
     return alignment.aligned(rows, n, BAND_P, 0.01, 0.125).select("query_id", "target_id", "cluster_id", F.round("score", 5).alias("score"))
 
 
+@query(
+    f"{BANDED_SQL}, t AS (SELECT qt, tt, cid, round(max(best), 5) AS score FROM r GROUP BY qt, tt, cid HAVING max(best) > 0), k AS (SELECT *, row_number() OVER (PARTITION BY qt ORDER BY score DESC, tt, cid) AS rank FROM t) "
+    "SELECT k.qt AS query_id, k.tt AS target_id, k.cid AS cluster_id, CAST(rank AS INTEGER) AS rank, "
+    "regexp_replace(printf('rank_%02d_%s_vs_%s_cluster_%d_score_%.2f', rank, k.qt, k.tt, k.cid, score), '[^A-Za-z0-9_-]', '_', 'g') AS name, printf('Rank %d: %s vs %s (cluster %d)', rank, k.qt, k.tt, k.cid) AS title, "
+    "printf('Score %.3f | Q[%d,%d) vs T[%d,%d) | Diagonal μ %d, span %d | Band %d', score, qf, qe, tf, te, dg, d1 - d0, band) AS caption, "
+    "CAST(qf AS INTEGER) AS region_query_start, CAST(qe AS INTEGER) AS region_query_end, CAST(tf AS INTEGER) AS region_target_start, CAST(te AS INTEGER) AS region_target_end "
+    "FROM k JOIN rg ON rg.qt = k.qt AND rg.tt = k.tt AND rg.cid = k.cid"
+)
+def matrix_plots(spark, sf_dir):
+    n = nodes_of(spark, sf_dir)
+    places = alignment.regions(clusters_held(spark, sf_dir), lengths_of(n), BAND_P)
+    rows = alignment.aligned(places, n, BAND_P, 0.01, 0.125).withColumn("score", F.round("score", 5)).persist()  # so equal alignments tie
+    return plots.matrix_plots(rows, places).drop("query_ticks", "target_ticks", "points")
+
+
+@query(
+    f"{BANDED_SQL}, k AS (SELECT qt, tt, cid FROM r GROUP BY qt, tt, cid HAVING max(best) > 0) SELECT k.qt AS query_transcript, k.tt AS target_transcript, k.cid AS cluster_id, count(*) AS cells, true AS path_inside, true AS path_connected "
+    "FROM k JOIN rg ON rg.qt = k.qt AND rg.tt = k.tt AND rg.cid = k.cid JOIN n a ON a.t = k.qt AND a.i >= qf AND a.i < qe JOIN n b ON b.t = k.tt AND b.i >= tf AND b.i < te "
+    "WHERE (b.i - tf) - (a.i - qf) - (dg + qf - tf) BETWEEN -(band // 2) AND band // 2 GROUP BY ALL"
+)
+def marked_matrices(spark, sf_dir):
+    """Of each aligned region its cells, whether all of the path lies on them, and whether matched cells and steps are as many as the alignment is long."""
+    n = nodes_of(spark, sf_dir)
+    places = alignment.regions(clusters_held(spark, sf_dir), lengths_of(n), BAND_P)
+    rows = alignment.aligned(places, n, BAND_P, 0.01, 0.125).persist()
+    key = list(plots.KEYS)
+    cells = plots.marked_matrix(alignment.scoring_matrix(places, n, BAND_P, 0.01, 0.125), rows)
+    seen = cells.groupBy(*key).agg(F.count("*").alias("cells"), F.count("state").alias("marked"), F.count_if(F.col("state") == "M").alias("matched"))
+    steps = F.col("alignment_length")
+    about = rows.select(*[F.col(old).alias(new) for new, old in plots.KEYS.items()], steps.alias("steps"), (steps - F.col("gap_bases")).alias("matches"))
+    return seen.join(about, key).select(*key, "cells", (F.col("marked") == F.col("steps")).alias("path_inside"), (F.col("matched") == F.col("matches")).alias("path_connected"))
+
+
 def sides_of(spark, sf_dir) -> DataFrame:
     rows = alignment.with_context(context_rows(spark, sf_dir), meta_of(nodes_of(spark, sf_dir)))
     return report.drawing_sides(rows.withColumn("pair", F.concat_ws(":", "query_id", "target_id", F.col("cluster_id").cast("string"))))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandseek.functions import scores, vectors
-from strandseek.operators import alignment, cluster, graph, knn, places, report, stats, windows
+from strandseek.operators import alignment, cluster, graph, knn, places, plots, report, stats, windows
 from strandseek.operators import index as index_ops
 from strandseek.operators import seeds as seed_ops
 from strandseek.params import SearchParams, smoke
@@ -310,6 +310,23 @@ def test_scoring_matrix(spark):
     assert len(rows) == cells and all(-4 <= x["score"] <= 8 for x in rows)
 
 
+def test_matrix_plots(spark):
+    """The path is marked where the trace goes, gaps stay at the other side's last place, and the chart's text names its region."""
+    a = spark.createDataFrame(
+        [("q", "t", 3, 12.3456, [("M", 2, 5), ("X", None, 6), ("M", 3, 7), ("Y", 4, None)])],
+        "query_id string, target_id string, cluster_id int, score double, trace array<struct<state:string,query_pos:int,target_pos:int>>",
+    )
+    steps = [tuple(r)[3:] for r in plots.path_cells(a).orderBy("step").collect()]
+    assert steps == [(0, "M", 2, 5), (1, "X", 2, 6), (2, "M", 3, 7), (3, "Y", 4, 7)]
+    cells = spark.createDataFrame([("q", "t", 3, i, j, float(i * j)) for i in range(2, 5) for j in range(4, 9)], "query_transcript string, target_transcript string, cluster_id int, query_pos int, target_pos int, score double")
+    marked = {(r["query_pos"], r["target_pos"]): r["state"] for r in plots.marked_matrix(cells, a).collect()}
+    assert len(marked) == 15 and {k: v for k, v in marked.items() if v} == {(2, 5): "M", (2, 6): "X", (3, 7): "M", (4, 7): "Y"}
+    places = spark.createDataFrame([("q", "t", 3, 9, 1, 2, 5, 4, 9, 4, 2, 8)], "query_transcript string, target_transcript string, cluster_id int, query_length int, target_length int, query_from int, query_to int, target_from int, target_to int, diagonal int, diagonal_span int, band int")
+    got = plots.matrix_plots(a, places).first()
+    assert got["name"] == "rank_01_q_vs_t_cluster_3_score_12_35" and got["title"] == "Rank 1: q vs t (cluster 3)" and got["caption"] == "Score 12.346 | Q[2,5) vs T[4,9) | Diagonal μ 4, span 2 | Band 8"
+    assert got["query_ticks"] == [0, 8] and got["target_ticks"] == [0] and [tuple(p) for p in got["points"]] == [(5, 2), (6, 2), (7, 3), (7, 4)]
+
+
 def test_readers(spark, tmp_path):
     (tmp_path / "t.tsv").write_text("transcript_id\tsequence\na\tACGU\nb\tGG\n")
     assert sorted(r["transcript_id"] for r in tables.read_transcripts(spark, str(tmp_path / "t.tsv")).collect()) == ["a", "b"]
