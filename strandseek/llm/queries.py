@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from strandseek.llm import collocations, compression, decontam, language, near_dup, pieces, quality, resampling, secret_scan, substring, suffixes, warc
-from strandseek.llm._text import shared_folder
+from strandseek.llm._text import Shelf, shared_folder
 from strandseek.llm.tokens import token_counts
 
 
@@ -39,7 +39,10 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write_archives(table(spark, sf_dir, "pages"), f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}")
-    return warc.read_archives(spark, files, payloads=False)
+    try:
+        return Shelf(spark, "warc-read").put(warc.read_archives(spark, files, payloads=False))  # so the archives may go
+    finally:
+        warc.remove_archives(files)
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

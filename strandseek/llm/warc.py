@@ -27,11 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import column, opened
+from strandseek.llm._text import Shelf, column, opened
 
 MAGIC = b"\x1f\x8b\x08"
 LEAST_PAYLOAD = 100
 SPLIT_BYTES, READ_BYTES = 16 << 20, 1 << 18
+#: Digests of repeated payloads (80 bytes each) that are broadcast at most; more are joined by a shuffle of the pages.
+BROADCAST_DIGESTS = 200_000
+#: Splits that a task reads one after the other, where there are more than three times as many as cores.
+PACKED = 16
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = b"\r\n\r\n"
@@ -66,6 +70,9 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
     # equal digests have equal sizes, so the size is tested once
     again = base.select("digest", "page", F.octet_length("html").alias("size")).where(F.col("size") >= LEAST_PAYLOAD)
     again = again.groupBy("digest").agg(F.count("*").alias("n"), F.min("page").alias("least")).where("n > 1").select(F.col("digest").alias("of"), "least")
+    shelf = Shelf(pages.sparkSession, "digests")
+    again, n = shelf.counted(again)
+    again = F.broadcast(again) if n <= BROADCAST_DIGESTS else again  # so pages stay where they are
     rows = base.join(again, F.col("digest") == F.col("of"), "left").select("page", "url", "html", "digest", F.col("least").alias("refers"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +90,10 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
             sink.close()
             yield pa.RecordBatch.from_pydict({"path": [path], "size": [size]})
 
-    return [(r["path"], r["size"]) for r in rows.mapInArrow(run, "path string, size long").collect()]
+    try:
+        return [(r["path"], r["size"]) for r in rows.mapInArrow(run, "path string, size long").collect()]
+    finally:
+        shelf.clear()
 
 
 def headers(data: bytes) -> dict[str, str]:
@@ -169,7 +179,7 @@ def read_archives(spark: SparkSession, files: list[tuple[str, int]], split_bytes
     fields = [("page_id", "long", pa.int64()), ("payload_bytes", "long", pa.int64()), ("payload_digest", "string", pa.string()), ("record_type", "string", pa.string()), ("refers_to", "long", pa.int64())]
     fields += [("url", "string", pa.string()), ("payload", "binary", pa.binary())] if payloads else []
     arrow, ddl = pa.schema([(n, t) for n, _, t in fields]), ", ".join(f"{n} {d}" for n, d, _ in fields)
-    splits = [(path, a, min(a + split_bytes, size)) for path, size in files for a in range(0, size, split_bytes)]
+    n_splits = sum(-(-size // split_bytes) for _, size in files)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -185,8 +195,17 @@ def read_archives(spark: SparkSession, files: list[tuple[str, int]], split_bytes
                             rows, size = [], 0
                     yield pa.RecordBatch.from_pylist(rows, arrow)
 
-    frame = spark.createDataFrame(splits, "path string, start long, end long")
-    return frame.repartition(max(1, len(splits))).mapInArrow(run, ddl)
+    held = spark.createDataFrame([x for x in files if x[1]], "path string, size long")
+    splits = held.select("path", "size", F.explode(F.sequence(F.lit(0), F.col("size") - 1, F.lit(split_bytes))).alias("start"))
+    splits = splits.select("path", "start", F.least(F.col("start") + split_bytes, F.col("size")).alias("end"))
+    tasks = min(n_splits, max(3 * spark.sparkContext.defaultParallelism, n_splits // PACKED))
+    return splits.repartition(max(1, tasks)).mapInArrow(run, ddl)
+
+
+def remove_archives(files: list[tuple[str, int]]) -> None:
+    for path, _ in files:
+        system, at = opened(path)
+        system.delete_file(at)
 
 
 #: What writing and reading back must give, in SQL.
