@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 from strandseek.functions.vectors import norm
 from strandseek.params import SearchParams
 
-#: Expected rows of the training sample, of those that codebooks, a rotation and the depth of a search are learned from.
-TRAINING_ROWS, CODE_ROWS, ROTATION_ROWS, DEPTH_ROWS = 250_000, 65_536, 16_384, 4096
+#: Expected rows of the training sample, of those that codebooks, a rotation and the number of candidates are learned from, and of those whose neighbours say how many lists to probe.
+TRAINING_ROWS, CODE_ROWS, ROTATION_ROWS, DEPTH_ROWS, DEPTH_QUERIES = 250_000, 65_536, 16_384, 4096, 256
 #: Numbers of one work array.
 SCORES = 4 << 20
 #: Rounds of rotation and codebooks in turn.
@@ -261,9 +261,13 @@ def trained_books(rows: DataFrame, index: Index, parts: int, codes: int) -> list
     return [unpacked(bytes(r["book"]))["book"] for r in got]
 
 
+def aim_of(recall: float) -> float:
+    """What lists and codes aim at each, so that both together reach the recall."""
+    return 1 - (1 - recall) / 3
+
+
 def learned_depth(index: Index, k: int, recall: float) -> Callable[[np.ndarray], bytes]:
-    """How many lists and candidates hold the k nearest rows of a sample to others of it, each a third of the way from certainty to what is aimed at."""
-    aim = 1 - (1 - recall) / 3
+    """How many candidates by the codes hold the k nearest rows of a sample to others of it."""
 
     def run(x: np.ndarray) -> bytes:
         n = max(1, min(256, len(x) // 4))
@@ -271,25 +275,22 @@ def learned_depth(index: Index, k: int, recall: float) -> Callable[[np.ndarray],
         true = q @ x.T
         true = 2 * true - (x**2).sum(1) if index.by_l2 else true
         best = np.argsort(-true, axis=1, kind="stable")[:, :k]
-        lists, need, ok = index.lists(x), 0, np.ones(true.shape, bool)
-        if index.centres is not None:
-            place = np.argsort(index.order(q), axis=1)  # the place of each list among a query's
-            need = int(np.quantile(np.take_along_axis(place, lists[best], 1), aim, method="higher")) + 1
-            ok = np.take_along_axis(place, np.broadcast_to(lists, true.shape), 1) < need
-        depth = 0
-        if index.coded:
-            z = index.decoded(index.code(x, lists), lists)
-            guess = q @ z.T
-            guess = 2 * guess - (z**2).sum(1) if index.by_l2 else guess
-            guess[~ok] = -np.inf
-            rank = np.argsort(np.argsort(-guess, axis=1, kind="stable"), axis=1)
-            mine = np.take_along_axis(rank, best, 1)[np.take_along_axis(ok, best, 1)]
-            depth = int(np.quantile(mine, aim, method="higher")) + 1 if len(mine) else k
-        return packed(lists=np.array(need), candidates=np.array(depth))
+        lists = index.lists(x)
+        z = index.decoded(index.code(x, lists), lists)
+        guess = q @ z.T
+        guess = 2 * guess - (z**2).sum(1) if index.by_l2 else guess
+        rank = np.argsort(np.argsort(-guess, axis=1, kind="stable"), axis=1)
+        return packed(candidates=np.array(int(np.quantile(np.take_along_axis(rank, best, 1), aim_of(recall), method="higher")) + 1))
 
     return run
 
 
+def drawn_places(database: DataFrame, have: int, rows: int, seed: int) -> DataFrame:
+    """About so many whole rows of the database, drawn by a hash of their place."""
+    drawn = F.pmod(F.xxhash64(F.lit(seed), "transcript_id", "window_start"), F.lit(FINE))
+    return database.where(drawn < max(1, int(FINE * min(1.0, rows / max(have, 1)))))
+
+
 def mean_norm(database: DataFrame, rows: int = 1000) -> float | None:
     """The mean norm of the first rows, nothing of no rows."""
     return database.limit(rows).agg(F.avg(norm("vector"))).first()[0]
@@ -300,7 +301,7 @@ def warn_of_norms(mean: float, p: SearchParams, within: float = 0.01) -> None:
         warnings.warn("the vectors' mean norm isn't about 1: inner products aren't cosines", stacklevel=3)
 
 
-def build_index(database: DataFrame, p: SearchParams) -> Index:
+def trained_index(database: DataFrame, p: SearchParams) -> Index:
     """Learns what the index type needs; warns if vectors taken for unit vectors aren't."""
     kind, mean = p.index_type, mean_norm(database)
     if mean is None:
@@ -325,7 +326,6 @@ def build_index(database: DataFrame, p: SearchParams) -> Index:
     elif kind == "hnswsq8":
         ends = database.select(F.posexplode("vector").alias("k", "v")).groupBy("k").agg(F.min("v").alias("low"), F.max("v").alias("high")).orderBy("k").collect()
         index.low, index.high = (np.array([r[c] for r in ends], np.float64) for c in ("low", "high"))
-    if p.recall is not None:
-        depth = unpacked(gathered(few(DEPTH_ROWS), learned_depth(index, p.k, p.recall)))
-        index.lists_needed, index.candidates_needed = int(depth["lists"]), int(depth["candidates"])
+    if p.recall is not None and index.coded:
+        index.candidates_needed = int(unpacked(gathered(few(DEPTH_ROWS), learned_depth(index, p.k, p.recall)))["candidates"])
     return index

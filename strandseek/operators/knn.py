@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from strandseek.functions.vectors import clip, cosine_of_distance, dot
 from strandseek.operators import graph
-from strandseek.operators.index import SCORES, Index, build_index, matrix, table_scores
+from strandseek.operators.index import DEPTH_QUERIES, SCORES, Index, aim_of, drawn_places, matrix, table_scores, trained_index
 from strandseek.params import SearchParams
 
 #: Bytes of query vectors held at once; more queries are searched in more passes over the database.
@@ -42,6 +42,38 @@ HITS = (
 SHARD = "shard int, transcript_id array<string>, window_index array<int>, window_start array<int>, window_end array<int>, vectors binary, codes binary, links array<binary>"
 
 
+def build_index(database: DataFrame, p: SearchParams) -> Index:
+    """Learns what the index type needs, and for a recall how many lists hold it; warns if vectors taken for unit vectors aren't."""
+    index = trained_index(database, p)
+    if p.recall is not None and index.centres is not None:
+        index.lists_needed = lists_needed(database, index, p.k, p.recall)
+    return index
+
+
+def lists_needed(database: DataFrame, index: Index, k: int, recall: float) -> int:
+    """How many lists must be probed to hold the k nearest rows of the whole database to some drawn ones of it, but for a small share.
+
+    The neighbours are found by an exact search for ``DEPTH_QUERIES`` expected rows; only the places of their lists come back.
+    """
+    asked = drawn_places(database, database.count(), DEPTH_QUERIES, 1).select(*PLACE, "vector")
+    flat = Index("flat_l2" if index.by_l2 else "flat_ip", index.by_l2)
+    near = neighbours(asked, database, SearchParams(k=k + 1, index_type=flat.kind, metric="l2" if index.by_l2 else "ip"), flat)
+    near = near.where((F.col("query_transcript") != F.col("target_transcript")) | (F.col("query_window_start") != F.col("target_window_start")))
+    to = near.select(F.col("target_transcript").alias("transcript_id"), F.col("target_window_start").alias("window_start"), F.col("query_transcript").alias("of"), F.col("query_window_start").alias("of_start"))
+    theirs = database.select("transcript_id", "window_start", F.col("vector").alias("theirs")).join(F.broadcast(to), ["transcript_id", "window_start"])  # k + 1 rows a query
+    mine = asked.select(F.col("transcript_id").alias("of"), F.col("window_start").alias("of_start"), F.col("vector").alias("mine"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                place = np.argsort(index.order(matrix(b.column(0))), axis=1)  # the place of each list among a query's
+                found = np.take_along_axis(place, index.lists(matrix(b.column(1)))[:, None], 1)[:, 0]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32())], names=["place"])
+
+    found = theirs.join(F.broadcast(mine), ["of", "of_start"]).select("mine", "theirs").mapInArrow(run, "place int").toArrow().column(0).to_numpy()
+    return int(np.quantile(found, aim_of(recall), method="higher")) + 1 if len(found) else 1
+
+
 def indexed(database: DataFrame, index: Index) -> DataFrame:
     """The table that a search of the index reads: shards of a graph, or places and vectors with ``list`` and, for product codes, ``code``."""
     if index.graph:
@@ -224,17 +256,18 @@ def candidates(places: pa.Table, q: np.ndarray, rows: DataFrame, index: Index, k
 class Shard:
     """A row of a graph's table, ready to be searched."""
 
-    def __init__(self, row: dict, index: Index):
-        self.places = pa.table({c: pa.array(row[c], pa.string() if k == 0 else pa.int32()) for k, c in enumerate(PLACE)})
+    def __init__(self, rows: pa.RecordBatch, number: int, index: Index):
+        row = {c: rows.column(c)[number] for c in rows.schema.names}
+        self.places = pa.table({c: row[c].values for c in PLACE})
         n = self.places.num_rows
-        self.x = np.frombuffer(row["vectors"], np.float32).reshape(n, -1)
-        self.links = [np.frombuffer(x, np.int32).reshape(-1, index.links * (1 if k else 2)) for k, x in enumerate(row["links"])]
+        self.x = np.frombuffer(row["vectors"].as_buffer(), np.float32).reshape(n, -1)
+        self.links = [np.frombuffer(x.as_buffer(), np.int32).reshape(-1, index.links * (1 if k else 2)) for k, x in enumerate(row["links"].values)]
         self.index = index
         if index.codebooks is not None:
-            self.codes = np.frombuffer(row["codes"], index.code_type).reshape(n, -1)
+            self.codes = np.frombuffer(row["codes"].as_buffer(), index.code_type).reshape(n, -1)
             self.offset = index.offsets(self.codes, np.zeros(n, np.int64)) if index.by_l2 else None
         else:
-            coded = np.frombuffer(row["codes"], np.uint8).reshape(n, -1) if index.low is not None else None
+            coded = np.frombuffer(row["codes"].as_buffer(), np.uint8).reshape(n, -1) if index.low is not None else None
             self.space = graph.Space(self.x if coded is None else index.decoded(coded, np.zeros(n, np.int64)), index.by_l2)
 
     def near(self, q: np.ndarray):
@@ -266,7 +299,7 @@ def graph_candidates(places: pa.Table, q: np.ndarray, shards: DataFrame, index:
         best = Best(len(q), k)
         for b in batches:
             for n in range(b.num_rows if len(q) else 0):
-                shard = Shard({c: b.column(c)[n].as_py() for c in b.schema.names}, index)
+                shard = Shard(b, n, index)
                 if shard.x.shape[1] != q.shape[1]:
                     raise ValueError(f"dimensions differ: {q.shape[1]} and {shard.x.shape[1]}")
                 found = shard.search(q, ef)
@@ -328,7 +361,7 @@ def rows_scored(queries: DataFrame, database: DataFrame, index: Index, nprobe: i
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                held = [Shard({c: b.column(c)[n].as_py() for c in b.schema.names}, index) for n in range(b.num_rows)]
+                held = [Shard(b, n, index) for n in range(b.num_rows)]
                 yield pa.RecordBatch.from_arrays([pa.array([x.search(q, ef).compared for x in held], pa.int64()), pa.array([len(x.x) for x in held], pa.int64())], names=["scored", "rows"])
 
         return rows.mapInArrow(run, "scored long, rows long").agg(F.coalesce(F.sum("scored"), F.lit(0)).alias("scored"), (F.coalesce(F.sum("rows"), F.lit(0)) * len(q)).alias("pairs"))
