@@ -720,7 +720,7 @@ def banded_alignment_scores(spark, sf_dir):
 
 
 @query(
-    f"{BANDED_SQL}, t AS (SELECT qt, tt, cid, round(max(best), 5) AS score FROM r GROUP BY qt, tt, cid HAVING max(best) > 0), k AS (SELECT *, row_number() OVER (PARTITION BY qt ORDER BY score DESC, tt, cid) AS rank FROM t) "
+    f"{BANDED_SQL}, t AS (SELECT qt, tt, cid, round(max(best), 9) AS score FROM r GROUP BY qt, tt, cid HAVING max(best) > 0), k AS (SELECT *, row_number() OVER (PARTITION BY qt ORDER BY score DESC, tt, cid) AS rank FROM t) "
     "SELECT k.qt AS query_id, k.tt AS target_id, k.cid AS cluster_id, CAST(rank AS INTEGER) AS rank, "
     "regexp_replace(printf('rank_%02d_%s_vs_%s_cluster_%d_score_%.2f', rank, k.qt, k.tt, k.cid, score), '[^A-Za-z0-9_-]', '_', 'g') AS name, printf('Rank %d: %s vs %s (cluster %d)', rank, k.qt, k.tt, k.cid) AS title, "
     "printf('Score %.3f | Q[%d,%d) vs T[%d,%d) | Diagonal μ %d, span %d | Band %d', score, qf, qe, tf, te, dg, d1 - d0, band) AS caption, "
@@ -730,7 +730,7 @@ def banded_alignment_scores(spark, sf_dir):
 def matrix_plots(spark, sf_dir):
     n = nodes_of(spark, sf_dir)
     places = alignment.regions(clusters_held(spark, sf_dir), lengths_of(n), BAND_P)
-    rows = alignment.aligned(places, n, BAND_P, 0.01, 0.125).withColumn("score", F.round("score", 5)).persist()  # so equal alignments tie
+    rows = alignment.aligned(places, n, BAND_P, 0.01, 0.125).withColumn("score", F.round("score", 9)).persist()  # so equal alignments tie
     return plots.matrix_plots(rows, places).drop("query_ticks", "target_ticks", "points")
 
 
