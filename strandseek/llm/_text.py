@@ -148,32 +148,50 @@ def picked(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(column(key).cast("long").alias("doc_id"), column(text).cast("string").alias("text"))
 
 
+#: What operators remember in this worker, by name, and how they forget it.
+_remembered: dict[str, Callable[[], object]] = {}
+
+
+def remember(owner: str, forget: Callable[[], object]) -> None:
+    """A worker serves many operators: what one has remembered in it goes when it starts to work for another."""
+    _remembered[owner] = forget
+
+
+def only(owner: str | None) -> None:
+    for name in [x for x in _remembered if x != owner]:
+        _remembered.pop(name)()
+
+
 #: Texts of about so many bytes are converted and worked on at a time; a batch from Spark may hold far more.
 PART = 4 << 20
 
 
-def map_texts(df: DataFrame, f: Callable[[list, list], dict[str, list]], schema: str) -> DataFrame:
-    """Applies f(keys, texts) -> columns to a frame from ``picked``, part by part of its Arrow batches."""
+def map_texts(df: DataFrame, f: Callable[[list, list], dict[str, list]], schema: str, owner: str | None = None) -> DataFrame:
+    """Applies f(keys, texts) -> columns to a frame from ``picked``, part by part of its Arrow batches; ``owner``: see ``remember``."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(owner)
         for b in batches:
             for i, j in ranges(b.column(1), PART):
                 out = f(b.column(0).slice(i, j - i).to_pylist(), b.column(1).slice(i, j - i).to_pylist())
                 yield pa.RecordBatch.from_arrays([pa.array(out[x.name], x.type) for x in arrow], schema=arrow)
+            pa.default_memory_pool().release_unused()  # a worker serves many tasks
 
     return df.mapInArrow(run, schema)
 
 
-def text_udf(f: Callable[[list[str | None]], list], kind: str, arrow: pa.DataType) -> Callable[[Column], Column]:
-    """A column function of texts that works part by part of its Arrow batches."""
+def text_udf(f: Callable[[list[str | None]], list], kind: str, arrow: pa.DataType, owner: str | None = None) -> Callable[[Column], Column]:
+    """A column function of texts that works part by part of its Arrow batches; ``owner``: see ``remember``."""
 
     @F.arrow_udf(kind)
     def run(texts: pa.Array) -> pa.Array:
+        only(owner)
         parts = [pa.array(f(texts.slice(i, j - i).to_pylist()), arrow) for i, j in ranges(texts, PART)]
+        pa.default_memory_pool().release_unused()
         return pa.concat_arrays(parts) if parts else pa.array([], arrow)
 
     return run

@@ -25,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import PART, Shelf, chunks, column, map_texts, picked, ranges, text_udf
+from strandseek.llm._text import PART, Shelf, chunks, column, map_texts, only, picked, ranges, text_udf
 
 PROFILE, SAMPLE = 400, 20_000
 #: Profiles of so many languages are held at a time; those of more are stored and compared in turn.
 LANGUAGES = 1000
 UNKNOWN = "und"
 #: Texts of about so many bytes are counted at once.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 MARK = "_"
 
 
@@ -132,6 +132,7 @@ def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         rows = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample / n) + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only(None)
         total: Counter = Counter()
         for b in batches:
             langs, texts = b.column(1).dictionary_encode(), b.column(0)

@@ -32,12 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandseek.llm._text import PART, column, fresh, map_texts, picked, ranges
+from strandseek.llm._text import PART, column, fresh, map_texts, picked, ranges, remember
 
 MARK = "▁"
 CUT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words and pairs of pieces that a worker remembers; beyond that the tables start anew.
-REMEMBERED, REMEMBERED_PAIRS = 500_000, 1_000_000
+REMEMBERED, REMEMBERED_PAIRS = 300_000, 600_000
 UNIGRAM, BPE = 1, 2
 #: Columns that ``with_pieces`` adds.
 NEW = ("pieces", "n_pieces", "round_trip")
@@ -212,12 +212,25 @@ class Model:
         return text[1:] if text.startswith(" ") else text
 
 
+OWNER = "pieces"
+
+
 @lru_cache(maxsize=2)
-def model(path: str) -> Model:
-    """One model a worker and file."""
+def held(path: str) -> Model:
     return Model(path)
 
 
+def forget() -> None:
+    held.cache_clear()
+    Model.whole.cache_clear()
+
+
+def model(path: str) -> Model:
+    """One model a worker and file, until the worker works for another operator."""
+    remember(OWNER, forget)
+    return held(path)
+
+
 #: Texts of about so many characters share one trie.
 BLOCK = 1 << 23
 
@@ -228,7 +241,7 @@ def encode_pieces(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
     def run(keys: list, texts: list) -> dict[str, list]:
         return {"doc_id": keys, "pieces": [y for part in blocks(texts) for y in model(path).encode(part)]}
 
-    return map_texts(picked(docs, key, text), run, "doc_id long, pieces array<int>")
+    return map_texts(picked(docs, key, text), run, "doc_id long, pieces array<int>", OWNER)
 
 
 def blocks(texts: list) -> list[list]:
@@ -296,4 +309,4 @@ def round_trips(docs: DataFrame, path: str, key: str = "doc_id", text: str = "te
                 out["round_trip"].append(m.decode(ids.tolist()) == (x or "").replace(MARK, " "))
         return out
 
-    return map_texts(picked(docs, key, text), run, "doc_id long, n_pieces long, pieces_sha256 string, round_trip boolean")
+    return map_texts(picked(docs, key, text), run, "doc_id long, n_pieces long, pieces_sha256 string, round_trip boolean", OWNER)
