@@ -150,6 +150,39 @@ def test_inverted_lists(spark, tmp_path):
     assert sorted(index_ops.allocated(np.array([8.0, 4, 2, 1, 1, 1]), 3).tolist()) == list(range(6))
 
 
+def test_depth_of_the_whole_database(spark):
+    """On unrelated vectors, whose codes say little, the recall is reached, and a task still sends k rows a query and no more."""
+    rng = np.random.default_rng(31)
+    x = rng.normal(size=(2600, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(f"s{k % 26}", k // 26, k // 26, k // 26 + 3, v.tolist()) for k, v in enumerate(x)], "transcript_id string, window_index int, window_start int, window_end int, vector array<double>").repartition(3)
+    q, d = windows.split_queries(rows, spark.createDataFrame([("s0",)], "id string"))
+    key = lambda df: {tuple(r) for r in df.select("query_transcript", "query_window_start", "target_transcript", "target_window_start").collect()}
+    for metric in ("ip", "l2"):
+        flat = key(knn.neighbours(q, d, SearchParams(k=10, metric=metric)))
+        for kind in ("ivfpq", "hnswpq"):
+            p = SearchParams(k=10, index_type=kind, metric=metric, nlist=8, pq_m=4, pq_bits=4, hnsw_m=8, ef_construction=40, recall=0.9)
+            assert len(key(knn.neighbours(q, d, p)) & flat) >= 0.9 * len(flat), (kind, metric)
+    p = SearchParams(k=10, index_type="ivfpq", nlist=8, pq_m=4, pq_bits=4, recall=0.9)
+    index = knn.build_index(d, p)
+    held = q.select(*knn.PLACE, "vector").toArrow()
+    sent = knn.candidates(held.select(list(knn.PLACE)), index_ops.matrix(held.column("vector")), knn.indexed(d.coalesce(1), index), index, 10, 8, True)
+    assert sent.count() == 10 * q.count()
+
+
+def test_blocks_of_queries(spark, monkeypatch):
+    """Work by blocks of queries, small ones and many, gives the same rows."""
+    n, _ = planted(spark)
+    rows = windows.windows(n, 5)
+    q, d = windows.split_queries(rows, spark.createDataFrame([("s0",)], "id string"))
+    key = lambda df: sorted(tuple(r) for r in df.select("query_window_start", "target_transcript", "target_window_start", "rank").collect())
+    want = key(knn.neighbours(q, d, SearchParams(k=7)))
+    assert len(knn.query_blocks(1000, 7)) == 1 and len(knn.query_blocks(knn.PAIRS, 2)) == 2
+    assert sorted(k for s in knn.query_blocks(100, knn.PAIRS // 30) for k in range(s.start, s.stop)) == list(range(100))
+    monkeypatch.setattr(knn, "QUERY_BYTES", 4096)
+    assert want == key(knn.neighbours(q, d, SearchParams(k=7)))
+
+
 def test_codes_of_residuals():
     """Sums of table entries are the scores of decoded vectors; a learned rotation codes correlated rows better than none."""
     rng = np.random.default_rng(5)
