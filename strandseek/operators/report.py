@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: Columns that a report leaves out: whole strings and statistics of the search.
 HIDDEN = ("query_sequence", "target_sequence", "query_structure", "target_structure", "alignment_mask", "alignment_content", "trace")
 WRAP = 30
+#: Bytes of whole strings that are broadcast at most.
+WHOLE_BYTES = 64 << 20
 
 
 def alignment_text(rows: DataFrame) -> DataFrame:
@@ -116,25 +118,26 @@ def drawing_sides(rows: DataFrame) -> DataFrame:
 def drawings(sides: DataFrame) -> DataFrame:
     """pair, side, transcript_id, width, arcs and svg of the valid sides of ``drawing_sides``: an arc for each base pair, those inside a highlight marked.
 
-    A drawing is as wide as its structure is long, from 100 to 700. All is done where the rows are, and keyed by pair.
+    A drawing is as wide as its structure is long, from 100 to 700. Base pairs are worked out once a distinct structure,
+    told by its SHA-256; a drawing is then made of them where its row is, so no task holds the paths of several drawings.
     """
-    valid = sides.where("valid").dropDuplicates(["pair", "side"]).withColumn("key", F.concat_ws(":", F.col("pair").cast("string"), "side"))
+    valid = sides.where("valid").dropDuplicates(["pair", "side"]).withColumn("of", F.sha2("structure", 256))
+    shapes = sides.where("valid").groupBy(F.sha2("structure", 256).alias("transcript_id")).agg(F.first("structure").alias("structure"))
+    arcs = base_pairs(shapes, "structure").groupBy(F.col("transcript_id").alias("of")).agg(F.sort_array(F.collect_list(F.struct("i", "j"))).alias("arcs"))
     width = F.greatest(F.lit(100), F.least(F.lit(700), F.length("structure")))
-    valid = valid.select("key", "pair", "side", "transcript_id", "highlights", F.length("structure").alias("n"), width.alias("width"), "structure")
-    arcs = base_pairs(valid.select(F.col("key").alias("transcript_id"), "structure"), "structure").withColumnRenamed("transcript_id", "key")
+    valid = valid.select("of", "pair", "side", "transcript_id", "highlights", F.length("structure").alias("n"), width.alias("width"))
     x = lambda k: F.format_string("%.2f", (k + F.lit(0.5)) * F.col("width") / F.col("n"))
-    inside = F.exists("highlights", lambda h: (h["start"] <= F.col("i")) & (F.col("j") < h["end"]))
-    radius = F.format_string("%.2f", (F.col("j") - F.col("i")) * F.col("width") / F.col("n") / 2)
+    inside = lambda a: F.exists("highlights", lambda h: (h["start"] <= a["i"]) & (a["j"] < h["end"]))
+    radius = lambda a: F.format_string("%.2f", (a["j"] - a["i"]) * F.col("width") / F.col("n") / 2)
     floor = F.floor(F.col("width") / 2).cast("string")
-    path = F.concat(F.lit('<path d="M '), x(F.col("i")), F.lit(" "), floor, F.lit(" A "), radius, F.lit(" "), radius, F.lit(" 0 0 1 "), x(F.col("j")), F.lit(" "), floor, F.lit('" fill="none" stroke="'), F.when(inside, "#c0392b").otherwise("#95a5a6"), F.lit('"/>'))
-    lines = valid.drop("structure").join(arcs, "key").select("key", F.struct("i", path.alias("path")).alias("line")).groupBy("key").agg(F.sort_array(F.collect_list("line"))["path"].alias("paths"))
-    full = valid.join(lines, "key", "left").withColumn("paths", F.coalesce("paths", F.array().cast("array<string>")))
+    path = lambda a: F.concat(F.lit('<path d="M '), x(a["i"]), F.lit(" "), floor, F.lit(" A "), radius(a), F.lit(" "), radius(a), F.lit(" 0 0 1 "), x(a["j"]), F.lit(" "), floor, F.lit('" fill="none" stroke="'), F.when(inside(a), "#c0392b").otherwise("#95a5a6"), F.lit('"/>'))
+    full = valid.join(arcs, "of", "left").withColumn("arcs", F.coalesce("arcs", F.array().cast("array<struct<i:int,j:int>>")))
     bar = lambda a, b, more: F.concat(F.lit('<line x1="'), a, F.lit('" y1="'), floor, F.lit('" x2="'), b, F.lit('" y2="'), floor, F.lit(f'" {more}/>'))
     edge = lambda k: F.format_string("%.2f", k * F.col("width") / F.col("n"))
     marks = F.array_join(F.transform("highlights", lambda h: bar(edge(h["start"]), edge(h["end"]), 'stroke="#c0392b" stroke-width="4"')), "")
     head = F.concat(F.lit('<svg xmlns="http://www.w3.org/2000/svg" width="'), F.col("width").cast("string"), F.lit('" height="'), (F.floor(F.col("width") / 2) + 6).cast("string"), F.lit('">'))
-    svg = F.concat(head, F.array_join("paths", ""), bar(F.lit("0"), F.col("width").cast("string"), 'stroke="#333"'), marks, F.lit("</svg>"))
-    return full.select("pair", "side", "transcript_id", "width", F.size("paths").alias("arcs"), svg.alias("svg"))
+    svg = F.concat(head, F.array_join(F.transform("arcs", path), ""), bar(F.lit("0"), F.col("width").cast("string"), 'stroke="#333"'), marks, F.lit("</svg>"))
+    return full.select("pair", "side", "transcript_id", "width", F.size("arcs").alias("arcs"), svg.alias("svg"))
 
 
 def with_drawings(rows: DataFrame) -> DataFrame:
@@ -145,14 +148,33 @@ def with_drawings(rows: DataFrame) -> DataFrame:
     return rows.join(made.select("pair", *[F.col(s).alias(f"{s}_drawing") for s in ("query", "target")]), "pair", "left").drop("pair")
 
 
-def report_rows(rows: DataFrame) -> DataFrame:
-    """Without the hidden columns, scores rounded to one place, long strings broken for HTML, the best first."""
-    kept = [c for c in rows.columns if c not in HIDDEN]
-    out = rows.select(*kept).withColumn("score", F.round("score", 1))
-    for c, t in out.dtypes:
+def broken(rows: DataFrame) -> DataFrame:
+    """Long strings broken for HTML."""
+    for c, t in rows.dtypes:
         if t == "string" and re.search("sequence|structure", c):
-            out = out.withColumn(c, F.rtrim(F.regexp_replace(c, f"(.{{{WRAP}}})(?=.)", "$1<br>")))
-    return out.orderBy(F.desc("score"), "query_id", "target_id", "cluster_id")
+            rows = rows.withColumn(c, F.rtrim(F.regexp_replace(c, f"(.{{{WRAP}}})(?=.)", "$1<br>")))
+    return rows
+
+
+def report_rows(rows: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """Without the hidden columns, scores rounded to one place, long strings broken for HTML, the best first.
+
+    whole: columns that follow from target_id, once an id, such as whole strings. They are joined to the rows when these
+    are in order, so they are neither sorted nor shuffled with each row; beyond ``WHOLE_BYTES`` they are joined before.
+    """
+    kept = [c for c in rows.columns if c not in HIDDEN]
+    out, order = rows.select(*kept).withColumn("score", F.round("score", 1)), (F.desc("score"), "query_id", "target_id", "cluster_id")
+    if whole is None:
+        return broken(out).orderBy(*order)
+    whole = broken(whole)
+    names = [*kept, *(c for c in whole.columns if c != "target_id")]
+    held = whole.agg(sum((F.coalesce(F.sum(F.octet_length(F.col(c).cast("string"))), F.lit(0)) for c in whole.columns), F.lit(0))).first()[0]
+    if held > WHOLE_BYTES:
+        return broken(out).join(whole, "target_id", "left").select(*names).orderBy(*order)
+    # a broadcast leaves the order, which would be dropped as of no use to a join but for a place that is asked for
+    place = "_".join(["place", *names])
+    ranked = broken(out).orderBy(*order).withColumn(place, F.monotonically_increasing_id()).where(F.col(place) >= 0).drop(place)
+    return ranked.join(F.broadcast(whole), "target_id", "left").select(*names)
 
 
 def report_html(rows: DataFrame, most: int, title: str = "Alignments") -> str:

@@ -427,6 +427,30 @@ def test_drawings(spark):
     assert page.count("data:image/svg+xml;base64,") == 2 and full.where("query_drawing IS NULL").count() == 1
 
 
+def test_whole_strings_of_a_report(spark, monkeypatch):
+    """Whole strings join a report's rows when these are in order; the rows and their order are those of a plain join, and the shuffle holds no whole string."""
+    rng = np.random.default_rng(4)
+    rows = spark.createDataFrame([(f"q{k % 3}", f"t{k % 4}", k, float(rng.integers(0, 30))) for k in range(300)], "query_id string, target_id string, cluster_id int, score double").repartition(5)
+    whole = spark.createDataFrame([(f"t{k}", "(.)" * 40 * k) for k in range(3)], "target_id string, query_structure_region string")
+    got = report.report_rows(rows, whole)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" in plan and plan.index("Join") < plan.index("Sort")  # it is still sorted, below the join
+    want = report.report_rows(rows.join(whole, "target_id", "left").select(*rows.columns, "query_structure_region"))
+    assert got.columns == want.columns and got.collect() == want.collect()
+    monkeypatch.setattr(report, "WHOLE_BYTES", 0)
+    assert report.report_rows(rows, whole).collect() == want.collect()
+
+
+def test_base_pairs_of_equal_structures(spark, monkeypatch):
+    """Base pairs are worked out once a distinct structure, however many drawings show it."""
+    rows = spark.createDataFrame([(str(k), s, f"t{k}", "AGGCUU" + "A" * (k % 2), "((..))" + "." * (k % 2), [(0, 6)], True) for k in range(6) for s in ("query", "target")], "pair string, side string, transcript_id string, sequence string, structure string, highlights array<struct<start:int,end:int>>, valid boolean")
+    seen, plain = [], report.base_pairs
+    monkeypatch.setattr(report, "base_pairs", lambda meta, structure: seen.append(meta.count()) or plain(meta, structure))
+    made = report.drawings(rows).collect()
+    assert seen == [2] and len(made) == 12
+    assert all(r["arcs"] == 2 == r["svg"].count("<path") == r["svg"].count("#c0392b") - 1 for r in made)
+
+
 def test_places(spark):
     """Ranges number ids as one sort would; only wanted places are fetched; gaps in the index close."""
     ids = spark.createDataFrame([(f"{k * 7919 % 1000:03}",) for k in range(1000)], "transcript_id string").repartition(5)
