@@ -16,12 +16,14 @@ Nodes linked so far, directly or not, are a group. The buckets of a few bands co
 they link copies, the others need fewer comparisons. In each bucket of a band the node that shares most
 with others leads, is compared with all members of other groups, and leaves, having met all. Passed members
 stay and may lead, so failed ones still meet them. A bucket is done when one group is left. Further leaders
-follow while these join enough members (``SPLIT``). Then a bucket with few pairs between groups (``FEW``)
-has all of them compared, and another is split by one more entry, passed members and all:
-the rows never grow, a large bucket of unlike texts falls apart quickly, and none is capped. A link that
-a split parts is still found in the other buckets that both texts share. After ``ROUNDS`` rounds, when
-buckets can't be split further, all pairs between groups of what is left are compared. Classes are
-the connected components of the verified links.
+follow while these join enough members (``JOINING``). Then a bucket with few pairs between groups (``FEW``)
+has all of them compared, and another, a large one of unlike texts, is put aside, passed members and all.
+What is put aside meets by rare shingles in the end, and no link is lost: of two texts of the similarity each has
+so much of the other's that, in any common order of all labelled shingles, a fifth of either (``least``'s rest, and
+one) holds one of the other's fifth. Ordered by how frequent they are, rarest first, unlike texts share few of
+those. Their buckets are worked on in the same way, but none is put aside again: all pairs between its groups are compared,
+but for those that have too few shingles left behind this one, in the common order, to share enough from it on (``meets``).
+Classes are the connected components of the verified links.
 
 Hot keys: rows of a node that holds more than one in ``HEAVY`` of all rows (at most ``HEAVY`` such nodes
 can be) learn their class from a broadcast, all others by a join in which no key is that frequent.
@@ -35,6 +37,7 @@ empty table of the same columns; other columns may have any names.
 from __future__ import annotations
 
 import bisect
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,9 +58,11 @@ TASK_EDGES = 500_000
 #: Pairs of a task that verifies.
 PAIRS = 4000
 #: Leaders join few when fewer than one in so many of the members apart from its leader joined the leader's group.
-SPLIT = 8
-#: After so many rounds every bucket has been split by all entries.
+JOINING = 8
+#: After so many rounds all pairs between groups of what is left are compared.
 ROUNDS = 2 * ENTRIES
+#: Cells that count shingles. They only decide an order: with too few of them rare shingles are told from frequent ones less well.
+CELLS = 1 << 20
 #: Bands whose buckets are worked on before all others, so that copies are groups when the others' turn comes.
 EARLY = 4
 #: A node is heavy with more than one in so many of all rows.
@@ -297,29 +302,91 @@ def joined(labels: DataFrame | None, edges: DataFrame, shelf: Shelf) -> DataFram
 
 
 def candidates(nodes: DataFrame, shelf: Shelf) -> tuple[DataFrame, int]:
-    """bucket, node, next (the first entry that could split the bucket), fame (how many a node meets in all) of buckets of two or more nodes."""
+    """bucket, node, band, fame (how many a node meets in all) of buckets of two or more nodes."""
     pair = lambda i: F.xxhash64(F.lit(i), F.get("sketch", F.lit(i)), F.get("sketch", F.lit((i + 1) % ENTRIES)))
-    bands = nodes.select("node", F.posexplode(F.array(*[pair(i) for i in range(ENTRIES)])).alias("next", "bucket")).withColumn("next", F.col("next") + 2)
-    sizes = shelf.put(bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    fame = F.sum("n").over(Window.partitionBy("node"))  # a node has a row a band at most
-    return shelf.counted(bands.join(sizes, "bucket").select("bucket", "node", "next", fame.alias("fame")))
+    bands = nodes.select("node", F.posexplode(F.array(*[pair(i) for i in range(ENTRIES)])).alias("band", "bucket"))
+    return shared_buckets(bands, shelf)
 
 
-def leaders(members: DataFrame, last: bool, shelf: Shelf) -> tuple[DataFrame, int]:
+def shared_buckets(rows: DataFrame, shelf: Shelf) -> tuple[DataFrame, int]:
+    """The rows (bucket, node ...) of buckets of two or more nodes, with fame."""
+    sizes = shelf.put(rows.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
+    fame = F.sum("n").over(Window.partitionBy("node"))  # a node has a row a band, or a rare shingle, at most
+    return shelf.counted(rows.join(sizes, "bucket").withColumn("fame", fame).drop("n"))
+
+
+def cells_of(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles) % U(CELLS)).astype(np.int64)
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The labelled shingles by which a text meets all that are similar to it, but for those that no other has, and their places in the common order.
+
+    A text of n shingles shares ``least`` times n with each of them, so in an order of all labelled shingles one of those
+    is among its first n less so many, and one.
+    """
+    x, seen = labelled(shingles), counts[cells_of(shingles)]
+    need = int(np.ceil(least * len(x) - 1e-9))
+    first = np.lexsort((x, seen))[: len(x) - need + 1]
+    at = np.flatnonzero(seen[first] > 1)
+    return x[first[at]], at
+
+
+def rare_buckets(nodes: DataFrame, store: DataFrame, least: float, shelf: Shelf) -> tuple[DataFrame, int]:
+    """bucket, node, size, at, fame of nodes (node) by their rare shingles: all pairs of the similarity share a bucket in which they meet."""
+    held = shelf.put(store.join(nodes.distinct(), "node", "left_semi"))
+    parts = lambda b: np.split(b.column(1).flatten().to_numpy().view(np.uint32).astype(U), np.cumsum(b.column(1).value_lengths().to_numpy())[:-1])
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cell, n = np.unique(cells_of(np.concatenate([np.zeros(0, U), *parts(b)])), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(n, pa.int64())], names=["cell", "n"])
+
+    found = held.select("node", "shingles").mapInArrow(counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a row a cell
+    counts = np.zeros(CELLS, np.int64)
+    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    shared = held.sparkSession.sparkContext.broadcast(counts)
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            each = parts(b) if b.num_rows else []
+            rare = [rarest(x, shared.value, least) for x in each]
+            n = [len(x) for x, _ in rare]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate([np.zeros(0, U), *(x for x, _ in rare)]).view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), n), pa.int64()),
+                    pa.array(np.repeat([len(x) for x in each], n), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *(at for _, at in rare)]), pa.int32()),
+                ],
+                names=["bucket", "node", "size", "at"],
+            )
+
+    return shared_buckets(shelf.put(held.select("node", "shingles").mapInArrow(met, "bucket long, node long, size int, at int")), shelf)
+
+
+def meets(size: Column, at: Column, other_size: Column, other_at: Column, least: float) -> Column:
+    """Whether two texts can be similar if what their bucket stands for is the first that both have, in the common order.
+
+    They do share a bucket of which that is so. Buckets of bands, of size and place 0, exclude none.
+    """
+    return 1 + F.least(size - 1 - at, other_size - 1 - other_at) >= least / (1 + least) * (size + other_size) - 1e-6
+
+
+def leaders(members: DataFrame, last: bool, rare: bool, shelf: Shelf) -> tuple[DataFrame, int]:
     """Of each bucket with several groups: its size, whether all its pairs are to be compared, its largest group, its leader and that one's group."""
-    sizes = members.groupBy("bucket", "group").agg(F.count("*").alias("n"), F.max(F.struct("fame", "node", "group")).alias("lead"), F.max("slow").alias("slow"))
+    sizes = members.groupBy("bucket", "group").agg(F.count("*").alias("n"), F.max(F.struct("fame", "node", "group", "size", "at")).alias("lead"), F.max("slow").alias("slow"))
     lead = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.max(F.struct("n", "group")).alias("most"), F.max("lead").alias("lead"), F.max("slow").alias("slow")).where("most.n < n")
-    few = F.lit(True) if last else F.col("slow") & (F.col("n") * F.col("n") - F.col("within") <= FEW * F.col("n"))
-    return shelf.counted(lead.select("bucket", few.alias("few"), F.col("most.group").alias("most"), F.col("lead.node").alias("leader"), F.col("lead.group").alias("led")))
+    few = F.lit(True) if last else F.col("slow") & (F.lit(rare) | (F.col("n") * F.col("n") - F.col("within") <= FEW * F.col("n")))
+    return shelf.counted(lead.select("bucket", few.alias("few"), F.col("most.group").alias("most"), F.col("lead.node").alias("leader"), F.col("lead.group").alias("led"), F.col("lead.size").alias("lead_size"), F.col("lead.at").alias("lead_at")))
 
 
-def to_compare(members: DataFrame, tried: DataFrame | None, shelf: Shelf) -> tuple[DataFrame, int]:
+def to_compare(members: DataFrame, tried: DataFrame | None, least: float, shelf: Shelf) -> tuple[DataFrame, int]:
     """The pairs (leader, node) of a round, each tried once, whichever leads."""
-    pairs = members.where(~F.col("few") & (F.col("group") != F.col("led"))).select("leader", "node")
+    can = meets(*(F.col(c) for c in ("size", "at", "lead_size", "lead_at")), least)
+    pairs = members.where(~F.col("few") & (F.col("group") != F.col("led")) & can).select("leader", "node")
     some = members.where("few")
-    other = some.where(F.col("group") != F.col("most")).select("bucket", F.col("node").alias("leader"), F.col("group").alias("led"))
+    other = some.where(F.col("group") != F.col("most")).select("bucket", *[F.col(c).alias(n) for c, n in (("node", "leader"), ("group", "led"), ("size", "lead_size"), ("at", "lead_at"))])
     if tried is not None:
-        pairs = pairs.unionByName(some.select("bucket", "node", "group").join(other, "bucket").where(F.col("group") != F.col("led")).select("leader", "node"))
+        pairs = pairs.unionByName(some.select("bucket", "node", "group", "size", "at").join(other, "bucket").where((F.col("group") != F.col("led")) & can).select("leader", "node"))
     pairs = pairs.select(F.greatest("leader", "node").alias("leader"), F.least("leader", "node").alias("node")).distinct()
     return shelf.counted(pairs if tried is None else pairs.join(tried, ["leader", "node"], "left_anti"))
 
@@ -340,25 +407,29 @@ def regrouped(members: DataFrame, labels: DataFrame | None) -> DataFrame:
 def links(rows: DataFrame, nodes: DataFrame, shelf: Shelf, least: float = SIMILARITY) -> DataFrame:
     """Verified links (a, b) between nodes (node, digest, least, sketch) of rows (doc_id, digest, text); each is between two members of a bucket."""
     members, n_members = candidates(nodes, shelf)
-    wanted, n = shelf.counted(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "sketch", F.col("digest").alias("of"), "least"))
-    first, entries = wanted.select("node", "of", "least"), wanted.select("node", "sketch")
+    wanted, n = shelf.counted(nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("digest").alias("of"), "least"))
     same = (rows["digest"] == F.col("of")) & rows["doc_id"].eqNullSafe(F.col("least"))
-    store = shelf.put(stored_shingles(rows.join(F.broadcast(first) if n <= BROADCAST_IDS else first, same).select("node", "text")))
-    members = members.withColumn("group", F.col("node")).withColumn("slow", F.lit(False))
+    store = shelf.put(stored_shingles(rows.join(F.broadcast(wanted) if n <= BROADCAST_IDS else wanted, same).select("node", "text")))
+    members = members.withColumns({"group": F.col("node"), "slow": F.lit(False), "size": F.lit(0), "at": F.lit(0)})
     shelf.most = n_members  # which never grow
-    edges, tried, labels, turn = None, None, None, 0
-    members, waiting = members.where(F.col("next") < 2 + EARLY), members.where(F.col("next") >= 2 + EARLY)
+    edges, tried, labels, turn, aside, rare = None, None, None, 0, [], False
+    members, waiting = (members.where(some).drop("band") for some in (F.col("band") < EARLY, F.col("band") >= EARLY))
     while True:
         turn += 1
-        lead, live = leaders(members, turn > ROUNDS, shelf)
-        if not live and waiting is None:
-            break
-        if not live:
+        lead, live = leaders(members, turn > ROUNDS, rare, shelf)
+        if not live and waiting is not None:
             members, waiting = shelf.put(regrouped(waiting, labels)), None
             continue
+        if not live and aside:
+            met, shelf.most = functools.reduce(DataFrame.unionByName, aside), None
+            members, shelf.most = rare_buckets(met, store, least, shelf)
+            members, aside, rare, turn = shelf.put(regrouped(members.withColumn("group", F.col("node")), labels).withColumn("slow", F.lit(False))), [], True, 0
+            continue
+        if not live:
+            break
         members = shelf.put(members.drop("slow").join(lead, "bucket"))
-        pairs, n = to_compare(members, tried, shelf)
-        members = members.where(~F.col("few")).drop("few", "most").withColumn("now", F.col("group"))
+        pairs, n = to_compare(members, tried, least, shelf)
+        members = members.where(~F.col("few")).drop("few", "most", "lead_size", "lead_at").withColumn("now", F.col("group"))
         if n:
             tried = pairs if tried is None else tried.unionByName(pairs)
             good, n = linked(pairs, n, store, least, shelf)
@@ -369,13 +440,13 @@ def links(rows: DataFrame, nodes: DataFrame, shelf: Shelf, least: float = SIMILA
         # how many of each bucket met its leader in this round, and how many are still apart from it
         met = members.groupBy("bucket", "now").agg(F.count("*").alias("n"), F.count_if(F.col("group") != F.col("led")).alias("met"), F.max(F.col("node") == F.col("leader")).alias("leads"))
         met = met.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("met").alias("met"), F.sum(F.when(~F.col("leads"), F.col("n")).otherwise(0)).alias("apart")).where("apart > 0")
-        still = met.select("bucket", "n", ((F.col("met") - F.col("apart")) * SPLIT < F.col("met")).alias("slow"))
-        still, live = shelf.counted(still.select("bucket", "slow", (F.col("slow") & (F.col("n") > FEW)).alias("split")))
-        if not live and waiting is None:
-            break
-        rest = members.where(F.col("leader") != F.col("node")).select("bucket", "node", "fame", "next", F.col("now").alias("group")).join(still, "bucket")
-        finer = rest.where("split").join(entries, "node").withColumn("bucket", F.xxhash64("bucket", F.get("sketch", F.col("next") % ENTRIES))).withColumn("next", F.col("next") + 1)
-        rest = rest.where("NOT split").drop("split").unionByName(finer.drop("split", "sketch"))
+        still = met.select("bucket", "n", ((F.col("met") - F.col("apart")) * JOINING < F.col("met")).alias("slow"))
+        still = shelf.put(still.select("bucket", "slow", (F.col("slow") & (F.col("n") > FEW) & F.lit(not rare)).alias("large")))
+        rest = members.where(F.col("leader") != F.col("node")).select("bucket", "node", "fame", "size", "at", F.col("now").alias("group")).join(still, "bucket")
+        if not rare:
+            large, n = shelf.counted(rest.where("large").select("node").distinct())
+            aside += [large] if n else []
+        rest = rest.where("NOT large").drop("large")
         members, waiting = shelf.put(rest if waiting is None else rest.unionByName(regrouped(waiting, labels))), None
     return edges if edges is not None else rows.sparkSession.createDataFrame([], "a long, b long")
 

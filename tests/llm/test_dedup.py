@@ -227,3 +227,34 @@ def test_alignment():
             for j, q in enumerate(y):
                 table[i + 1, j + 1] = table[i, j] + 1 if p == q else max(table[i, j + 1], table[i + 1, j])
         assert near_dup.banded_matches(x, y, 40) == table[-1, -1]
+
+
+def test_no_link_is_split(spark):
+    """Two near copies in a bucket of many unlike texts, whose sketches agree in that bucket alone, are linked."""
+    rng = random.Random(4)
+    new = lambda n: [f"t{rng.randrange(10**6)}" for _ in range(n)]
+    common, base = new(40), new(160)
+    rows = [(k, " ".join(common + new(160))) for k in range(2, 60)]
+    rows += [(k, " ".join([*common, *base[:100], *new(1), *base[101:]])) for k in range(2)]
+    rows += [(60, "same " * 60 + " ".join(base[:40])), (61, "same " * 66 + " ".join(base[:40]))]  # repeats count
+    docs = spark.createDataFrame([(k, k.to_bytes(16, "big"), t) for k, t in rows], "doc_id long, digest binary, text string")
+    nodes = spark.createDataFrame([(k, k.to_bytes(16, "big"), k, [1, 1, *(rng.randrange(2**60) for _ in range(near_dup.ENTRIES - 2))]) for k, _ in rows], "node long, digest binary, least long, sketch array<long>")
+    shelf = Shelf(spark, "test")
+    assert {frozenset(e) for e in near_dup.links(docs, nodes, shelf).collect()} == {frozenset((0, 1)), frozenset((60, 61))}
+    shelf.clear()
+
+
+def test_rare_shingles():
+    """Texts of the similarity share one of their rare shingles, however these are counted."""
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        n = int(rng.integers(1, 80))
+        x = rng.integers(0, 50, n).astype(np.uint64)
+        y = np.delete(x, rng.choice(n, int(rng.integers(0, n // 5 + 1)), replace=False))
+        counts = rng.integers(2, 9, near_dup.CELLS)
+        if near_dup.similar(x, y):
+            (p, i), (q, j) = near_dup.rarest(x, counts, 0.8), near_dup.rarest(y, counts, 0.8)
+            both = set(p.tolist()) & set(q.tolist())
+            assert both
+            a, b = min(i[p.tolist().index(v)] for v in both), min(j[q.tolist().index(v)] for v in both)
+            assert 1 + min(len(x) - 1 - a, len(y) - 1 - b) >= 0.8 / 1.8 * (len(x) + len(y)) - 1e-6  # what ``meets`` asks for
