@@ -183,6 +183,28 @@ def test_blocks_of_queries(spark, monkeypatch):
     assert want == key(knn.neighbours(q, d, SearchParams(k=7)))
 
 
+def test_pairs_by_expressions(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = windows.windows(nodes_frame(spark, {f"t{k}": rng.normal(size=(60, 8)) for k in range(12)} | {"u": np.ones((20, 8)), "v": np.ones((20, 8))}), 3)
+    q, d = windows.split_queries(rows, spark.createDataFrame([("t0",), ("u",)], "id string"))
+    q, d = q.persist(), d.persist()
+    seen, ranked = [], knn.ranked
+    show = lambda df: sorted((r["query_transcript"], r["query_window_start"], r["rank"], r["target_transcript"], r["target_window_start"], round(r["similarity"], 9)) for r in df.collect())
+    exact = show(knn.neighbours(q, d, SearchParams(k=5)))  # u against v: all pairs tie
+    monkeypatch.setattr(knn, "ranked", lambda hits, k: seen.append(hits.count()) or ranked(hits, k))
+    assert show(knn.neighbours_sql(q, d, 5)) == exact
+    assert seen[-1] < q.count() * d.count() / 2  # most pairs go where they are scored
+    monkeypatch.setattr(knn, "QUERY_BYTES", 40 * 24 * 8)
+    assert show(knn.neighbours_sql(q, d, 5)) == exact
+    few = d.where("transcript_id = 't1' AND window_start < 3")
+    few = few.withColumn("vector", F.when(F.col("window_start") == 1, F.transform("vector", lambda x, i: F.when(i > 0, x))).otherwise(F.col("vector")))
+    got = knn.neighbours_sql(q, few, 5).collect()
+    assert len(got) == 3 * q.count() and all((r["score"] is None) == (r["target_window_start"] == 1) == (r["rank"] == 3) for r in got)
+    assert knn.neighbours_sql(q.limit(0), d, 5).count() == knn.neighbours_sql(q, d.limit(0), 5).count() == 0
+    with pytest.raises(ValueError, match="24 and 25"):
+        knn.neighbours_sql(q, d.withColumn("vector", F.concat("vector", F.array(F.lit(0.0).cast("float")))), 5)
+
+
 def test_codes_of_residuals():
     """Sums of table entries are the scores of decoded vectors; a learned rotation codes correlated rows better than none."""
     rng = np.random.default_rng(5)
