@@ -287,6 +287,32 @@ def test_best_rows():
     assert mask.tolist() == [[False, True, True, False, False]]
 
 
+@pytest.mark.parametrize("by_l2", [False, True])
+def test_memory_of_a_search(by_l2):
+    """A task's arrays have a bounded number of pairs, however many rows and queries meet; its rows are the nearest ones."""
+    import tracemalloc
+    from unittest.mock import MagicMock
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    q, x = rng.normal(size=(1500, 8)), rng.normal(size=(10_000, 8)).astype(np.float32)
+    place = lambda n, name: {"transcript_id": pa.array([name] * n), **{c: pa.array(np.arange(n), pa.int32()) for c in knn.PLACE[1:]}}
+    frame = MagicMock()
+    frame.sparkSession.sparkContext.broadcast.side_effect = lambda value: MagicMock(value=value)
+    knn.candidates(pa.table(place(1500, "q")), q, frame, index_ops.Index("flat_l2" if by_l2 else "flat_ip", by_l2), 3, 1, False)
+    run = frame.select.return_value.mapInArrow.call_args.args[0]
+    batch = pa.RecordBatch.from_pydict(place(10_000, "t") | {"vector": pa.FixedSizeListArray.from_arrays(x.ravel(), 8).cast(pa.list_(pa.float32()))})
+    tracemalloc.start()
+    got = pa.Table.from_batches(run(iter([batch]))).sort_by([("query_window_start", "ascending"), ("score", "descending")])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6  # 148 MB while 4 million scores were worked out at once
+    near = 2 * q @ x.T.astype(float) - (q**2).sum(1)[:, None] - (x.astype(float) ** 2).sum(1) if by_l2 else q @ x.T.astype(float)
+    assert got.column("target_window_start").to_pylist() == np.argsort(-near, axis=1)[:, :3].ravel().tolist()
+    assert np.allclose(got.column("exact").to_numpy().reshape(-1, 3), np.sort(-near if by_l2 else near)[:, :3] if by_l2 else -np.sort(-near)[:, :3])
+
+
 def test_empty_searches(spark):
     n, _ = planted(spark)
     none = spark.createDataFrame([], "id string")
