@@ -38,7 +38,7 @@ from __future__ import annotations
 
 import bisect
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -202,6 +202,16 @@ def digest(text: Column) -> Column:
     return F.when(text.rlike(r"[^\x20\x09-\x0D]"), F.unhex(F.substring(F.sha2(text, 256), 1, 32)))
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``df.mapInArrow`` by a worker that gives back what it doesn't use: it stays for other tasks."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(lean, schema)
+
+
 def sketches(rows: DataFrame) -> DataFrame:
     """doc_id, digest and sketch of rows (doc_id, digest, text); of equal texts read together only the first gets a sketch."""
 
@@ -221,7 +231,7 @@ def sketches(rows: DataFrame) -> DataFrame:
                 flat = pa.array(np.concatenate(made) if made else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays([keys, marks, pa.ListArray.from_arrays(pa.array(ends), flat, mask=pa.array(~here))], names=["doc_id", "digest", "sketch"])
 
-    return rows.mapInArrow(run, "doc_id long, digest binary, sketch array<long>")
+    return mapped(rows, run, "doc_id long, digest binary, sketch array<long>")
 
 
 def stored_shingles(rows: DataFrame) -> DataFrame:
@@ -234,7 +244,7 @@ def stored_shingles(rows: DataFrame) -> DataFrame:
                 ends = np.concatenate(([0], np.cumsum([len(x) for x in made]))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(made)))], names=["node", "shingles"])
 
-    return rows.mapInArrow(run, "node long, shingles array<int>").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return mapped(rows, run, "node long, shingles array<int>").groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def verified(pairs: DataFrame, least: float) -> DataFrame:
@@ -247,7 +257,7 @@ def verified(pairs: DataFrame, least: float) -> DataFrame:
             ok = [similar(p[i:j], q[k:n], least) for i, j, k, n in zip(at[:-1].tolist(), at[1:].tolist(), to[:-1].tolist(), to[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], names=["leader", "node", "ok"])
 
-    return pairs.select("leader", "node", "leader_shingles", "node_shingles").mapInArrow(run, "leader long, node long, ok boolean")
+    return mapped(pairs.select("leader", "node", "leader_shingles", "node_shingles"), run, "leader long, node long, ok boolean")
 
 
 def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +285,7 @@ def components(edges: DataFrame, shelf: Shelf) -> DataFrame:
     """
     edges, n = shelf.counted(edges.select("a", "b"))
     if n <= TASK_EDGES:
-        return shelf.put(edges.coalesce(1).mapInArrow(forest, "node long, label long"))
+        return shelf.put(mapped(edges.coalesce(1), forest, "node long, label long"))
     both = shelf.put(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = shelf.put(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).select("node", F.least("node", "label").alias("label")))
     while True:
@@ -332,35 +342,41 @@ def rarest(shingles: np.ndarray, counts: np.ndarray, least: float) -> tuple[np.n
     return x[first[at]], at
 
 
+def parts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Nodes and their shingles of batches (node, shingles), about ``BLOCK`` bytes of these at a time, however many a batch holds."""
+    for b in batches:
+        each = np.split(b.column(1).flatten().to_numpy().view(np.uint32), np.cumsum(b.column(1).value_lengths().to_numpy())[:-1]) if b.num_rows else []
+        for i, j in chunks(each, BLOCK // 4):
+            yield b.column(0).slice(i, j - i).to_numpy(), [x.astype(U) for x in each[i:j]]
+
+
 def rare_buckets(nodes: DataFrame, store: DataFrame, least: float, shelf: Shelf) -> tuple[DataFrame, int]:
     """bucket, node, size, at, fame of nodes (node) by their rare shingles: all pairs of the similarity share a bucket in which they meet."""
     held = shelf.put(store.join(nodes.distinct(), "node", "left_semi"))
-    parts = lambda b: np.split(b.column(1).flatten().to_numpy().view(np.uint32).astype(U), np.cumsum(b.column(1).value_lengths().to_numpy())[:-1])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cell, n = np.unique(cells_of(np.concatenate([np.zeros(0, U), *parts(b)])), return_counts=True)
+        for _, each in parts(batches):
+            cell, n = np.unique(cells_of(np.concatenate(each)), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(n, pa.int64())], names=["cell", "n"])
 
-    found = held.select("node", "shingles").mapInArrow(counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a row a cell
+    found = mapped(held.select("node", "shingles"), counted, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # a row a cell
     counts = np.zeros(CELLS, np.int64)
     counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     shared = held.sparkSession.sparkContext.broadcast(counts)
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            each = parts(b) if b.num_rows else []
+        for keys, each in parts(batches):
             rare = [rarest(x, shared.value, least) for x in each]
             n = [len(x) for x, _ in rare]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([np.zeros(0, U), *(x for x, _ in rare)]).view(np.int64)), pa.array(np.repeat(b.column(0).to_numpy(), n), pa.int64()),
-                    pa.array(np.repeat([len(x) for x in each], n), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *(at for _, at in rare)]), pa.int32()),
+                    pa.array(np.concatenate([x for x, _ in rare]).view(np.int64)), pa.array(np.repeat(keys, n), pa.int64()),
+                    pa.array(np.repeat([len(x) for x in each], n), pa.int32()), pa.array(np.concatenate([at for _, at in rare]), pa.int32()),
                 ],
                 names=["bucket", "node", "size", "at"],
             )
 
-    return shared_buckets(shelf.put(held.select("node", "shingles").mapInArrow(met, "bucket long, node long, size int, at int")), shelf)
+    return shared_buckets(shelf.put(mapped(held.select("node", "shingles"), met, "bucket long, node long, size int, at int")), shelf)
 
 
 def meets(size: Column, at: Column, other_size: Column, other_at: Column, least: float) -> Column:
@@ -396,7 +412,9 @@ def linked(pairs: DataFrame, n: int, store: DataFrame, least: float, shelf: Shel
     asked = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
     held = store.join(F.broadcast(asked) if 2 * n <= BROADCAST_IDS else asked, "node", "left_semi")
     full = pairs.join(held.withColumnRenamed("shingles", "node_shingles"), "node").join(held.select(F.col("node").alias("leader"), F.col("shingles").alias("leader_shingles")), "leader")
-    return shelf.counted(verified(full, least).where("ok").select(F.col("leader").alias("a"), F.col("node").alias("b")), n // PAIRS + 1)
+    tasks = n // PAIRS + 1
+    full = full.coalesce(tasks)  # before Python, so that a task starts it once, not once for each of the joins' partitions
+    return shelf.counted(verified(full, least).where("ok").select(F.col("leader").alias("a"), F.col("node").alias("b")), tasks)
 
 
 def regrouped(members: DataFrame, labels: DataFrame | None) -> DataFrame:

@@ -5,6 +5,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from strandseek.llm import near_dup, substring, suffixes
 from strandseek.llm._text import Shelf
@@ -258,3 +259,27 @@ def test_rare_shingles():
             assert both
             a, b = min(i[p.tolist().index(v)] for v in both), min(j[q.tolist().index(v)] for v in both)
             assert 1 + min(len(x) - 1 - a, len(y) - 1 - b) >= 0.8 / 1.8 * (len(x) + len(y)) - 1e-6  # what ``meets`` asks for
+
+
+def test_linked_starts_python_once_a_task(spark, monkeypatch):
+    """A few pairs of many partitions are verified in one run of Python, not in one for each partition."""
+    shelf, seen = Shelf(spark, "test"), []
+    store = shelf.put(spark.createDataFrame([(k, [1, 2, 3, 4, k // 2]) for k in range(40)], "node long, shingles array<int>"))
+    pairs = spark.createDataFrame([(k, k - 1) for k in range(1, 40)], "leader long, node long").repartition(13)
+    whole = near_dup.verified
+    monkeypatch.setattr(near_dup, "verified", lambda full, least: seen.append(full.rdd.getNumPartitions()) or whole(full, least))
+    good, n = near_dup.linked(pairs, 39, store, 0.8, shelf)
+    assert seen == [1]
+    assert n == 20 and {(r["a"], r["b"]) for r in good.collect()} == {(k, k - 1) for k in range(1, 40, 2)}
+    shelf.clear()
+
+
+def test_parts(monkeypatch):
+    """Shingles of a large batch are widened part by part; one text's stay together."""
+    monkeypatch.setattr(near_dup, "BLOCK", 400)
+    each = [np.arange(n, dtype=np.int32) - 5 for n in (30, 0, 60, 250, 1, 99, 40)]
+    batch = pa.RecordBatch.from_pydict({"node": pa.array(range(7)), "shingles": pa.array(each, pa.list_(pa.int32()))})
+    got = list(near_dup.parts([batch.slice(0, 0), batch.slice(0, 2), batch.slice(2)]))
+    assert all(sum(map(len, x)) <= 100 or len(x) == 1 for _, x in got)
+    assert [k for keys, _ in got for k in keys.tolist()] == list(range(7))
+    assert [x.astype(np.uint32).view(np.int32).tolist() for _, xs in got for x in xs] == [x.tolist() for x in each]
