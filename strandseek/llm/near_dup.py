@@ -37,12 +37,13 @@ empty table of the same columns; other columns may have any names.
 from __future__ import annotations
 
 import bisect
+import contextlib
 import functools
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandseek.llm._text import Packed, Shelf, U, chunks, column, fresh, mix, ranges, shared_folder, utf8
@@ -68,6 +69,8 @@ EARLY = 4
 #: A node is heavy with more than one in so many of all rows.
 HEAVY = 1000
 BLOCK = 1 << 19
+#: Rows of an Arrow batch.
+BATCH = 1000
 _seeds = mix(np.arange(1, ENTRIES + 1, dtype=U) * U(0x9E3779B97F4A7C15))
 
 
@@ -469,11 +472,25 @@ def links(rows: DataFrame, nodes: DataFrame, shelf: Shelf, least: float = SIMILA
     return edges if edges is not None else rows.sparkSession.createDataFrame([], "a long, b long")
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile an Arrow batch has ``BATCH`` rows at most: executors and workers hold several copies of each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if not 0 < int(before) <= BATCH:
+        spark.conf.set(name, BATCH)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def named(docs: DataFrame, key: str, text: str, least: float) -> DataFrame:
     """doc_id, digest, class (null: alone), n_links and best (the least key of the class) of every row."""
     shelf = Shelf(docs.sparkSession, "near-dup")
     try:
-        return named_on(shelf, docs, key, text, least)
+        with small_batches(docs.sparkSession):
+            return named_on(shelf, docs, key, text, least)  # checkpointed, so all that runs Python has run
     finally:
         shelf.clear()
 

@@ -283,3 +283,14 @@ def test_parts(monkeypatch):
     assert all(sum(map(len, x)) <= 100 or len(x) == 1 for _, x in got)
     assert [k for keys, _ in got for k in keys.tolist()] == list(range(7))
     assert [x.astype(np.uint32).view(np.int32).tolist() for _, xs in got for x in xs] == [x.tolist() for x in each]
+
+
+def test_small_batches(spark, monkeypatch):
+    """Python gets batches of bounded rows, and the session's own size holds again afterwards."""
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, whole = spark.conf.get(name), near_dup.sketches
+    sizes = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches)
+    monkeypatch.setattr(near_dup, "sketches", lambda rows: seen.extend(r["n"] for r in rows.coalesce(1).mapInArrow(sizes, "n long").collect()) or whole(rows))
+    near_dup.near_classes(frame(spark, [(k, f"text {k}") for k in range(2500)]))
+    assert sum(seen) == 2500 and max(seen) <= near_dup.BATCH
+    assert spark.conf.get(name) == before
