@@ -265,6 +265,40 @@ def test_graph(by_l2):
     assert graph.search(graph.Space(x[:1], by_l2).to(q), few, len(q), 5).nodes[:, 0].tolist() == [0] * len(q)
 
 
+def test_graph_without_walks(monkeypatch):
+    """A graph is built by matrix products: each node's candidates are the nearest of all before it, and nothing is walked."""
+    monkeypatch.setattr(graph, "beam", None)
+    monkeypatch.setattr(graph, "WORK", 1 << 20)  # several parts of a batch
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(1500, 12))
+    level = np.sort(graph.levels(rng.integers(0, 2**63, len(x)).astype(np.uint64), 8))[::-1]
+    for by_l2 in (False, True):
+        space = graph.Space(x, by_l2)
+        assert [len(layer) for layer in graph.build(space, level, 8, 40)] == [int((level >= k).sum()) for k in range(level[0] + 1)]
+        nodes, near = space.before(np.array([5, 900, 1499]), 40)
+        assert (nodes[0, :5] >= 0).all() and (nodes[0, 5:] == -1).all()
+        for k, new in ((1, 900), (2, 1499)):
+            score = -((x[:new] - x[new]) ** 2).sum(1) if by_l2 else x[:new] @ x[new]
+            assert set(nodes[k]) == set(np.argsort(-score)[:40]) and near[k] == pytest.approx(np.sort(score)[::-1][:40], abs=1e-3)
+
+
+@pytest.mark.parametrize("kind", ["hnsw"])
+def test_graphs_of_unrelated_vectors(spark, kind):
+    """Beams that would compare many of all pairs are given up for exact scores of all rows, so the neighbours are those of a flat search."""
+    rng = np.random.default_rng(32)
+    x = rng.normal(size=(2600, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1300:1330] = x[1330]  # ties
+    rows = spark.createDataFrame([(f"s{k % 26}", k // 26, k // 26, k // 26 + 3, v.tolist()) for k, v in enumerate(x)], "transcript_id string, window_index int, window_start int, window_end int, vector array<double>").withColumn("vector", F.col("vector").cast("array<float>"))
+    q, d = windows.split_queries(rows.repartition(3), spark.createDataFrame([("s0",)], "id string"))
+    key = lambda df: sorted(tuple(r) for r in df.select("query_window_start", "rank", "target_transcript", "target_window_start", F.round("similarity", 9)).collect())
+    for metric in ("ip", "l2"):
+        p = SearchParams(k=10, index_type=kind, metric=metric, pq_m=4, pq_bits=4, hnsw_m=8, ef_construction=40, recall=0.9)
+        index = knn.build_index(d, p)
+        assert key(knn.neighbours(q, d, p, index)) == key(knn.neighbours(q, d, SearchParams(k=10, metric=metric)))
+        assert index.candidates_needed == knn.WHOLE
+
+
 def test_best_rows():
     """A task's running best is that of all rows at once, ties in target order."""
     import pyarrow as pa
