@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandseek import queries as engine
 from strandseek.functions import scores, vectors
 from strandseek.operators import alignment, cluster, graph, knn, places, plots, report, stats, windows
 from strandseek.operators import index as index_ops
@@ -299,6 +300,25 @@ def test_graphs_of_unrelated_vectors(spark, kind):
         assert index.candidates_needed == knn.WHOLE
 
 
+def test_shards_without_links(spark, monkeypatch):
+    """One shard tells that beams don't pay, and the others aren't linked; what is searched for a recall's types is searched once."""
+    monkeypatch.setattr(knn, "SHARD_ROWS", 1200)
+    monkeypatch.setattr(knn, "beam_needed", None)
+    linked, graphed = [], knn.graphed
+    monkeypatch.setattr(knn, "graphed", lambda *a, **b: linked.append(b) or graphed(*a, **b))
+    rng = np.random.default_rng(33)
+    n = nodes_frame(spark, {f"s{k}": rng.normal(size=(100, 16)) for k in range(26)})
+    q, d = windows.split_queries(windows.windows(n, 2), spark.createDataFrame([("s0",)], "id string"))
+    key = lambda df: sorted(tuple(r) for r in df.select("query_window_start", "rank", "target_transcript", "target_window_start").collect())
+    flat = key(knn.neighbours(q, d, SearchParams(k=10)))
+    assert flat == key(knn.neighbours(q, d, SearchParams(k=10, index_type="hnsw", hnsw_m=8, ef_construction=40, recall=0.9)))
+    assert linked == [{"first": True}, {"linked": False}] and not q.storageLevel.useMemory
+    monkeypatch.setattr(engine, "ANN_TYPES", ("hnsw",) * 2)
+    monkeypatch.setattr(engine, "sides", lambda *_: (q, d))
+    plan = engine.ann_recall(spark, "")._jdf.queryExecution().withCachedData().toString()
+    assert sum("InMemoryRelation" in x and "exact#" in x for x in plan.splitlines()) == 2
+
+
 def test_best_rows():
     """A task's running best is that of all rows at once, ties in target order."""
     import pyarrow as pa
