@@ -283,7 +283,7 @@ def test_graph_without_walks(monkeypatch):
             assert set(nodes[k]) == set(np.argsort(-score)[:40]) and near[k] == pytest.approx(np.sort(score)[::-1][:40], abs=1e-3)
 
 
-@pytest.mark.parametrize("kind", ["hnsw", "hnswsq8"])
+@pytest.mark.parametrize("kind", ["hnsw", "hnswsq8", "hnswpq"])
 def test_graphs_of_unrelated_vectors(spark, kind):
     """Beams that would compare many of all pairs are given up for exact scores of all rows, so the neighbours are those of a flat search."""
     rng = np.random.default_rng(32)
