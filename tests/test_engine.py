@@ -206,6 +206,20 @@ def test_pairs_by_expressions(spark, monkeypatch):
         knn.neighbours_sql(q, d.withColumn("vector", F.concat("vector", F.array(F.lit(0.0).cast("float")))), 5)
 
 
+def test_rounding_of_what_is_left(spark, monkeypatch):
+    """Pairs are dropped before they are rounded, and scores that only rounding makes equal tie by target."""
+    at = "transcript_id string, window_index int, window_start int, window_end int, vector array<double>"
+    d = spark.createDataFrame([(f"t{k % 7}", k, k, k + 3, [0.5 + (200 - k) * 1e-14, 3.0]) for k in range(200)], at).persist()
+    q = spark.createDataFrame([("q", k, k, k + 3, [float(10**k), 0.0]) for k in range(6)], at).persist()
+    seen, ranked = [], knn.ranked
+    monkeypatch.setattr(knn, "ranked", lambda hits, k: seen.append(hits) or ranked(hits, k))
+    show = lambda df: sorted((r["query_window_start"], r["rank"], r["target_transcript"], r["target_window_start"], r["score"]) for r in df.collect())
+    got = show(knn.neighbours_sql(q, d, 5))
+    joins = [x for x in seen[-1]._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join Inner" in x and "query_0" in x]
+    assert joins and not any("round(" in x for x in joins)
+    assert got == show(knn.neighbours(q, d, SearchParams(k=5))) and len({x[4] for x in got}) > 6
+
+
 def test_codes_of_residuals():
     """Sums of table entries are the scores of decoded vectors; a learned rotation codes correlated rows better than none."""
     rng = np.random.default_rng(5)
